@@ -86,32 +86,27 @@ def permission_grants(changes: DataFrame, groups: DataFrame, run_ts: datetime) -
     department, every other data group, and the common group. A transferred user gets the role
     group of the new department only.
     """
-    joined = _joined(changes).select("USER_ID", "PART_CODE")
-    moved = changes.where(F.col("CHANGE") == TRANSFERRED).select("USER_ID", "PART_CODE")
-
-    # Per user, the codes that need no group table come from one pass over the changes.
+    # The codes that need no group table come from one pass over the changes.
     role = role_group(F.col("PART_CODE"))
-    own_codes = F.concat(
-        F.array(F.lit(BASE_GROUP), F.lit(COMMON_GROUP), F.col("PART_CODE")),
-        F.when(role.isNotNull(), F.array(role)).otherwise(F.array().cast("array<string>")),
-    )
-    own = joined.select(F.explode(own_codes).alias("GROUP_CODE"), F.col("USER_ID").alias("usr_id"))
-    roles = moved.select(role.alias("GROUP_CODE"), F.col("USER_ID").alias("usr_id")).where(
-        F.col("GROUP_CODE").isNotNull()
-    )
+    roles = F.when(role.isNotNull(), F.array(role)).otherwise(F.array().cast("array<string>"))
+    codes = F.when(
+        F.col("CHANGE").isin(NEW, ACTIVATED),
+        F.concat(F.array(F.lit(BASE_GROUP), F.lit(COMMON_GROUP), F.col("PART_CODE")), roles),
+    ).when(F.col("CHANGE") == TRANSFERRED, roles)
+    own = changes.select(F.explode(codes).alias("GROUP_CODE"), F.col("USER_ID").alias("usr_id"))
 
     # Every pair of user and foreign data group is a row of the result. Dealing the groups into
     # parts makes it an equality join: broadcast while the group table is small, else shuffled.
-    part = F.pmod(F.xxhash64("group_code"), F.lit(_PARTS))
+    part = F.pmod(F.xxhash64("group_code"), F.lit(_PARTS)).cast("int")
     foreign = data_groups(groups).where(F.col("group_code") != COMMON_GROUP).withColumn("_part", part)
-    dealt = joined.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(_PARTS - 1).cast("bigint"))))
+    parts = F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1)))
+    dealt = _joined(changes).select("USER_ID", "PART_CODE", parts.alias("_part"))
     others = (
         dealt.join(foreign, "_part")
         .where(F.col("group_code") != F.col("PART_CODE"))
         .select(F.col("group_code").alias("GROUP_CODE"), F.col("USER_ID").alias("usr_id"))
     )
-    grants = own.unionByName(roles).unionByName(others)
-    return grants.withColumns({"creator": F.lit(SYSTEM), "created": ntz(run_ts)})
+    return own.unionByName(others).withColumns({"creator": F.lit(SYSTEM), "created": ntz(run_ts)})
 
 
 def portal_users(changes: DataFrame, run_ts: datetime) -> DataFrame:

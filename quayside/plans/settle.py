@@ -17,14 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a scratch one only on a single machine."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+    """The folder named by ``spark.checkpoint.dir``, else the context's own checkpoint folder.
+
+    Where neither is set a scratch folder is made, but only on a single machine.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        configured = tempfile.mkdtemp(prefix="quayside-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -63,12 +63,17 @@ def order_source(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_target(spark: SparkSession, folder: str) -> DataFrame:
     old = order_source(spark, folder).where(F.col("RDATETIME") < ntz(TARGET_END))
-    lost = F.col("o_orderkey") % 29 == 0
-    kept = old.where(~lost).withColumns(
-        {"o_totalprice": F.col("o_totalprice") * 0.9, "UDATETIME": null("timestamp_ntz")}
-    )
-    orphaned = old.where(F.col("o_orderkey") % 41 == 0).withColumn("o_orderkey", F.col("o_orderkey") + 1000000000)
-    return kept.unionByName(orphaned).withColumn("MIG_DATETIME", ntz(OLD_TS))
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+
+    def copy(key: Column, price: Column, updated: Column) -> Column:
+        return F.struct(key.alias("o_orderkey"), price.alias("o_totalprice"), updated.alias("UDATETIME"))
+
+    lost = key % 29 == 0
+    aged = F.when(~lost, copy(key, price * 0.9, null("timestamp_ntz")))
+    orphan = F.when(key % 41 == 0, copy(key + 1000000000, price, F.col("UDATETIME")))
+    return old.select(
+        "o_custkey", "o_orderstatus", "RDATETIME", F.inline(F.array_compact(F.array(aged, orphan)))
+    ).withColumn("MIG_DATETIME", ntz(OLD_TS))
 
 
 ORDER_CTES = f"""

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import history, jobs, schema, upsert
 from quayside.plans.settle import scratch_path
+from quayside.plans.table_load import create_by_month, load_table
 from quayside.queries import fixtures as fx
 from quayside.sources import sinks
 from quayside.sources.scans import table
@@ -38,6 +41,14 @@ def incremental_upsert_hourly(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def incremental_upsert_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily load into a stored table, month by month."""
+    name = f"quayside_orders_{uuid.uuid4().hex}"
+    create_by_month(fx.order_target(spark, folder), name, path=scratch_path(spark, "orders"))
+    batch = fx.order_source(spark, folder).where(fx.WINDOW)
+    return load_table(name, batch, fx.ORDER_KEYS, fx.WINDOW, fx.RUN_TS)
+
+
 def touched_partitions(spark: SparkSession, folder: str) -> DataFrame:
     source = fx.order_source(spark, folder)
     return upsert.touched_partitions(
@@ -129,6 +140,7 @@ QUERIES = {
     "incremental_upsert_daily": incremental_upsert_daily,
     "incremental_upsert_strict": incremental_upsert_strict,
     "incremental_upsert_hourly": incremental_upsert_hourly,
+    "incremental_upsert_table": incremental_upsert_table,
     "touched_partitions": touched_partitions,
     "delete_where": delete_where,
     "delete_older": delete_older,
@@ -161,6 +173,7 @@ _HOURLY_COUNT = f"SELECT COUNT(*) FROM ({_HOURLY} SELECT * FROM loaded WHERE {fx
 
 ORACLES = {
     "incremental_upsert_daily": _DAILY + "SELECT * FROM loaded",
+    "incremental_upsert_table": _DAILY + "SELECT *, strftime(RDATETIME, '%Y-%m') AS LOAD_MONTH FROM loaded",
     "incremental_upsert_strict": _STRICT + "SELECT * FROM loaded",
     "incremental_upsert_hourly": _HOURLY + "SELECT * FROM loaded",
     "touched_partitions": f"""WITH {fx.ORDER_CTES},

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import history, members
-from quayside.plans.settle import scratch_path
+from quayside.plans.settle import scratch_path, settle
 from quayside.queries import fixtures as fx
 from quayside.sources import sinks
 
@@ -17,6 +17,11 @@ def user_changes(spark: SparkSession, folder: str) -> DataFrame:
     return members.user_changes(fx.current_users(spark, folder), fx.previous_users(spark, folder))
 
 
+def _stored_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """The changes as the later steps read them: found once, then stored."""
+    return settle(user_changes(spark, folder), "changes")
+
+
 def snapshot_rotation(spark: SparkSession, folder: str) -> DataFrame:
     """Changes found from stored daily snapshots, counted per kind."""
     path = scratch_path(spark, "users")
@@ -29,7 +34,7 @@ def snapshot_rotation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def permission_grants(spark: SparkSession, folder: str) -> DataFrame:
-    return members.permission_grants(user_changes(spark, folder), fx.portal_groups(spark, folder), fx.USERS_RUN_TS)
+    return members.permission_grants(_stored_changes(spark, folder), fx.portal_groups(spark, folder), fx.USERS_RUN_TS)
 
 
 def permission_revokes(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,7 +45,7 @@ def permission_revokes(spark: SparkSession, folder: str) -> DataFrame:
 
 def permission_state(spark: SparkSession, folder: str) -> DataFrame:
     """All grants after the run: what the revokes left and what was granted."""
-    changes, groups = user_changes(spark, folder), fx.portal_groups(spark, folder)
+    changes, groups = _stored_changes(spark, folder), fx.portal_groups(spark, folder)
     kept = members.permission_revokes(fx.existing_grants(spark, folder), changes, groups)
     granted = members.permission_grants(changes, groups, fx.USERS_RUN_TS).select(*kept.columns)
     return kept.unionByName(granted)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.operators import dedup, reconcile
+from quayside.plans.settle import settle
 from quayside.queries import fixtures as fx
 from quayside.sources.scans import table
 
@@ -16,8 +17,8 @@ def _counts(rows: DataFrame) -> DataFrame:
 
 
 def monthly_counts(spark: SparkSession, folder: str) -> DataFrame:
-    tables = {JOB: fx.order_source(spark, folder), "LINES": table(spark, folder, "lineitem").withColumnRenamed("l_shipdate", "RDATETIME")}
-    return reconcile.monthly_counts(tables, fx.AS_OF, jobs=[JOB, "LINES"])
+    lines = table(spark, folder, "lineitem").withColumnRenamed("l_shipdate", "RDATETIME")
+    return reconcile.monthly_counts({JOB: fx.order_source(spark, folder), "LINES": lines}, fx.AS_OF, jobs=[JOB, "LINES"])
 
 
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -30,21 +31,18 @@ def reconcile_counts_full(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _mismatches(spark: SparkSession, folder: str) -> DataFrame:
-    return reconcile.mismatches(reconcile_counts(spark, folder))
+    """The stored result of the first pass, so that the repair does not count again."""
+    return settle(reconcile.mismatches(reconcile_counts(spark, folder)), "mismatches")
 
 
-def _repaired(spark: SparkSession, folder: str) -> DataFrame:
+def _repaired(spark: SparkSession, folder: str, months: DataFrame) -> DataFrame:
     return reconcile.delete_orphans(
-        fx.order_source(spark, folder),
-        fx.order_target(spark, folder),
-        fx.ORDER_KEYS,
-        _mismatches(spark, folder),
-        fx.AS_OF,
+        fx.order_source(spark, folder), fx.order_target(spark, folder), fx.ORDER_KEYS, months, fx.AS_OF
     )
 
 
 def orphan_delete(spark: SparkSession, folder: str) -> DataFrame:
-    return _repaired(spark, folder)
+    return _repaired(spark, folder, _mismatches(spark, folder))
 
 
 def orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,9 +56,9 @@ def orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def reconcile_second_pass(spark: SparkSession, folder: str) -> DataFrame:
-    return reconcile.reconcile_second_pass(
-        _mismatches(spark, folder), _counts(fx.order_source(spark, folder)), _counts(_repaired(spark, folder))
-    )
+    first_pass = _mismatches(spark, folder)
+    repaired = _repaired(spark, folder, first_pass)
+    return reconcile.reconcile_second_pass(first_pass, _counts(fx.order_source(spark, folder)), _counts(repaired))
 
 
 def dedup_targets(spark: SparkSession, folder: str) -> DataFrame:

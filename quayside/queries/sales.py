@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import verify
+from quayside.plans.settle import settle
 from quayside.sources.scans import table
 
 AS_OF = date(2001, 8, 1)
@@ -64,12 +65,12 @@ def sales_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sales_metric_verify(spark: SparkSession, folder: str) -> DataFrame:
-    ours = _metrics(spark, folder)
+    ours = settle(_metrics(spark, folder), "metrics")
     return verify.compare_metrics(_other_system(ours), ours)
 
 
 def sales_metric_verify_compat(spark: SparkSession, folder: str) -> DataFrame:
-    ours = _metrics(spark, folder)
+    ours = settle(_metrics(spark, folder), "metrics")
     return verify.compare_metrics(_other_system(ours), ours, compat=True)
 
 

@@ -1,29 +1,62 @@
-"""Writes to folders of parquet files."""
+"""Writes to folders of parquet files and to partitioned catalog tables."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
+
+def _balanced(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition together before the write, a large one in several tasks.
+
+    Without it each task writes a small file into each partition.
+    """
+    return df.hint("rebalance", *partitions) if partitions else df
 
 
 def append(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partitions).parquet(path)
+    _balanced(df, partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
 def replace(df: DataFrame, path: str, partitions: Sequence[str] = ()) -> None:
     """Write a whole table anew. ``path`` must not be one that ``df`` reads."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = _balanced(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "static")
     writer.partitionBy(*partitions).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    """Replace only the partitions that occur in ``df``; all others stay as they are.
-
-    The new files are written beside the table and moved in when the job ends, so ``df`` may
-    read the same table.
-    """
+def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], balance: bool = True) -> None:
+    """Replace only the partitions that occur in ``df``; all others stay as they are."""
     if not partitions:
         raise ValueError("name the partition columns")
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = _balanced(df, partitions) if balance else df
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partitions).parquet(path)
+
+
+def create_table(df: DataFrame, name: str, partition: str, path: str | None = None) -> None:
+    """Create a partitioned catalog table from ``df``, in ``path`` if one is given."""
+    writer = _balanced(df, [partition]).write.partitionBy(partition).format("parquet")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
+
+
+def replace_table_partitions(df: DataFrame, name: str, partition: str, touched: DataFrame) -> None:
+    """Put ``df`` in the place of the ``touched`` partitions of a catalog table.
+
+    The new files are written beside the old ones and moved in when the job ends, so ``df`` may
+    read the table. Touched partitions that have no rows any more are dropped afterwards.
+    """
+    spark = df.sparkSession
+    seen = Observation()
+    rows = df.select(*[F.col(f"`{c}`") for c in spark.table(name).columns])
+    rows = rows.observe(seen, F.collect_set(F.col(partition).cast("string")).alias("partitions"))
+    writer = _balanced(rows, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.insertInto(name)
+    filled = set(seen.get["partitions"])
+    # A list of partitions, which is table layout and not data.
+    for row in touched.select(F.col(partition), F.col(partition).cast("string").alias("_label")).collect():
+        if row["_label"] not in filled:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = :value)", {"value": row[partition]})
