@@ -20,8 +20,11 @@ def swap_suffix(column: Column, suffix: str, replacement: str = "") -> Column:
 
 
 def whole_number(column: Column) -> Column:
-    """Text to a whole number; NULL where the text is none."""
-    return column.try_cast("bigint")
+    """Text to a whole number; NULL where the text is none.
+
+    The pattern comes first because a failing cast is some twenty times slower than a match.
+    """
+    return F.when(column.rlike(r"^\s*[+-]?[0-9]+\s*$"), column.try_cast("bigint"))
 
 
 def error_mark(condition: Column) -> Column:

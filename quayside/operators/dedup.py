@@ -31,21 +31,19 @@ def superseded_stamps(df: DataFrame, keys: Sequence[str], stamp: str = STAMP) ->
     No shuffle holds a key's copies together: copies are first counted per key and load time,
     the newest load time per key is a plain maximum, and the two meet on key and load time.
     """
-    copies = df.groupBy(*keys, stamp).agg(F.count(F.lit(1)).alias("_copies"))
-    newest = copies.groupBy(*keys).agg(
+    # As one struct, missing key parts are equal to each other, as they are when rows are ranked
+    # per key, and the counts need no second shuffle to meet the newest copies.
+    copies = df.groupBy(F.struct(*keys).alias("_key"), stamp).agg(F.count(F.lit(1)).alias("_copies"))
+    newest = copies.groupBy("_key").agg(
         F.max(stamp).alias(stamp),
         F.sum("_copies").alias("_all_copies"),
         F.max(F.col(stamp).isNull()).alias("_has_unstamped"),
     )
     # A row without a stamp is the newest of its key, so every stamped copy of that key is superseded.
     newest = newest.where(~F.col("_has_unstamped")).drop("_has_unstamped")
-    same_row = F.col("c." + stamp) == F.col("n." + stamp)
-    for key in keys:
-        same_row = same_row & F.col(f"c.{key}").eqNullSafe(F.col(f"n.{key}"))
-    # Both sides read the same counts, so the first shuffle is done once.
-    matched = copies.alias("c").join(newest.alias("n"), same_row, "left")
-    superseded = F.col("n._all_copies").isNull() | (F.col("c._copies") > 1)
-    return matched.where(superseded).select(F.col("c." + stamp).alias(stamp)).distinct()
+    matched = copies.join(newest, ["_key", stamp], "left")
+    superseded = F.col("_all_copies").isNull() | (F.col("_copies") > 1)
+    return matched.where(superseded).select(stamp).distinct()
 
 
 def purge_superseded_batches(df: DataFrame, keys: Sequence[str], stamp: str = STAMP) -> DataFrame:
