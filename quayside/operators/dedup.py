@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.schema import STAMP
+from quayside.operators.upsert import delete_keys
 from quayside.plans.settle import settle
 
 
@@ -53,4 +54,4 @@ def purge_superseded_batches(df: DataFrame, keys: Sequence[str], stamp: str = ST
     whole snapshot. Two copies of a key within one batch remove that batch. Rows without a stamp stay.
     """
     stale = settle(superseded_stamps(df, keys, stamp), "stale-stamps")
-    return df.join(stale, [stamp], "left_anti")
+    return delete_keys(df, stale)

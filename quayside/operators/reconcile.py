@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quayside.functions.dates import month_label, ntz, shift_months
 from quayside.operators.upsert import CREATED, delete_keys
 from quayside.plans.settle import settle
+from quayside.sources.scans import scan_keys
 
 # The status codes of the two passes.
 PASS1_DONE = "PASS1_DONE"
@@ -71,8 +72,10 @@ def reconcile(source: DataFrame, target: DataFrame, how: str = "inner") -> DataF
     return _compare(source, target, how, PASS1_DONE, PASS1_NEEDED)
 
 
-def mismatches(compared: DataFrame) -> DataFrame:
-    return compared.where(F.col("agg_row_count") != 0)
+def mismatches(compared: DataFrame, job: str | None = None) -> DataFrame:
+    """The months that differ, of all jobs or of one."""
+    unequal = compared.where(F.col("agg_row_count") != 0)
+    return unequal if job is None else unequal.where(F.col("job_code") == job)
 
 
 def surplus_jobs(compared: DataFrame) -> DataFrame:
@@ -91,14 +94,13 @@ def orphans(
 ) -> DataFrame:
     """Keys that the target holds in one of ``months`` and the source does not hold at all.
 
-    ``months`` has the column ``date`` with ``yyyy-MM`` labels. Source keys come from the 24
+    ``months`` are the mismatches of this table: labels ``yyyy-MM`` in the column ``date``. Source keys come from the 24
     months up to the end of this month. Only key columns of these months are shuffled.
     """
     if not keys:
         raise ValueError("orphans cannot be told without a key")
     end = shift_months(as_of, 1)
-    in_range = (F.col(moment) >= ntz(shift_months(end, -KEY_MONTHS))) & (F.col(moment) < ntz(end))
-    source_keys = source.where(in_range).select(*keys)
+    source_keys = scan_keys(source, keys, moment, shift_months(end, -KEY_MONTHS), end)
     if not allow_empty and source_keys.isEmpty():
         raise ValueError("the source has no keys in the window; every target row would be an orphan")
     # Calendar months: a list that cannot grow with the data.

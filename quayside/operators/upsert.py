@@ -34,7 +34,8 @@ def delete_older(target: DataFrame, moment: str, day: date) -> DataFrame:
 
 def delete_keys(target: DataFrame, keys: DataFrame) -> DataFrame:
     """Remove the rows whose key occurs in ``keys``, compared column by column."""
-    return target.join(keys, list(keys.columns), "left_anti")
+    kept = target.join(keys, list(keys.columns), "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in target.columns])
 
 
 def stamped(df: DataFrame, run_ts: datetime, stamp: str = STAMP) -> DataFrame:

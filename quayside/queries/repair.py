@@ -32,7 +32,7 @@ def reconcile_counts_full(spark: SparkSession, folder: str) -> DataFrame:
 
 def _mismatches(spark: SparkSession, folder: str) -> DataFrame:
     """The stored result of the first pass, so that the repair does not count again."""
-    return settle(reconcile.mismatches(reconcile_counts(spark, folder)), "mismatches")
+    return settle(reconcile.mismatches(reconcile_counts(spark, folder), JOB), "mismatches")
 
 
 def _repaired(spark: SparkSession, folder: str, months: DataFrame) -> DataFrame:
