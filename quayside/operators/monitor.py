@@ -58,10 +58,14 @@ def latest_hour_report(
 
 
 def failed_tasks(runs: DataFrame, tasks: DataFrame, now: datetime, hours: int = FAILED_HOURS) -> DataFrame:
-    """Failed tasks of the failed runs of the last hours."""
+    """Failed tasks of the failed runs of the last hours.
+
+    A run is known by its flow and time. Tasks are only tested against the runs, so each comes
+    once, and a run with very many tasks can be split.
+    """
     recent = F.col("execution_date") >= ntz(now - timedelta(hours=hours))
     failed_runs = runs.where((F.col("state") == FAILED_STATE) & recent).select("dag_id", "execution_date")
     failed = tasks.where((F.col("state") == FAILED_STATE) & recent).drop("state")
-    return failed.join(failed_runs, ["dag_id", "execution_date"]).select(
+    return failed.join(failed_runs, ["dag_id", "execution_date"], "left_semi").select(
         "dag_id", "task_id", "execution_date", "start_date", "end_date"
     )

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import month_label
-from quayside.operators.upsert import CREATED, incremental_upsert, touched_partitions
+from quayside.operators.upsert import CREATED, UPDATED, incremental_upsert, touched_partitions
 from quayside.plans.settle import settle
 from quayside.sources.sinks import create_table, replace_table_partitions
 
@@ -34,7 +34,8 @@ def load_table(
     target_pred: str | Column,
     run_ts: datetime,
     moment: str = CREATED,
-    **options,
+    updated: str = UPDATED,
+    strict: bool = False,
 ) -> DataFrame:
     """``incremental_upsert`` into a table made by ``create_by_month``; returns the table.
 
@@ -46,12 +47,13 @@ def load_table(
     batch = settle(batch.withColumn(PARTITION, load_month(moment)), "batch")
     if batch.isEmpty():
         return target
+    rule = {"updated": updated, "strict": strict}
     touched = settle(
-        touched_partitions(target, batch, keys, target_pred, F.col(PARTITION), PARTITION, **options), "touched"
+        touched_partitions(target, batch, keys, target_pred, F.col(PARTITION), PARTITION, **rule), "touched"
     )
     # The list of changed partitions is table layout, so it may come to the driver.
     months = [row[PARTITION] for row in touched.collect()]
     changed = target.where(F.col(PARTITION).isin(months))
-    loaded = incremental_upsert(changed, batch, keys, target_pred, run_ts, **options)
+    loaded = incremental_upsert(changed, batch, keys, target_pred, run_ts, **rule)
     replace_table_partitions(loaded, name, PARTITION, touched)
     return spark.table(name)

@@ -113,14 +113,14 @@ def load_log_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def micro_batch_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """The hourly load from a folder of change files that arrive in four parts."""
+    """The hourly load from a folder of change files, taken in about four micro-batches."""
     waiting = scratch_path(spark, "changes")
     source = fx.event_source(spark, folder)
-    arriving = source.withColumn("arrival", F.col("event_id") % 4)
-    arriving.repartition(4, "arrival").write.partitionBy("arrival").parquet(waiting)
+    sinks.append(source.withColumn("arrival", F.col("event_id") % 4), waiting, ["arrival"])
+    files = len(spark.read.parquet(waiting).inputFiles())
     changes = (
         spark.readStream.schema(source.schema)
-        .option("maxFilesPerTrigger", 1)
+        .option("maxFilesPerTrigger", max(1, files // 4))
         .option("recursiveFileLookup", "true")
         .parquet(waiting)
     )
