@@ -43,6 +43,11 @@ def stamped(df: DataFrame, run_ts: datetime, stamp: str = STAMP) -> DataFrame:
     return df.withColumn(stamp, ntz(run_ts))
 
 
+def _need_keys(keys: Sequence[str] | None) -> None:
+    if keys is None:
+        raise ValueError("the table has no key: pass keys=[] to delete by window only")
+
+
 def _replaced_keys(batch: DataFrame, keys: Sequence[str], updated: str, strict: bool) -> DataFrame | None:
     if strict:
         return batch.select(*keys)
@@ -71,10 +76,22 @@ def incremental_upsert(
     duplicate for ``keep_latest``. ``strict`` removes by every batch key instead. ``keys=[]``
     asks for the window delete alone; ``None`` is an error.
     """
-    if keys is None:
-        raise ValueError("the table has no key: pass keys=[] to delete by window only")
+    _need_keys(keys)
     # The source is read once. Later steps see the same rows, and the size of the key list is known.
-    batch = settle(stamped(batch, run_ts, stamp), "batch")
+    batch = settle(stamped(batch, run_ts, stamp), "batch", compact=True)
+    return apply_batch(target, batch, keys, target_pred, updated, strict)
+
+
+def apply_batch(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str] | None,
+    target_pred: str | Column,
+    updated: str = UPDATED,
+    strict: bool = False,
+) -> DataFrame:
+    """``incremental_upsert`` of a batch that is already stored and stamped."""
+    _need_keys(keys)
     target, batch = evolve(target, batch)
     if batch.isEmpty():
         return target

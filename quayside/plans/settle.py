@@ -36,9 +36,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and go on from the written table."""
+def settle(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
+    """Write ``df`` once and go on from the written table.
+
+    ``compact`` brings few rows from many scan tasks together first, so that they do not become
+    as many small files.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    (df.hint("rebalance") if compact else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import month_label
-from quayside.operators.upsert import CREATED, UPDATED, incremental_upsert, touched_partitions
+from quayside.operators.upsert import CREATED, UPDATED, apply_batch, stamped, touched_partitions
 from quayside.plans.settle import settle
 from quayside.sources.sinks import create_table, replace_table_partitions
 
@@ -44,7 +44,7 @@ def load_table(
     """
     spark = batch.sparkSession
     target = spark.table(name)
-    batch = settle(batch.withColumn(PARTITION, load_month(moment)), "batch")
+    batch = settle(stamped(batch.withColumn(PARTITION, load_month(moment)), run_ts), "batch", compact=True)
     if batch.isEmpty():
         return target
     rule = {"updated": updated, "strict": strict}
@@ -54,6 +54,6 @@ def load_table(
     # The list of changed partitions is table layout, so it may come to the driver.
     months = [row[PARTITION] for row in touched.collect()]
     changed = target.where(F.col(PARTITION).isin(months))
-    loaded = incremental_upsert(changed, batch, keys, target_pred, run_ts, **rule)
+    loaded = apply_batch(changed, batch, keys, target_pred, **rule)
     replace_table_partitions(loaded, name, PARTITION, touched)
     return spark.table(name)

@@ -1,25 +1,60 @@
 """Database reads and writes through Spark's JDBC source.
 
-Filters, column choice and grouped counts on these frames are pushed into the database, so a
-windowed load reads its window and a monthly count reads one row per month.
+Filters and column choice on these frames are pushed into the database. Grouping is not, so the
+monthly counts and the column catalog are read as subqueries that the database runs.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quayside.functions.dates import shift_months
+from quayside.operators.reconcile import COUNTED_MONTHS
+
+# Every column of every table, with its place in the primary key. Foreign and unique keys do not count.
+COLUMN_CATALOG = """
+SELECT c.TABLE_NAME, c.COLUMN_NAME, c.ORDINAL_POSITION, c.DATA_TYPE, c.NUMERIC_PRECISION, c.NUMERIC_SCALE,
+       c.IS_NULLABLE, k.KEY_POSITION
+FROM INFORMATION_SCHEMA.COLUMNS c
+LEFT JOIN (SELECT u.TABLE_SCHEMA, u.TABLE_NAME, u.COLUMN_NAME, u.ORDINAL_POSITION AS KEY_POSITION
+           FROM INFORMATION_SCHEMA.KEY_COLUMN_USAGE u
+           JOIN INFORMATION_SCHEMA.TABLE_CONSTRAINTS p
+             ON p.CONSTRAINT_NAME = u.CONSTRAINT_NAME AND p.TABLE_SCHEMA = u.TABLE_SCHEMA AND p.TABLE_NAME = u.TABLE_NAME
+           WHERE p.CONSTRAINT_TYPE = 'PRIMARY KEY') k
+  ON k.TABLE_SCHEMA = c.TABLE_SCHEMA AND k.TABLE_NAME = c.TABLE_NAME AND k.COLUMN_NAME = c.COLUMN_NAME
+""".strip()
+
+
+def _identifier(name: str) -> str:
+    if not re.fullmatch(r'[\w.\[\]"]+', name):
+        raise ValueError(f"not a table or column name: {name}")
+    return name
 
 
 def year_predicates(moment: str, first: int, last: int) -> list[str]:
     """One half-open range per year, each read by its own task."""
+    column = _identifier(moment)
     return [
-        f"{moment} >= '{date(year, 1, 1)}' AND {moment} < '{date(year + 1, 1, 1)}'"
+        f"{column} >= '{date(year, 1, 1)}' AND {column} < '{date(year + 1, 1, 1)}'"
         for year in range(first, last + 1)
     ]
 
 
+def month_counts_query(table: str, moment: str, as_of: date) -> str:
+    """Rows per month since the first day of the month twelve months ago, counted by the database."""
+    column = _identifier(moment)
+    since = shift_months(as_of, -COUNTED_MONTHS)
+    return (
+        f"SELECT YEAR({column}) AS y, MONTH({column}) AS m, COUNT(*) AS n FROM {_identifier(table)} "
+        f"WHERE {column} >= '{since}' GROUP BY YEAR({column}), MONTH({column})"
+    )
+
+
 def read_database(
     spark: SparkSession,
     url: str,
@@ -28,10 +63,31 @@ def read_database(
     predicates: Sequence[str] | None = None,
 ) -> DataFrame:
     """A database table. ``predicates`` split it into one read per predicate."""
-    options = {"pushDownAggregate": "true", **properties}
     if predicates:
-        return spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
-    return spark.read.jdbc(url, table, properties=options)
+        return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties))
+    return spark.read.jdbc(url, table, properties=dict(properties))
+
+
+def _read_query(spark: SparkSession, url: str, query: str, properties: Mapping[str, str]) -> DataFrame:
+    return read_database(spark, url, f"({query}) q", properties)
+
+
+def labelled_counts(counted: DataFrame, job: str, name: str = "row_count") -> DataFrame:
+    """Year and month numbers as the ``yyyy-MM`` labels of ``monthly_counts``."""
+    label = F.format_string("%04d-%02d", F.col("y").cast("int"), F.col("m").cast("int"))
+    return counted.select(F.lit(job).alias("job_code"), label.alias("date"), F.col("n").cast("bigint").alias(name))
+
+
+def read_month_counts(
+    spark: SparkSession, url: str, job: str, table: str, moment: str, as_of: date, properties: Mapping[str, str]
+) -> DataFrame:
+    """The monthly counts of a source table; only one row per month leaves the database."""
+    return labelled_counts(_read_query(spark, url, month_counts_query(table, moment, as_of), properties), job)
+
+
+def read_column_catalog(spark: SparkSession, url: str, properties: Mapping[str, str]) -> DataFrame:
+    """The column catalog of a database, the input of ``derive_schema``."""
+    return _read_query(spark, url, COLUMN_CATALOG, properties)
 
 
 def copy_to_database(

@@ -23,6 +23,10 @@ from quayside.sources.sinks import replace_partitions
 BATCH = "_batch_id"
 
 
+def _landing_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+
+
 def land_stream(
     changes: DataFrame, landing: str, checkpoint: str, source_pred: str | Column | None = None
 ) -> None:
@@ -32,6 +36,9 @@ def land_stream(
     def land(batch: DataFrame, batch_id: int) -> None:
         replace_partitions(batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")), landing, [BATCH])
 
+    # A run without changes lands an empty table.
+    empty = changes.sparkSession.createDataFrame([], _landing_schema(changes.schema))
+    empty.write.mode("append").partitionBy(BATCH).parquet(landing)
     query = (
         wanted.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
@@ -45,7 +52,7 @@ def landed_rows(
     spark: SparkSession, landing: str, schema: T.StructType, keys: Sequence[str], updated: str = UPDATED
 ) -> DataFrame:
     """The landed rows as one batch: a micro-batch that updates a key replaces the earlier rows of that key."""
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(landing)
+    rows = spark.read.schema(_landing_schema(schema)).parquet(landing)
     if updated in rows.columns and keys:
         updates = rows.where(F.col(updated).isNotNull())
         last = settle(updates.groupBy(*keys).agg(F.max(BATCH).alias("_last")), "last-updates")
@@ -67,7 +74,11 @@ def micro_batch_upsert(
     checkpoint: str,
     **options,
 ) -> DataFrame:
-    """The target after all waiting rows of the stream are loaded."""
+    """The target after all waiting rows of the stream are loaded.
+
+    ``landing`` belongs to one run: the next run takes a new folder and the same ``checkpoint``.
+    A run that failed after landing is repeated with its own folder, whose rows are then loaded.
+    """
     land_stream(changes, landing, checkpoint, source_pred)
     batch = landed_rows(target.sparkSession, landing, changes.schema, keys)
     return incremental_upsert(target, batch, keys, target_pred, run_ts, **options)

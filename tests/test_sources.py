@@ -99,3 +99,26 @@ def test_shared_folder(spark):
     rows = settle.settle(frame(spark, SCHEMA, *ROWS), "rows")
     assert values(rows) == values(frame(spark, SCHEMA, *ROWS))
     assert all(settle.shared_folder(spark) in f for f in rows.inputFiles())
+
+
+def test_counts_by_the_database(spark, folder, duck):
+    """The subquery for the database gives the counts that Spark finds itself."""
+    from quayside.operators.reconcile import monthly_counts
+    from quayside.queries import fixtures as fx
+
+    query = databases.month_counts_query("orders", "o_orderdate", fx.AS_OF)
+    counted = spark.createDataFrame(duck.execute(query).fetchall(), "y bigint, m bigint, n bigint")
+    ours = monthly_counts({"ORDERS": fx.order_source(spark, folder)}, fx.AS_OF)
+    assert values(databases.labelled_counts(counted, "ORDERS")) == values(ours)
+    with pytest.raises(ValueError, match="not a table"):
+        databases.month_counts_query("orders; DROP TABLE x", "o_orderdate", fx.AS_OF)
+
+
+def test_column_catalog_query():
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE parent (id INTEGER PRIMARY KEY)")
+    connection.execute("CREATE TABLE t (b INTEGER, a VARCHAR, p INTEGER REFERENCES parent(id), u INTEGER UNIQUE, PRIMARY KEY (a, b))")
+    rows = connection.execute(databases.COLUMN_CATALOG + " WHERE c.TABLE_NAME = 't' ORDER BY c.ORDINAL_POSITION").fetchall()
+    assert [(r[1], r[7]) for r in rows] == [("b", 2), ("a", 1), ("p", None), ("u", None)]

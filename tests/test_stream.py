@@ -37,6 +37,24 @@ def test_later_micro_batch_replaces_the_earlier(spark, tmp_path):
     assert values(loaded, "k", "v") == [(1, "second"), (2, "new"), (3, "new"), (5, "kept")]
 
 
+def test_next_run_loads_only_new_rows(spark, tmp_path):
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    write(spark, source, FILES[0])
+    first = micro_batch.micro_batch_upsert(
+        stream(spark, source), target(spark), ["k"], IN, TARGET_IN, TS, landing=str(tmp_path / "run1"), checkpoint=checkpoint
+    )
+    write(spark, source, [(6, "next hour", datetime(2024, 1, 9, 10), None)])
+    next_hour = "RDATETIME >= timestamp_ntz'2024-01-09 10:00:00'"
+    second = micro_batch.micro_batch_upsert(
+        stream(spark, source), first, ["k"], next_hour, next_hour, TS, landing=str(tmp_path / "run2"), checkpoint=checkpoint
+    )
+    assert values(second, "k", "v") == [(1, "first"), (2, "new"), (5, "kept"), (6, "next hour")]
+    quiet = micro_batch.micro_batch_upsert(
+        stream(spark, source), second, ["k"], next_hour, next_hour, TS, landing=str(tmp_path / "run3"), checkpoint=checkpoint
+    )
+    assert values(quiet) == values(second)
+
+
 def test_stream_equals_batch(spark, tmp_path):
     source = str(tmp_path / "in")
     write(spark, source, FILES[0])
