@@ -18,7 +18,7 @@ def month_spine(spark: SparkSession, as_of: date, months: int = CLOSE_MONTHS) ->
     """One row per month, the last ``months`` months including this one."""
     first, last = shift_months(as_of, 1 - months), shift_months(as_of, 0)
     starts = F.explode(F.sequence(day_literal(first), day_literal(last), F.expr("interval 1 month")))
-    return spark.range(1).select(starts.alias("MONTH_START"))
+    return spark.range(0, 1, 1, 1).select(starts.alias("MONTH_START"))
 
 
 def open_month(

@@ -20,7 +20,6 @@ DAILY = "D"
 HOURLY = "H"
 
 RAW_LEVEL = 0
-LOG_SCHEMA = "job_code string, date date, insert_time timestamp_ntz, row_count bigint, schedule string, status string"
 
 
 def _level() -> Column:
@@ -150,18 +149,24 @@ def load_log(
     An empty batch logs 0.
     """
     counted = F.lit(0) if batch_is_empty else F.count_if(as_condition(window_pred))
-    return table.agg(counted.cast("bigint").alias("row_count")).select(
-        F.lit(job).alias("job_code"),
-        day_literal(run_ts.date()).alias("date"),
-        ntz(run_ts).alias("insert_time"),
-        "row_count",
-        F.lit(schedule).alias("schedule"),
-        F.lit(OK).alias("status"),
-    )
+    return _log_row(table.agg(counted.alias("row_count")), job, F.col("row_count"), run_ts, schedule, OK)
 
 
 def outcome_log(
     spark: SparkSession, job: str, run_ts: datetime, status: str, schedule: str = DAILY
 ) -> DataFrame:
     """The one log row of a job that did not load: ``X`` failed or ``SKIPPED``."""
-    return spark.createDataFrame([(job, run_ts.date(), run_ts, 0, schedule, status)], LOG_SCHEMA)
+    return _log_row(spark.range(0, 1, 1, 1), job, F.lit(0), run_ts, schedule, status)
+
+
+def _log_row(
+    one_row: DataFrame, job: str, row_count: Column, run_ts: datetime, schedule: str, status: str
+) -> DataFrame:
+    return one_row.select(
+        F.lit(job).alias("job_code"),
+        day_literal(run_ts.date()).alias("date"),
+        ntz(run_ts).alias("insert_time"),
+        row_count.cast("bigint").alias("row_count"),
+        F.lit(schedule).alias("schedule"),
+        F.lit(status).alias("status"),
+    )

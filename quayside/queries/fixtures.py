@@ -322,8 +322,8 @@ def previous_users(spark: SparkSession, folder: str) -> DataFrame:
 def portal_groups(spark: SparkSession, folder: str) -> DataFrame:
     """A data group for each department of yesterday, the common group, and groups that are no data groups."""
     departments = previous_users(spark, folder).select(F.col("PART_CODE").alias("group_code")).distinct()
-    roles = spark.createDataFrame([(c,) for c in ("9001", "9002", "9003", "9004", "9005")], "group_code string")
-    common = spark.createDataFrame([("T", "T,data")], "group_code string, group_desc string")
+    roles = spark.sql("SELECT * FROM VALUES ('9001'), ('9002'), ('9003'), ('9004'), ('9005') AS g(group_code)")
+    common = spark.sql("SELECT 'T' AS group_code, 'T,data' AS group_desc")
     return (
         departments.withColumn("group_desc", F.concat("group_code", F.lit(",data")))
         .unionByName(common)
