@@ -54,7 +54,7 @@ def latest_hour_report(
     # One value, computed first; the range then reaches the scan.
     hour = newest.scalar()
     rows = wanted.where((F.col(moment) >= hour) & (F.col(moment) < hour + F.expr("interval 1 hour")))
-    return number_rows(rows, [F.col(moment), *[F.col(c) for c in ties]])
+    return number_rows(rows, [F.col(c).asc_nulls_last() for c in [moment, *ties]])
 
 
 def failed_tasks(runs: DataFrame, tasks: DataFrame, now: datetime, hours: int = FAILED_HOURS) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quayside.functions.dates import month_label
 from quayside.operators.upsert import CREATED, UPDATED, apply_batch, stamped, touched_partitions
 from quayside.plans.settle import settle
-from quayside.sources.sinks import create_table, replace_table_partitions
+from quayside.sources.sinks import add_columns, create_table, replace_table_partitions
 
 PARTITION = "LOAD_MONTH"
 UNDATED = "undated"
@@ -39,7 +39,7 @@ def load_table(
 ) -> DataFrame:
     """``incremental_upsert`` into a table made by ``create_by_month``; returns the table.
 
-    Which months change is found from the key and date columns alone. Whole rows are read and
+    New columns of the batch are added to the table first. Which months change is found from the key and date columns alone. Whole rows are read and
     written only for these months.
     """
     spark = batch.sparkSession
@@ -47,6 +47,8 @@ def load_table(
     batch = settle(stamped(batch.withColumn(PARTITION, load_month(moment)), run_ts), "batch", compact=True)
     if batch.isEmpty():
         return target
+    add_columns(batch, name)
+    target = spark.table(name)
     rule = {"updated": updated, "strict": strict}
     touched = settle(
         touched_partitions(target, batch, keys, target_pred, F.col(PARTITION), PARTITION, **rule), "touched"

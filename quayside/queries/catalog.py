@@ -148,7 +148,8 @@ SELECT COUNT(*) FILTER (WHERE status IS NULL OR status = 'X') = 0 AS gate_open,
 FROM log WHERE {_TODAY}""",
     "mart_quality_gate_latest": f"""WITH {fx.JOB_CTES},
 latest AS (SELECT * FROM log WHERE {_TODAY}
-           QUALIFY ROW_NUMBER() OVER (PARTITION BY job_code ORDER BY insert_time DESC) = 1)
+           QUALIFY ROW_NUMBER() OVER (PARTITION BY job_code ORDER BY insert_time DESC,
+                                      status IS NULL OR status = 'X' DESC) = 1)
 SELECT COUNT(*) FILTER (WHERE status IS NULL OR status = 'X') = 0 AS gate_open,
        COUNT(*) FILTER (WHERE status IS NULL OR status = 'X') AS bad_rows, COUNT(*) AS log_rows
 FROM latest""",

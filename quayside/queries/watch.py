@@ -94,7 +94,7 @@ def _latest_sql(moment: str, wanted: str, newest_of: str, dropped: str) -> str:
     return f"""WITH {fx.JOB_CTES},
 wanted AS (SELECT * EXCLUDE ({dropped}) FROM log WHERE {wanted}),
 newest AS (SELECT date_trunc('hour', MAX({moment})) AS hour_ FROM {newest_of})
-SELECT ROW_NUMBER() OVER (ORDER BY {moment}, job_code, row_count, status) AS num, wanted.*
+SELECT ROW_NUMBER() OVER (ORDER BY {moment} NULLS LAST, job_code NULLS LAST, row_count NULLS LAST, status NULLS LAST) AS num, wanted.*
 FROM wanted, newest WHERE date_trunc('hour', {moment}) = hour_"""
 
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quayside.sources.scans import table_exists
+
 
 def _balanced(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Bring the rows of a partition together before the write, a large one in several tasks.
@@ -43,6 +45,35 @@ def create_table(df: DataFrame, name: str, partition: str, path: str | None = No
     writer.saveAsTable(name)
 
 
+def add_columns(df: DataFrame, name: str) -> None:
+    """Add to a catalog table the columns that only ``df`` has. Old rows read as NULL there."""
+    spark = df.sparkSession
+    known = set(spark.table(name).columns)
+    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
+
+
+def _in_table_order(df: DataFrame, name: str) -> DataFrame:
+    """The columns of ``df`` in the order of the table; a column that ``df`` lacks is NULL."""
+    present = set(df.columns)
+    return df.select(
+        *[
+            F.col(f"`{f.name}`") if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in df.sparkSession.table(name).schema
+        ]
+    )
+
+
+def append_table(df: DataFrame, name: str, partition: str, path: str | None = None) -> None:
+    """Add rows to a partitioned catalog table, which is created if it does not exist."""
+    if not table_exists(df.sparkSession, name):
+        create_table(df, name, partition, path)
+        return
+    add_columns(df, name)
+    _balanced(_in_table_order(df, name), [partition]).write.mode("append").insertInto(name)
+
+
 def replace_table_partitions(df: DataFrame, name: str, partition: str, touched: DataFrame) -> None:
     """Put ``df`` in the place of the ``touched`` partitions of a catalog table.
 
@@ -50,13 +81,11 @@ def replace_table_partitions(df: DataFrame, name: str, partition: str, touched:
     read the table. Touched partitions that have no rows any more are dropped afterwards.
     """
     spark = df.sparkSession
-    seen = Observation()
-    rows = df.select(*[F.col(f"`{c}`") for c in spark.table(name).columns])
-    rows = rows.observe(seen, F.collect_set(F.col(partition).cast("string")).alias("partitions"))
-    writer = _balanced(rows, [partition]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # A list of partitions, which is table layout and not data. Asked before the write, while
+    # df still reads the old files; only the columns that decide which rows stay are read.
+    emptied = touched.select(partition).join(df.select(partition).distinct(), [partition], "left_anti").collect()
+    rows = _balanced(_in_table_order(df, name), [partition])
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.insertInto(name)
-    filled = set(seen.get["partitions"])
-    # A list of partitions, which is table layout and not data.
-    for row in touched.select(F.col(partition), F.col(partition).cast("string").alias("_label")).collect():
-        if row["_label"] not in filled:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = :value)", {"value": row[partition]})
+    for row in emptied:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = :value)", {"value": row[partition]})

@@ -85,6 +85,37 @@ def test_table_load_rewrites_touched_months(spark, tmp_path):
     spark.sql("DROP TABLE orders_by_month")
 
 
+def test_table_load_adds_columns(spark, tmp_path):
+    create_by_month(upsert.stamped(frame(spark, SCHEMA, *ROWS), TS), "grown", path=str(tmp_path / "grown"))
+    batch = frame(spark, SCHEMA, (6, "mar", datetime(2024, 3, 7), None)).withColumn("extra", F.lit(1.5))
+    loaded = load_table("grown", batch, ["k"], IN, TS)
+    assert values(loaded, "k", "extra") == [(1, None), (2, None), (5, None), (6, 1.5)]
+    assert loaded.columns[-2:] == ["extra", "LOAD_MONTH"]
+    spark.sql("DROP TABLE grown")
+
+
+def test_append_creates_and_grows_a_table(spark, tmp_path):
+    where = dict(name="years", partition="LOAD_YEAR", path=str(tmp_path / "years"))
+    for year, extra in ((2023, []), (2024, ["extra"])):
+        rows = spark.range(2).selectExpr("id", *[f"'x' AS {c}" for c in extra], f"{year} AS LOAD_YEAR")
+        sinks.append_table(rows, **where)
+    assert values(spark.table("years"), "LOAD_YEAR", "id", "extra") == [
+        (2023, 0, None), (2023, 1, None), (2024, 0, "x"), (2024, 1, "x"),
+    ]
+    spark.sql("DROP TABLE years")
+
+
+def test_emptied_partitions_are_dropped(spark, tmp_path):
+    rows = spark.range(100).withColumn("m", (F.col("id") % 4).cast("string"))
+    sinks.create_table(rows, "emptied", "m", str(tmp_path / "emptied"))
+    table = spark.table("emptied")
+    sinks.replace_table_partitions(table.where("m = '1' AND id > 50"), "emptied", "m", spark.sql("SELECT * FROM VALUES ('1'), ('2') AS t(m)"))
+    assert values(spark.table("emptied").groupBy("m").count()) == [("0", 25), ("1", 12), ("3", 25)]
+    sinks.replace_table_partitions(table.where("false"), "emptied", "m", spark.sql("SELECT '3' AS m"))
+    assert values(spark.table("emptied").groupBy("m").count()) == [("0", 25), ("1", 12)]
+    spark.sql("DROP TABLE emptied")
+
+
 def test_text_functions(spark):
     rows = frame(spark, "t string", ("A_1D",), ("A_1D_X",), (" 12 ",), ("12.5",), ("99999999999999999999",), (None,))
     found = rows.select(text.swap_suffix(F.col("t"), "_1D", "_M"), text.whole_number(F.col("t")), dates.clock_seconds(F.col("t")))
