@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import sys
 import time
 
@@ -27,6 +28,7 @@ def main() -> None:
         query(spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
     spark.stop()
+    scale = re.search(r"sf([0-9.]+)", os.path.basename(folder.rstrip("/")))
     print(
         json.dumps(
             {
@@ -34,7 +36,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+                "sf": float(scale.group(1)) if scale else None,
             }
         )
     )

@@ -22,6 +22,11 @@ def _stored_changes(spark: SparkSession, folder: str) -> DataFrame:
     return settle(user_changes(spark, folder), "changes")
 
 
+def _stored_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """The group table as a stored table, whose size is known."""
+    return settle(fx.portal_groups(spark, folder), "groups")
+
+
 def snapshot_rotation(spark: SparkSession, folder: str) -> DataFrame:
     """Changes found from stored daily snapshots, counted per kind."""
     path = scratch_path(spark, "users")
@@ -34,18 +39,18 @@ def snapshot_rotation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def permission_grants(spark: SparkSession, folder: str) -> DataFrame:
-    return members.permission_grants(_stored_changes(spark, folder), fx.portal_groups(spark, folder), fx.USERS_RUN_TS)
+    return members.permission_grants(_stored_changes(spark, folder), _stored_groups(spark, folder), fx.USERS_RUN_TS)
 
 
 def permission_revokes(spark: SparkSession, folder: str) -> DataFrame:
     return members.permission_revokes(
-        fx.existing_grants(spark, folder), user_changes(spark, folder), fx.portal_groups(spark, folder)
+        fx.existing_grants(spark, folder), user_changes(spark, folder), _stored_groups(spark, folder)
     )
 
 
 def permission_state(spark: SparkSession, folder: str) -> DataFrame:
     """All grants after the run: what the revokes left and what was granted."""
-    changes, groups = _stored_changes(spark, folder), fx.portal_groups(spark, folder)
+    changes, groups = _stored_changes(spark, folder), _stored_groups(spark, folder)
     kept = members.permission_revokes(fx.existing_grants(spark, folder), changes, groups)
     granted = members.permission_grants(changes, groups, fx.USERS_RUN_TS).select(*kept.columns)
     return kept.unionByName(granted)
