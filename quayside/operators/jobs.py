@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.conditions import as_condition, in_use
-from quayside.functions.dates import day_literal, ntz, on_day
+from quayside.functions.dates import day_literal, in_hour, ntz, on_day
 from quayside.plans.settle import settle
 
 # Log status and schedule codes.
@@ -18,6 +18,7 @@ FAILED = "X"
 SKIPPED = "SKIPPED"
 DAILY = "D"
 HOURLY = "H"
+SWITCHED_OFF = "X"
 
 RAW_LEVEL = 0
 
@@ -31,19 +32,29 @@ def eligible_jobs(
     table_info: DataFrame,
     schedule: str = DAILY,
     predicate: str = "UPDATE_COL",
+    source_predicate: str | None = None,
     exclude: Sequence[str] = (),
 ) -> DataFrame:
     """Raw load jobs of a schedule and their load predicate.
 
     A job runs only if it has exactly one predicate row; the others are listed as ``SKIPPED``.
-    Both catalogs meet in one grouping by job.
+    Both catalogs meet in one grouping by job. The hourly load names the columns of its target
+    predicate and of its ``source_predicate``; rows that switch it off do not count.
     """
     wanted = job_info.where(
         (_level() == RAW_LEVEL) & in_use() & (F.col("SCHEDULE") == schedule) & ~F.col("JOB_CODE").isin(*exclude)
     )
-    jobs = wanted.select("JOB_CODE", F.lit(1).alias("_job"), F.lit(0).alias("_rows"), F.lit(None).cast("string").alias("_text"))
-    texts = table_info.where(in_use()).select(
-        "JOB_CODE", F.lit(0).alias("_job"), F.lit(1).alias("_rows"), F.col(predicate).alias("_text")
+    counted = in_use() & (F.col(predicate) != SWITCHED_OFF) if schedule == HOURLY else in_use()
+    none = F.lit(None).cast("string")
+    jobs = wanted.select(
+        "JOB_CODE", F.lit(1).alias("_job"), F.lit(0).alias("_rows"), none.alias("_target"), none.alias("_source")
+    )
+    texts = table_info.where(counted).select(
+        "JOB_CODE",
+        F.lit(0).alias("_job"),
+        F.lit(1).alias("_rows"),
+        F.col(predicate).alias("_target"),
+        F.col(source_predicate or predicate).alias("_source"),
     )
     one = F.sum("_rows") == 1
     return (
@@ -51,7 +62,8 @@ def eligible_jobs(
         .groupBy("JOB_CODE")
         .agg(
             F.max("_job").alias("_job"),
-            F.when(one, F.max("_text")).alias("PREDICATE"),
+            F.when(one, F.max("_target")).alias("PREDICATE"),
+            F.when(one, F.max("_source")).alias("SOURCE_PREDICATE"),
             F.when(one, F.lit("RUN")).otherwise(F.lit(SKIPPED)).alias("STATUS"),
         )
         .where(F.col("_job") == 1)
@@ -66,15 +78,19 @@ def ready_jobs(
     as_of: date,
     schedule: str = DAILY,
     log_schedule: str | None = None,
+    hour: datetime | None = None,
     exclude: Sequence[str] = (),
 ) -> DataFrame:
     """Mart jobs of a schedule as ``READY``, ``BLOCKED`` or ``ALREADY_DONE`` today.
 
     A job is ready if every listed prerequisite has succeeded today; a job without any is
     ready. ``log_schedule`` counts only successes of that schedule; without it an hourly
-    success counts for the daily job.
+    success counts for the daily job. The hourly refresh passes its ``hour`` and counts only
+    successes within it.
     """
-    today = log.where(on_day(F.col("start_date"), as_of) & (F.col("status") == OK))
+    started = F.col("start_date")
+    in_time = on_day(started, as_of) if hour is None else in_hour(started, hour)
+    today = log.where(in_time & (F.col("status") == OK))
     if log_schedule is not None:
         today = today.where(F.col("schedule") == log_schedule)
     done = settle(today.select(F.col("job_code").alias("PRE_JOB_CODE")).distinct(), "done-jobs")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,16 @@ def eligible_load_jobs(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.eligible_jobs(fx.job_info(spark, folder), fx.job_table_info(spark, folder), exclude=["J4"])
 
 
+def eligible_load_jobs_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    return jobs.eligible_jobs(
+        fx.job_info(spark, folder),
+        fx.job_table_info(spark, folder),
+        jobs.HOURLY,
+        predicate="UPDATE_COL_RT",
+        source_predicate="UPDATE_COL_RT_2",
+    )
+
+
 def ready_jobs(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.ready_jobs(
         fx.job_info(spark, folder), fx.pre_job_info(spark, folder), fx.job_log(spark, folder), fx.LOG_DAY
@@ -69,6 +81,21 @@ def ready_jobs_same_schedule(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LOG_HOUR = datetime(2024, 1, 30, 12, 0)
+
+
+def ready_jobs_hourly(spark: SparkSession, folder: str) -> DataFrame:
+    return jobs.ready_jobs(
+        fx.job_info(spark, folder),
+        fx.pre_job_info(spark, folder),
+        fx.job_log(spark, folder),
+        fx.LOG_DAY,
+        schedule=jobs.HOURLY,
+        log_schedule=jobs.HOURLY,
+        hour=LOG_HOUR,
+    )
+
+
 def mart_quality_gate(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.quality_gate(fx.job_log(spark, folder), fx.LOG_DAY)
 
@@ -82,7 +109,9 @@ QUERIES = {
     "derive_table_schema_lossy": derive_table_schema_lossy,
     "catalog_refresh": catalog_refresh,
     "eligible_load_jobs": eligible_load_jobs,
+    "eligible_load_jobs_hourly": eligible_load_jobs_hourly,
     "ready_jobs": ready_jobs,
+    "ready_jobs_hourly": ready_jobs_hourly,
     "ready_jobs_same_schedule": ready_jobs_same_schedule,
     "mart_quality_gate": mart_quality_gate,
     "mart_quality_gate_latest": mart_quality_gate_latest,
@@ -113,35 +142,44 @@ UNION ALL
 SELECT TABLE_NAME, 'MIG_DATETIME', MAX(ORDINAL_POSITION) + 1, 'timestamp_ntz', TRUE, NULL FROM columns_ GROUP BY TABLE_NAME"""
 
 
-def _ready_sql(log_condition: str) -> str:
+def _ready_sql(schedule: str, log_condition: str) -> str:
     return f"""WITH {fx.JOB_CTES},
-done AS (SELECT DISTINCT job_code FROM log
-         WHERE start_date >= TIMESTAMP '{fx.LOG_DAY}' AND start_date < TIMESTAMP '{fx.EVENTS_AS_OF}'
-           AND status = 'O' {log_condition}),
+done AS (SELECT DISTINCT job_code FROM log WHERE status = 'O' AND {log_condition}),
 pre AS (
   SELECT p.JOB_CODE, COUNT(*) AS listed, COUNT(d.job_code) AS met
-  FROM pre_job_info p LEFT JOIN done d ON p.PRE_JOB_CODE = d.job_code GROUP BY p.JOB_CODE)
+  FROM pre_job_info p LEFT JOIN done d ON p.PRE_JOB_CODE = d.job_code
+  WHERE p.SCHEDULE = '{schedule}' GROUP BY p.JOB_CODE)
 SELECT j.JOB_CODE, CAST(j.AGG_LEVEL AS INTEGER) AS AGG_LEVEL, j.ACCUMULATE,
        COALESCE(p.listed, 0) AS PRE_JOBS, COALESCE(p.met, 0) AS PRE_JOBS_DONE,
        CASE WHEN d.job_code IS NOT NULL THEN 'ALREADY_DONE'
             WHEN COALESCE(p.listed, 0) = COALESCE(p.met, 0) THEN 'READY' ELSE 'BLOCKED' END AS STATUS
 FROM job_info j LEFT JOIN pre p ON j.JOB_CODE = p.JOB_CODE LEFT JOIN done d ON j.JOB_CODE = d.job_code
-WHERE j.DEL_YN <> 'Y' AND j.SCHEDULE = 'D' AND CAST(j.AGG_LEVEL AS INTEGER) >= 1"""
+WHERE j.DEL_YN <> 'Y' AND j.SCHEDULE = '{schedule}' AND CAST(j.AGG_LEVEL AS INTEGER) >= 1"""
 
 
+def _eligible_sql(schedule: str, counted: str, source: str, wanted: str) -> str:
+    return f"""WITH {fx.JOB_CTES},
+texts AS (SELECT JOB_CODE, COUNT(*) AS n, MAX(UPDATE_COL) AS text_ FROM job_table_info WHERE {counted} GROUP BY JOB_CODE)
+SELECT j.JOB_CODE, CASE WHEN n = 1 THEN text_ END AS PREDICATE, CASE WHEN n = 1 THEN {source} END AS SOURCE_PREDICATE,
+       CASE WHEN n = 1 THEN 'RUN' ELSE 'SKIPPED' END AS STATUS
+FROM job_info j LEFT JOIN texts t ON j.JOB_CODE = t.JOB_CODE
+WHERE AGG_LEVEL = '0' AND DEL_YN <> 'Y' AND SCHEDULE = '{schedule}' AND {wanted}"""
+
+
+_ON_DAY = f"start_date >= TIMESTAMP '{fx.LOG_DAY}' AND start_date < TIMESTAMP '{fx.EVENTS_AS_OF}'"
+_IN_HOUR = f"CAST(start_date AS DATE) = DATE '{fx.LOG_DAY}' AND hour(start_date) = {LOG_HOUR.hour} AND schedule = 'H'"
+_WIDER = "text_ || ' OR UDATETIME >= DATE ' || chr(39) || '2024-01-30' || chr(39)"
 _TODAY = f"insert_time >= TIMESTAMP '{fx.LOG_DAY}' AND insert_time < TIMESTAMP '{fx.EVENTS_AS_OF}'"
 
 ORACLES = {
     "derive_table_schema": _schema_sql("{sized}", "decimal(19,4)"),
     "derive_table_schema_lossy": _schema_sql("'double'", "double"),
     "catalog_refresh": f"WITH {fx.JOB_CTES} SELECT *, '{fx.EVENTS_RUN_TS}' AS UDATETIME FROM job_info",
-    "eligible_load_jobs": f"""WITH {fx.JOB_CTES},
-texts AS (SELECT JOB_CODE, COUNT(*) AS n, MAX(UPDATE_COL) AS text_ FROM job_table_info GROUP BY JOB_CODE)
-SELECT j.JOB_CODE, CASE WHEN n = 1 THEN text_ END AS PREDICATE, CASE WHEN n = 1 THEN 'RUN' ELSE 'SKIPPED' END AS STATUS
-FROM job_info j LEFT JOIN texts t ON j.JOB_CODE = t.JOB_CODE
-WHERE AGG_LEVEL = '0' AND DEL_YN <> 'Y' AND SCHEDULE = 'D' AND j.JOB_CODE <> 'J4'""",
-    "ready_jobs": _ready_sql(""),
-    "ready_jobs_same_schedule": _ready_sql("AND schedule = 'D'"),
+    "eligible_load_jobs": _eligible_sql("D", "TRUE", "text_", "j.JOB_CODE <> 'J4'"),
+    "eligible_load_jobs_hourly": _eligible_sql("H", "NOT switched_off", _WIDER, "TRUE"),
+    "ready_jobs": _ready_sql("D", _ON_DAY),
+    "ready_jobs_same_schedule": _ready_sql("D", f"{_ON_DAY} AND schedule = 'D'"),
+    "ready_jobs_hourly": _ready_sql("H", _IN_HOUR),
     "mart_quality_gate": f"""WITH {fx.JOB_CTES}
 SELECT COUNT(*) FILTER (WHERE status IS NULL OR status = 'X') = 0 AS gate_open,
        COUNT(*) FILTER (WHERE status IS NULL OR status = 'X') AS bad_rows, COUNT(*) AS log_rows

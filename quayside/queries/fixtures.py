@@ -238,7 +238,7 @@ def pre_job_info(spark: SparkSession, folder: str) -> DataFrame:
             _code(user).alias("JOB_CODE"),
             _code(F.col("pre")).alias("PRE_JOB_CODE"),
             F.lit("N").alias("DEL_YN"),
-            F.lit("D").alias("SCHEDULE"),
+            F.when(user % 7 == 0, F.lit("H")).otherwise(F.lit("D")).alias("SCHEDULE"),
         )
     )
 
@@ -256,7 +256,7 @@ def job_table_info(spark: SparkSession, folder: str) -> DataFrame:
         .select(
             _code(user).alias("JOB_CODE"),
             text.alias("UPDATE_COL"),
-            text.alias("UPDATE_COL_RT"),
+            F.when(user % 11 == 0, F.lit("X")).otherwise(text).alias("UPDATE_COL_RT"),
             F.concat(text, F.lit(" OR UDATETIME >= DATE '2024-01-30'")).alias("UPDATE_COL_RT_2"),
             F.lit("N").alias("DEL_YN"),
         )
@@ -278,12 +278,13 @@ job_info AS (
          CASE user_id % 3 WHEN 0 THEN 'O' WHEN 1 THEN 'OO' ELSE 'N' END AS ACCUMULATE
   FROM users),
 pre_job_info AS (
-  SELECT 'J' || user_id AS JOB_CODE, 'J' || (user_id // 2) AS PRE_JOB_CODE FROM users WHERE user_id >= 2
-  UNION ALL
-  SELECT 'J' || user_id, 'J' || (user_id // 3) FROM users WHERE user_id >= 3),
+  SELECT 'J' || user_id AS JOB_CODE, 'J' || (user_id // divisor) AS PRE_JOB_CODE,
+         CASE WHEN user_id % 7 = 0 THEN 'H' ELSE 'D' END AS SCHEDULE
+  FROM users, (SELECT unnest([2, 3]) AS divisor) WHERE user_id >= divisor),
 job_table_info AS (
   SELECT 'J' || user_id AS JOB_CODE,
-         'RDATETIME >= DATE ''2024-01-' || lpad(CAST(user_id % 28 + 1 AS VARCHAR), 2, '0') || '''' AS UPDATE_COL
+         'RDATETIME >= DATE ''2024-01-' || lpad(CAST(user_id % 28 + 1 AS VARCHAR), 2, '0') || '''' AS UPDATE_COL,
+         user_id % 11 = 0 AS switched_off
   FROM users, (SELECT unnest([1, 2]) AS copy)
   WHERE copy <= CASE WHEN user_id % 19 = 0 THEN 2 WHEN user_id % 23 = 0 THEN 0 ELSE 1 END)
 """

@@ -30,6 +30,24 @@ def test_one_predicate_row_is_needed(spark):
     ]
 
 
+def test_hourly_predicates(spark):
+    info = frame(spark, INFO, *[(j, "0", "N", "H", None) for j in ("a", "b", "c")])
+    table_info = frame(
+        spark, "JOB_CODE string, UPDATE_COL_RT string, UPDATE_COL_RT_2 string, DEL_YN string",
+        ("a", "t", "s", "N"), ("a", "X", "s", "N"), ("b", "X", "s", "N"), ("c", None, "s", "N"),
+    )
+    found = jobs.eligible_jobs(info, table_info, jobs.HOURLY, "UPDATE_COL_RT", "UPDATE_COL_RT_2")
+    assert values(found, "JOB_CODE", "PREDICATE", "SOURCE_PREDICATE", "STATUS") == [
+        ("a", "t", "s", "RUN"), ("b", None, None, "SKIPPED"), ("c", None, None, "SKIPPED"),
+    ]
+
+
+def test_level_that_is_no_number(spark):
+    info = frame(spark, INFO, ("a", "zero", "N", "D", None))
+    table_info = frame(spark, "JOB_CODE string, UPDATE_COL string, DEL_YN string", ("a", "p", "N"))
+    assert values(jobs.eligible_jobs(info, table_info)) == []
+
+
 def ready(spark, log, edges, **options):
     info = frame(spark, INFO, *[(j, "1", "N", "D", "O") for j in ("a", "b", "c")], ("raw", "0", "N", "D", None))
     found = jobs.ready_jobs(info, frame(spark, EDGES, *edges), frame(spark, LOG, *log), DAY, **options)
@@ -52,6 +70,13 @@ def test_schedule_of_the_success(spark):
     assert ready(spark, [log_row("x", schedule="H")], edges, log_schedule="D")["b"] == "BLOCKED"
 
 
+def test_success_of_the_same_hour(spark):
+    edges = [("b", "x", "N", "D")]
+    log = [log_row("x", at=datetime(2024, 1, 10, 9, 59)), log_row("a", at=datetime(2024, 1, 9, 10, 5))]
+    assert ready(spark, log, edges, hour=datetime(2024, 1, 10, 10, 30)) == {"a": "READY", "b": "BLOCKED", "c": "READY"}
+    assert ready(spark, log, edges, hour=datetime(2024, 1, 10, 9))["b"] == "READY"
+
+
 def test_prerequisite_listed_twice(spark):
     edges = [("b", "x", "N", "D"), ("b", "x", "N", "D")]
     assert ready(spark, [log_row("x")], edges)["b"] == "READY"

@@ -7,7 +7,7 @@ import pytest
 from quayside.queries import all_oracles, all_queries
 
 QUERIES, ORACLES = all_queries(), all_oracles()
-EMPTY_AT_SMALL_SCALE = {"failed_task_report", "latest_hour_report_compat"}
+EMPTY_AT_SMALL_SCALE = {"eligible_load_jobs_hourly", "failed_task_report", "latest_hour_report_compat"}
 
 
 def plain(value):
