@@ -71,6 +71,16 @@ def eligible_jobs(
     )
 
 
+def listed_jobs(job_info: DataFrame, listed: DataFrame, schedule: str = DAILY) -> DataFrame:
+    """Raw load jobs of a schedule that occur in ``listed``, each once.
+
+    ``listed`` has a ``JOB_CODE`` column, for example the catalog rows with one predicate text,
+    or the mismatches of the first pass.
+    """
+    wanted = job_info.where((_level() == RAW_LEVEL) & in_use() & (F.col("SCHEDULE") == schedule))
+    return wanted.select("JOB_CODE").join(listed.select("JOB_CODE"), ["JOB_CODE"], "left_semi")
+
+
 def ready_jobs(
     job_info: DataFrame,
     pre_job_info: DataFrame,

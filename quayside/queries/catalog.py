@@ -65,6 +65,12 @@ def eligible_load_jobs_hourly(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def listed_load_jobs(spark: SparkSession, folder: str) -> DataFrame:
+    """The jobs whose months are counted: those loaded by the usual window."""
+    usual = fx.job_table_info(spark, folder).where(F.col("UPDATE_COL").isin(fx.USUAL_WINDOWS))
+    return jobs.listed_jobs(fx.job_info(spark, folder), usual)
+
+
 def ready_jobs(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.ready_jobs(
         fx.job_info(spark, folder), fx.pre_job_info(spark, folder), fx.job_log(spark, folder), fx.LOG_DAY
@@ -110,6 +116,7 @@ QUERIES = {
     "catalog_refresh": catalog_refresh,
     "eligible_load_jobs": eligible_load_jobs,
     "eligible_load_jobs_hourly": eligible_load_jobs_hourly,
+    "listed_load_jobs": listed_load_jobs,
     "ready_jobs": ready_jobs,
     "ready_jobs_hourly": ready_jobs_hourly,
     "ready_jobs_same_schedule": ready_jobs_same_schedule,
@@ -168,6 +175,7 @@ WHERE AGG_LEVEL = '0' AND DEL_YN <> 'Y' AND SCHEDULE = '{schedule}' AND {wanted}
 
 _ON_DAY = f"start_date >= TIMESTAMP '{fx.LOG_DAY}' AND start_date < TIMESTAMP '{fx.EVENTS_AS_OF}'"
 _IN_HOUR = f"CAST(start_date AS DATE) = DATE '{fx.LOG_DAY}' AND hour(start_date) = {LOG_HOUR.hour} AND schedule = 'H'"
+_USUAL = ", ".join("'" + text.replace("'", "''") + "'" for text in fx.USUAL_WINDOWS)
 _WIDER = "text_ || ' OR UDATETIME >= DATE ' || chr(39) || '2024-01-30' || chr(39)"
 _TODAY = f"insert_time >= TIMESTAMP '{fx.LOG_DAY}' AND insert_time < TIMESTAMP '{fx.EVENTS_AS_OF}'"
 
@@ -177,6 +185,10 @@ ORACLES = {
     "catalog_refresh": f"WITH {fx.JOB_CTES} SELECT *, '{fx.EVENTS_RUN_TS}' AS UDATETIME FROM job_info",
     "eligible_load_jobs": _eligible_sql("D", "TRUE", "text_", "j.JOB_CODE <> 'J4'"),
     "eligible_load_jobs_hourly": _eligible_sql("H", "NOT switched_off", _WIDER, "TRUE"),
+    "listed_load_jobs": f"""WITH {fx.JOB_CTES}
+SELECT JOB_CODE FROM job_info
+WHERE AGG_LEVEL = '0' AND DEL_YN <> 'Y' AND SCHEDULE = 'D'
+  AND JOB_CODE IN (SELECT JOB_CODE FROM job_table_info WHERE UPDATE_COL IN ({_USUAL}))""",
     "ready_jobs": _ready_sql("D", _ON_DAY),
     "ready_jobs_same_schedule": _ready_sql("D", f"{_ON_DAY} AND schedule = 'D'"),
     "ready_jobs_hourly": _ready_sql("H", _IN_HOUR),

@@ -263,6 +263,8 @@ def job_table_info(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+USUAL_WINDOWS = [f"RDATETIME >= DATE '2024-01-{day:02d}'" for day in (5, 9, 13)]
+
 JOB_CTES = """
 users AS (SELECT DISTINCT user_id FROM events),
 log AS (

@@ -48,6 +48,12 @@ def test_level_that_is_no_number(spark):
     assert values(jobs.eligible_jobs(info, table_info)) == []
 
 
+def test_listed_jobs_come_once(spark):
+    info = frame(spark, INFO, ("a", "0", "N", "D", None), ("b", "0", "N", "D", None), ("c", "0", "Y", "D", None))
+    listed = frame(spark, "JOB_CODE string, date string", ("a", "2024-01"), ("a", "2024-02"), ("c", "2024-01"))
+    assert values(jobs.listed_jobs(info, listed)) == [("a",)]
+
+
 def ready(spark, log, edges, **options):
     info = frame(spark, INFO, *[(j, "1", "N", "D", "O") for j in ("a", "b", "c")], ("raw", "0", "N", "D", None))
     found = jobs.ready_jobs(info, frame(spark, EDGES, *edges), frame(spark, LOG, *log), DAY, **options)
