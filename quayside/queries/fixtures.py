@@ -164,9 +164,19 @@ def first_loads(spark: SparkSession, folder: str) -> DataFrame:
     return _part_months(spark, folder).withColumn("MIG_DATETIME", _month_load(0))
 
 
+def _loaded_again() -> Column:
+    return (F.month("ship_month") % 2 == 0) & (F.col("l_partkey") % 3 != 0)
+
+
 def reloads(spark: SparkSession, folder: str) -> DataFrame:
-    again = (F.month("ship_month") % 2 == 0) & (F.col("l_partkey") % 3 != 0)
-    return _part_months(spark, folder).where(again).withColumn("MIG_DATETIME", _month_load(1))
+    return _part_months(spark, folder).where(_loaded_again()).withColumn("MIG_DATETIME", _month_load(1))
+
+
+def all_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """First loads and reloads, from one grouping."""
+    first = F.array(_month_load(0))
+    loads = F.when(_loaded_again(), F.array(_month_load(0), _month_load(1))).otherwise(first)
+    return _part_months(spark, folder).withColumn("MIG_DATETIME", F.explode(loads))
 
 
 BATCH_CTES = """

@@ -75,8 +75,7 @@ def dedup_keep_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedup_purge_batches(spark: SparkSession, folder: str) -> DataFrame:
-    loaded = fx.first_loads(spark, folder).unionByName(fx.reloads(spark, folder))
-    return dedup.purge_superseded_batches(loaded, fx.BATCH_KEYS)
+    return dedup.purge_superseded_batches(fx.all_loads(spark, folder), fx.BATCH_KEYS)
 
 
 QUERIES = {

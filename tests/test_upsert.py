@@ -1,3 +1,4 @@
+import random
 from datetime import date, datetime
 
 import pytest
@@ -98,6 +99,33 @@ def test_load_of_a_new_column(spark):
     assert (5, "x") in values(loaded, "k", "extra")
 
 
+def brute_load(target, batch, in_window, strict):
+    """The load row by row: batch and target rows are (key, value, created, updated)."""
+    if not batch:
+        return target
+    replaced = {r[0] for r in batch if r[0] is not None and (strict or r[3] is not None)}
+    return [r for r in target if r[0] not in replaced and not in_window(r)] + batch
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("strict", [False, True])
+def test_load_equals_brute_force(spark, seed, strict):
+    rng = random.Random(seed)
+    moments = [None, OLD, NOW, datetime(2024, 1, 9), datetime(2024, 1, 10), TS]
+
+    def some(n, value):
+        return [(rng.choice([None, 1, 1, 1, *range(2, 12)]), f"{value}{i}", rng.choice(moments), rng.choice(moments)) for i in range(n)]
+
+    def in_window(row):
+        return any(m is not None and datetime(2024, 1, 9) <= m < datetime(2024, 1, 10) for m in row[2:4])
+
+    old, new = some(40, "old"), some(25, "new")
+    batch = [r for r in new if in_window(r)]
+    loaded = upsert.load_window(frame(spark, SCHEMA, *new), frame(spark, SCHEMA, *old), ["k"], IN, TS, strict=strict)
+    expected = [r[1] for r in brute_load(old, batch, in_window, strict)]
+    assert sorted(r.v for r in loaded.collect()) == sorted(expected)
+
+
 def test_touched_partitions(spark):
     found = upsert.touched_partitions(
         target(spark), source(spark).where(IN), ["k"], IN, F.to_date("RDATETIME"), "day"
