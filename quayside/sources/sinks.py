@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.sources.scans import table_exists
@@ -74,6 +75,18 @@ def append_table(df: DataFrame, name: str, partition: str, path: str | None = No
     _balanced(_in_table_order(df, name), [partition]).write.mode("append").insertInto(name)
 
 
+@contextmanager
+def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
+    """An insert into a table takes this mode from the session, not from the writer."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def replace_table_partitions(df: DataFrame, name: str, partition: str, touched: DataFrame) -> None:
     """Put ``df`` in the place of the ``touched`` partitions of a catalog table.
 
@@ -85,7 +98,7 @@ def replace_table_partitions(df: DataFrame, name: str, partition: str, touched:
     # df still reads the old files; only the columns that decide which rows stay are read.
     emptied = touched.select(partition).join(df.select(partition).distinct(), [partition], "left_anti").collect()
     rows = _balanced(_in_table_order(df, name), [partition])
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.insertInto(name)
+    with _only_written_partitions(spark):
+        rows.write.mode("overwrite").insertInto(name)
     for row in emptied:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = :value)", {"value": row[partition]})

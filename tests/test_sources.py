@@ -1,7 +1,7 @@
 from datetime import date, datetime
 
 import pytest
-from helpers import TS, frame, values
+from helpers import TS, frame, settings, values
 from pyspark.sql import functions as F
 
 from quayside.functions import dates, text
@@ -94,6 +94,21 @@ def test_table_load_adds_columns(spark, tmp_path):
     spark.sql("DROP TABLE grown")
 
 
+def test_partitions_are_replaced_alone_in_any_session(spark, tmp_path):
+    with settings(spark, spark__sql__sources__partitionOverwriteMode="static"):
+        rows = spark.range(4).withColumn("m", F.col("id").cast("string"))
+        sinks.create_table(rows, "alone", "m", str(tmp_path / "alone"))
+        changed = spark.table("alone").where("m = '1'").withColumn("id", F.lit(10).cast("bigint"))
+        sinks.replace_table_partitions(changed, "alone", "m", spark.sql("SELECT '1' AS m"))
+        assert values(spark.table("alone"), "m", "id") == [("0", 0), ("1", 10), ("2", 2), ("3", 3)]
+        path = str(tmp_path / "files")
+        sinks.append(rows, path, ["m"])
+        sinks.replace_partitions(spark.read.parquet(path).where("m = 1").withColumn("id", F.lit(10)), path, ["m"])
+        assert values(spark.read.parquet(path), "id") == [(0,), (2,), (3,), (10,)]
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+    spark.sql("DROP TABLE alone")
+
+
 def test_append_creates_and_grows_a_table(spark, tmp_path):
     where = dict(name="years", partition="LOAD_YEAR", path=str(tmp_path / "years"))
     for year, extra in ((2023, []), (2024, ["extra"])):
