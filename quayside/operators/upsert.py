@@ -38,9 +38,12 @@ def delete_keys(target: DataFrame, keys: DataFrame) -> DataFrame:
     return kept.select(*[F.col(f"`{c}`") for c in target.columns])
 
 
-def stamped(df: DataFrame, run_ts: datetime, stamp: str = STAMP) -> DataFrame:
-    """All rows of one load carry one load time."""
-    return df.withColumn(stamp, ntz(run_ts))
+def stamped(df: DataFrame, run_ts: datetime, stamp: str = STAMP, like: DataFrame | None = None) -> DataFrame:
+    """All rows of one load carry one load time, in the type it has in the table ``like``."""
+    moment = ntz(run_ts)
+    if like is not None and stamp in like.columns:
+        moment = moment.cast(like.schema[stamp].dataType)
+    return df.withColumn(stamp, moment)
 
 
 def _need_keys(keys: Sequence[str] | None) -> None:
@@ -78,7 +81,7 @@ def incremental_upsert(
     """
     _need_keys(keys)
     # The source is read once. Later steps see the same rows, and the size of the key list is known.
-    batch = settle(stamped(batch, run_ts, stamp), "batch", compact=True)
+    batch = settle(stamped(batch, run_ts, stamp, target), "batch", compact=True)
     return apply_batch(target, batch, keys, target_pred, updated, strict)
 
 

@@ -39,12 +39,13 @@ def load_table(
 ) -> DataFrame:
     """``incremental_upsert`` into a table made by ``create_by_month``; returns the table.
 
-    New columns of the batch are added to the table first. Which months change is found from the key and date columns alone. Whole rows are read and
-    written only for these months.
+    New columns of the batch are added to the table first. Which months change is found from the
+    key and date columns alone. Whole rows are read and written only for these months.
     """
     spark = batch.sparkSession
     target = spark.table(name)
-    batch = settle(stamped(batch.withColumn(PARTITION, load_month(moment)), run_ts), "batch", compact=True)
+    dated = batch.withColumn(PARTITION, load_month(moment))
+    batch = settle(stamped(dated, run_ts, like=target), "batch", compact=True)
     if batch.isEmpty():
         return target
     add_columns(batch, name)

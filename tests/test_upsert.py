@@ -126,6 +126,14 @@ def test_load_equals_brute_force(spark, seed, strict):
     assert sorted(r.v for r in loaded.collect()) == sorted(expected)
 
 
+@pytest.mark.parametrize("kind", ["string", "timestamp", "timestamp_ntz"])
+def test_load_time_has_the_type_of_the_table(spark, kind):
+    typed = target(spark).withColumn("MIG_DATETIME", F.col("MIG_DATETIME").cast(kind))
+    loaded = upsert.load_window(source(spark), typed, ["k"], IN, TS)
+    assert loaded.schema["MIG_DATETIME"].dataType.simpleString() == kind
+    assert loaded.where("v = 'new'").select(F.col("MIG_DATETIME").cast("string")).first()[0] == "2024-01-10 03:00:00"
+
+
 def test_touched_partitions(spark):
     found = upsert.touched_partitions(
         target(spark), source(spark).where(IN), ["k"], IN, F.to_date("RDATETIME"), "day"
