@@ -16,13 +16,16 @@ def number_rows(df: DataFrame, order: Sequence[Column], name: str = "num") -> Da
     """Number rows 1..n in ``order``.
 
     The sort spreads the rows over range partitions. Each task numbers its own rows, and the
-    rows in the partitions before it are added. Give enough order columns to make the order
-    total: they also let the sort split rows that share the first column.
+    rows in the partitions before it are added. Rows equal in all order columns are told apart
+    by their place in the input, so that the sort can spread them too; give enough columns to
+    make the order total if their numbers matter.
     """
     placed = settle(
-        df.orderBy(*order)
+        df.withColumn("_input", F.monotonically_increasing_id())
+        .orderBy(*order, "_input")
         .withColumn("_task", F.spark_partition_id())
-        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK))),
+        .withColumn("_place", F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_MASK)))
+        .drop("_input"),
         "numbered",
     )
     # One row per task, so this window is as small as the task list.

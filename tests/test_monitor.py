@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from helpers import frame, values
+from helpers import frame, settings, values
 from pyspark.sql import functions as F
 
 from quayside.operators import monitor
@@ -38,6 +38,14 @@ def test_numbers_have_no_gaps(spark):
     assert number_rows(rows.where("false"), [F.col("x")]).count() == 0
 
 
+def test_equal_rows_are_spread(spark):
+    rows = spark.range(0, 40000, 1, 8).select(F.lit(1).alias("same"), F.col("id"))
+    with settings(spark, spark__sql__adaptive__coalescePartitions__enabled="false"):
+        numbered = number_rows(rows, [F.col("same")])
+    assert numbered.agg(F.min("num"), F.max("num"), F.count_distinct("num")).first() == (1, 40000, 40000)
+    assert len(numbered.inputFiles()) >= 8
+
+
 def test_failed_tasks(spark):
     runs = frame(
         spark, "dag_id string, execution_date timestamp_ntz, state string",
