@@ -1,4 +1,4 @@
-"""An incremental load into a stored table that rewrites only the partitions it changes."""
+"""Stored tables by month: created, filled with history, and loaded so that only changed months are rewritten."""
 
 from __future__ import annotations
 
@@ -9,22 +9,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import month_label
+from quayside.operators.history import YEAR, historical_load
+from quayside.operators.schema import struct_of
 from quayside.operators.upsert import CREATED, UPDATED, apply_batch, stamped, touched_partitions
 from quayside.plans.settle import settle
-from quayside.sources.sinks import add_columns, create_table, replace_table_partitions
+from quayside.sources.sinks import add_columns, append_table, create_table, replace_table_partitions
 
 PARTITION = "LOAD_MONTH"
 UNDATED = "undated"
 
 
-def load_month(moment: str = CREATED) -> Column:
-    """The partition of a row: its month of creation."""
-    return F.coalesce(month_label(F.trunc(moment, "month")), F.lit(UNDATED))
+def by_month(rows: DataFrame, moment: str = CREATED) -> DataFrame:
+    """Rows with the partition they belong to: their month of creation."""
+    if moment not in rows.columns:
+        return rows.withColumn(PARTITION, F.lit(UNDATED))
+    return rows.withColumn(PARTITION, F.coalesce(month_label(F.trunc(moment, "month")), F.lit(UNDATED)))
 
 
 def create_by_month(rows: DataFrame, name: str, moment: str = CREATED, path: str | None = None) -> None:
     """Store rows as a catalog table partitioned by month of creation."""
-    create_table(rows.withColumn(PARTITION, load_month(moment)), name, PARTITION, path)
+    create_table(by_month(rows, moment), name, PARTITION, path)
+
+
+def create_from_catalog(
+    derived: DataFrame, table: str, name: str, moment: str = CREATED, path: str | None = None
+) -> list[str]:
+    """An empty table with the columns that ``derive_schema`` gives for ``table``; returns its key columns."""
+    struct, keys = struct_of(derived, table)
+    create_by_month(derived.sparkSession.createDataFrame([], struct), name, moment, path)
+    return keys
+
+
+def load_history(
+    source: DataFrame,
+    name: str,
+    first: int,
+    last: int,
+    run_ts: datetime,
+    moment: str = CREATED,
+    path: str | None = None,
+) -> DataFrame:
+    """Append the years ``first`` to ``last`` of a source to a table, which is created if absent."""
+    rows = historical_load(source, first, last, run_ts, moment).drop(YEAR)
+    append_table(by_month(rows, moment), name, PARTITION, path)
+    return source.sparkSession.table(name)
 
 
 def load_table(
@@ -44,8 +72,7 @@ def load_table(
     """
     spark = batch.sparkSession
     target = spark.table(name)
-    dated = batch.withColumn(PARTITION, load_month(moment))
-    batch = settle(stamped(dated, run_ts, like=target), "batch", compact=True)
+    batch = settle(stamped(by_month(batch, moment), run_ts, like=target), "batch", compact=True)
     if batch.isEmpty():
         return target
     add_columns(batch, name)

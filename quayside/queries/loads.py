@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import history, jobs, schema, upsert
 from quayside.plans.settle import scratch_path
-from quayside.plans.table_load import create_by_month, load_table
+from quayside.plans.table_load import create_by_month, load_history, load_table
 from quayside.queries import fixtures as fx
 from quayside.sources import sinks
 from quayside.sources.scans import table
@@ -90,6 +90,14 @@ def historical_load_by_year(spark: SparkSession, folder: str) -> DataFrame:
     return history.historical_load(fx.order_source(spark, folder), FIRST_YEAR, LAST_YEAR, fx.RUN_TS)
 
 
+def historical_load_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The historical load into a stored table, followed by a daily load."""
+    name = f"quayside_history_{uuid.uuid4().hex}"
+    source = fx.order_source(spark, folder)
+    load_history(source, name, FIRST_YEAR, LAST_YEAR, fx.OLD_TS, path=scratch_path(spark, "history"))
+    return load_table(name, source.where(fx.WINDOW), fx.ORDER_KEYS, fx.WINDOW, fx.RUN_TS)
+
+
 def historical_load_unplaced(spark: SparkSession, folder: str) -> DataFrame:
     return history.unplaced_rows(fx.order_source(spark, folder), FIRST_YEAR, LAST_YEAR, "UDATETIME")
 
@@ -147,6 +155,7 @@ QUERIES = {
     "schema_evolution": schema_evolution,
     "schema_evolution_as_text": schema_evolution_as_text,
     "historical_load_by_year": historical_load_by_year,
+    "historical_load_table": historical_load_table,
     "historical_load_unplaced": historical_load_unplaced,
     "full_refresh": full_refresh,
     "load_log_rows": load_log_rows,
@@ -200,6 +209,15 @@ FROM source WHERE {fx.WINDOW_SQL}""",
     "historical_load_by_year": f"""WITH {fx.ORDER_CTES}
 SELECT *, CAST(year(RDATETIME) AS INTEGER) AS LOAD_YEAR, TIMESTAMP '{fx.RUN_TS}' AS MIG_DATETIME
 FROM source WHERE RDATETIME >= TIMESTAMP '{FIRST_YEAR}-01-01' AND RDATETIME < TIMESTAMP '{LAST_YEAR + 1}-01-01'""",
+    "historical_load_table": f"""WITH {fx.ORDER_CTES},
+batch AS (SELECT *, TIMESTAMP '{fx.RUN_TS}' AS MIG_DATETIME FROM source WHERE {fx.WINDOW_SQL}),
+history AS (
+  SELECT *, TIMESTAMP '{fx.OLD_TS}' AS MIG_DATETIME FROM source
+  WHERE RDATETIME >= TIMESTAMP '{FIRST_YEAR}-01-01' AND RDATETIME < TIMESTAMP '{LAST_YEAR + 1}-01-01')
+SELECT *, strftime(RDATETIME, '%Y-%m') AS LOAD_MONTH FROM (
+  SELECT * FROM history
+  WHERE o_orderkey NOT IN (SELECT o_orderkey FROM batch WHERE UDATETIME IS NOT NULL) AND ({fx.WINDOW_SQL}) IS NOT TRUE
+  UNION ALL SELECT * FROM batch)""",
     "historical_load_unplaced": f"""WITH {fx.ORDER_CTES}
 SELECT CASE WHEN UDATETIME IS NULL THEN 'NO_DATE' WHEN year(UDATETIME) < {FIRST_YEAR} THEN 'BEFORE' ELSE 'AFTER' END AS REASON,
        COUNT(*) AS ROW_COUNT

@@ -13,13 +13,12 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
 }
 
 
 def local_session(cpus: int | str = "*", app: str = "quayside", **extra: str) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
-    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName(app).config("spark.ui.enabled", "false")
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()

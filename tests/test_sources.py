@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from quayside.functions import dates, text
 from quayside.operators import upsert
 from quayside.plans import settle
-from quayside.plans.table_load import create_by_month, load_table
+from quayside.operators.schema import derive_schema
+from quayside.plans.table_load import create_by_month, create_from_catalog, load_history, load_table
 from quayside.sources import catalogs, databases, scans, sinks
 
 SCHEMA = "k bigint, v string, RDATETIME timestamp_ntz, UDATETIME timestamp_ntz"
@@ -85,6 +86,30 @@ def test_table_load_rewrites_touched_months(spark, tmp_path):
     spark.sql("DROP TABLE orders_by_month")
 
 
+def test_table_from_catalog_to_daily_load(spark, tmp_path):
+    columns = [
+        ("t", "k", 1, "bigint", None, None, "NO", 1), ("t", "v", 2, "nvarchar", None, None, "YES", None),
+        ("t", "RDATETIME", 3, "datetime", None, None, "YES", None), ("t", "UDATETIME", 4, "datetime", None, None, "YES", None),
+    ]
+    catalog = frame(
+        spark, "TABLE_NAME string, COLUMN_NAME string, ORDINAL_POSITION int, DATA_TYPE string, NUMERIC_PRECISION int, "
+        "NUMERIC_SCALE int, IS_NULLABLE string, KEY_POSITION int", *columns,
+    )
+    keys = create_from_catalog(derive_schema(catalog), "t", "from_catalog", path=str(tmp_path / "t"))
+    assert (keys, spark.table("from_catalog").count()) == (["k"], 0)
+    source = frame(spark, SCHEMA, *ROWS)
+    assert values(load_history(source, "from_catalog", 2024, 2024, TS), "k") == [(1,), (2,), (3,), (4,)]
+    changed = frame(spark, SCHEMA, (4, "april again", datetime(2024, 4, 5), None))
+    assert values(load_table("from_catalog", changed, keys, IN, TS), "v") == [("april again",), ("feb",), ("jan",)]
+    spark.sql("DROP TABLE from_catalog")
+
+
+def test_history_without_dates(spark, tmp_path):
+    loaded = load_history(frame(spark, "k int", (1,), (2,)), "no_dates", 2024, 2024, TS, path=str(tmp_path / "n"))
+    assert values(loaded, "k", "LOAD_MONTH") == [(1, "undated"), (2, "undated")]
+    spark.sql("DROP TABLE no_dates")
+
+
 def test_table_load_adds_columns(spark, tmp_path):
     create_by_month(upsert.stamped(frame(spark, SCHEMA, *ROWS), TS), "grown", path=str(tmp_path / "grown"))
     batch = frame(spark, SCHEMA, (6, "mar", datetime(2024, 3, 7), None)).withColumn("extra", F.lit(1.5))
