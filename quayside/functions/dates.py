@@ -54,7 +54,18 @@ def in_days(moment: Column, start: date, end: date) -> Column:
     return (moment >= ntz(start)) & (moment < ntz(end))
 
 
+def clock_label(moment: Column) -> Column:
+    """``HH:mm:ss`` text. Cut from the text form, as ``date_format`` would apply the session zone's clock changes."""
+    return F.substring(moment.cast("string"), 12, 8)
+
+
+def hour_start(moment: Column) -> Column:
+    """The full hour of a timestamp, whatever the session zone is."""
+    return F.to_timestamp_ntz(F.concat(F.substring(moment.cast("string"), 1, 13), F.lit(":00:00")))
+
+
 def clock_seconds(clock: Column) -> Column:
     """Seconds since midnight of an ``HH:mm:ss`` text; NULL where it is no time."""
-    parsed = F.try_to_timestamp(F.concat(F.lit("1970-01-01 "), clock), F.lit("yyyy-MM-dd HH:mm:ss"))
-    return F.hour(parsed) * 3600 + F.minute(parsed) * 60 + F.second(parsed)
+    valid = clock.rlike("^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$")
+    hours, minutes, seconds = (F.substring(clock, at, 2).cast("int") for at in (1, 4, 7))
+    return F.when(valid, hours * 3600 + minutes * 60 + seconds)

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.dates import clock_seconds, ntz
+from quayside.functions.dates import clock_seconds, hour_start, ntz
 from quayside.operators.jobs import HOURLY, OK
 from quayside.plans.numbering import number_rows
 
@@ -48,9 +48,7 @@ def latest_hour_report(
     wanted = log.where(F.col("schedule") == schedule)
     if status is not None:
         wanted = wanted.where(F.col("status") == status)
-    newest = (log if compat else wanted).agg(
-        F.date_trunc("hour", F.max(moment)).cast("timestamp_ntz").alias("_hour")
-    )
+    newest = (log if compat else wanted).agg(hour_start(F.max(moment)).alias("_hour"))
     # One value, computed first; the range then reaches the scan.
     hour = newest.scalar()
     rows = wanted.where((F.col(moment) >= hour) & (F.col(moment) < hour + F.expr("interval 1 hour")))

@@ -27,7 +27,7 @@ def scalar_dates(spark: SparkSession, folder: str) -> DataFrame:
         F.hour(later).alias("hour"),
         F.datediff(dates.day_literal(fx.AS_OF), F.to_date(at)).cast("bigint").alias("age_days"),
         F.to_timestamp_ntz(F.concat(dates.day_label(at), F.lit(" 03:00:00")), F.lit("yyyy-MM-dd HH:mm:ss")).alias("parsed"),
-        (dates.clock_seconds(F.lit("23:59:59")) - dates.clock_seconds(F.date_format(later, "HH:mm:ss"))).cast("bigint").alias("seconds_left"),
+        (dates.clock_seconds(F.lit("23:59:59")) - dates.clock_seconds(dates.clock_label(later))).cast("bigint").alias("seconds_left"),
         dates.in_days(at, fx.WINDOW_START, fx.AS_OF).alias("in_window"),
         dates.ntz(fx.RUN_TS).alias("run_ts"),
     )

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.functions.dates import clock_label
 from quayside.operators import monitor
 from quayside.queries import fixtures as fx
 from quayside.sources.scans import table
@@ -19,7 +20,7 @@ def _report(spark: SparkSession, folder: str) -> DataFrame:
     return fx.job_log(spark, folder).select(
         F.to_date("insert_time").alias("run_date"),
         "schedule",
-        F.date_format("insert_time", "HH:mm:ss").alias("START_TIME"),
+        clock_label(F.col("insert_time")).alias("START_TIME"),
         F.col("status").alias("STATUS"),
     )
 

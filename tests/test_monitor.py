@@ -31,6 +31,13 @@ def test_latest_hour(spark):
     assert values(monitor.latest_hour_report(log, compat=True)) == []
 
 
+def test_latest_hour_in_a_zone_with_clock_changes(spark):
+    # 02:30 on this day does not exist on New York's clocks.
+    log = frame(spark, LOG, ("a", datetime(2024, 3, 10, 2, 30), "O", "H"), ("b", datetime(2024, 3, 10, 1, 30), "O", "H"))
+    with settings(spark, spark__sql__session__timeZone="America/New_York"):
+        assert values(monitor.latest_hour_report(log), "num", "job_code") == [(1, "a")]
+
+
 def test_numbers_have_no_gaps(spark):
     rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x"), F.lit(1).alias("same"))
     numbered = number_rows(rows, [F.col("same"), F.col("x")])
