@@ -70,7 +70,9 @@ def order_target(spark: SparkSession, folder: str) -> DataFrame:
 
     lost = key % 29 == 0
     aged = F.when(~lost, copy(key, price * 0.9, null("timestamp_ntz")))
-    orphan = F.when(key % 41 == 0, copy(key + 1000000000, price, F.col("UDATETIME")))
+    # Every second month holds more rows that the source no longer has than it lost.
+    stray = (key % 41 == 0) | ((F.month("RDATETIME") % 2 == 0) & (key % 23 == 0))
+    orphan = F.when(stray, copy(key + 1000000000, price, F.col("UDATETIME")))
     return old.select(
         "o_custkey", "o_orderstatus", "RDATETIME", F.inline(F.array_compact(F.array(aged, orphan)))
     ).withColumn("MIG_DATETIME", ntz(OLD_TS))
@@ -88,7 +90,8 @@ target AS (
   FROM source WHERE RDATETIME < TIMESTAMP '{TARGET_END}' AND o_orderkey % 29 <> 0
   UNION ALL
   SELECT o_orderkey + 1000000000, o_custkey, o_orderstatus, o_totalprice, RDATETIME, UDATETIME, TIMESTAMP '{OLD_TS}'
-  FROM source WHERE RDATETIME < TIMESTAMP '{TARGET_END}' AND o_orderkey % 41 = 0)
+  FROM source WHERE RDATETIME < TIMESTAMP '{TARGET_END}' 
+    AND (o_orderkey % 41 = 0 OR (month(RDATETIME) % 2 = 0 AND o_orderkey % 23 = 0)))
 """
 WINDOW_SQL = WINDOW.replace("timestamp_ntz'", "TIMESTAMP '")
 
