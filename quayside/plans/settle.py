@@ -10,24 +10,21 @@ not bring back the work behind the list.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, else the context's own checkpoint folder.
+    """The folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder, else the warehouse.
 
-    Where neither is set a scratch folder is made, but only on a single machine.
+    There is no machine-local way out: executors elsewhere could not read from it.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and (warehouse := spark.conf.get("spark.sql.warehouse.dir", None)):
+        folder = f"{warehouse.rstrip('/')}/_scratch"
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-"))
-        folder = context.getCheckpointDir()
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     return folder.rstrip("/")
 
 
@@ -46,3 +43,10 @@ def settle(df: DataFrame, label: str, compact: bool = False) -> DataFrame:
     path = scratch_path(spark, label)
     (df.hint("rebalance") if compact else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str | None = None) -> None:
+    """Remove one scratch path, or all that this application has written, once nothing reads it any more."""
+    path = path or f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
