@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import digest_index, packing, secrets, setsketch
+from quayside.llm import digest_index, languages, packing, secrets, setsketch
 from quayside.plans.settle import settle
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language cannot be told, as they have no letter, go; lang becomes the language found."""
+    model = languages.train(docs.where(~languages.held_out()))
+    numbered = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    found = languages.identify(numbered.select(F.col("_row").alias("doc_id"), "text"), model)
+    known = settle(found.where(F.col("lang_pred") != languages.UNKNOWN).select(F.col("doc_id").alias("_row"), F.col("lang_pred").alias("_lang")), "languages")
+    return numbered.join(known, "_row").withColumn("lang", F.col("_lang")).select(docs.columns)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays, the one with the largest doc_id."""
     decided = digest_index.deduplicate_once(docs)
@@ -32,6 +41,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language id", language_id),
     ("exact dedup", exact_dedup),
     ("near dedup", near_dedup),
     ("secret scan", secret_scan),

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import chat, digest_index, packing, secrets, setsketch
-from quayside.plans.settle import settle
+import public_tokenizers
+
+from quayside.llm import byte_bpe, chat, digest_index, languages, main_text, nn_descent, packing, secrets, setsketch, token_store
+from quayside.plans.settle import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +18,24 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return nn_descent.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+_OP1 = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm
+  FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0)
+  WHERE len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach(vec_id, other) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+parts AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM parts LEFT JOIN counts USING (vec_id)"""
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return digest_index.deduplicate_once(_table(spark, folder, "documents"))
 
@@ -29,6 +49,22 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"))
 
 
+def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_bpe.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op5_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    path = scratch_path(spark, "tokens")
+    token_store.write_store(_table(spark, folder, "documents"), path, tokenizer, end_id=2)
+    return token_store.read_store(spark, path)
+
+
+def op6_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_texts(_table(spark, folder, "pages"))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.summary(secrets.scan(_table(spark, folder, "documents")))
 
@@ -79,15 +115,25 @@ SELECT s.doc_id, s.n::BIGINT AS n_shingles, component_id, s.doc_id = component_i
 FROM sizes s JOIN parts USING (doc_id) JOIN classes USING (doc_id)"""
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return languages.predict(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_packing": op3_packing,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op5_token_store": op5_token_store,
+    "op6_main_text": op6_main_text,
     "op7_secret_scan": op7_secret_scan,
     "op8_chat_format": op8_chat_format,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_embedding_near_dedup": _OP1,
     "op2_exact_dedup": _OP2,
     "op7_secret_scan": secrets.oracle(),
     "op8_chat_format": _OP8,
