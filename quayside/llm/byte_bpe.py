@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from quayside.plans.settle import scratch_path
 
-CHUNK_CHARS = 32 << 20  # of text in a chunk; a longer document is a chunk of its own
-CHUNK_WORDS = 1 << 19  # distinct words in a chunk, but for one document
+CHUNK_CHARS = 16 << 20  # of text in a chunk; a longer document is a chunk of its own
+CHUNK_WORDS = 1 << 18  # distinct words in a chunk, but for one document
 WORD_PARTS = 256  # at least so many parts of the vocabulary, and at least the session's shuffle partitions
 
 
@@ -109,9 +109,13 @@ def _encode_words(pattern: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(pattern, shared.value)._encode_single_piece
         known: dict[bytes, list[int]] = {}
+        last = None
         for batch in batches:
             ids_out, lengths_out = [], []
-            for words, lengths in zip(batch.column("words"), batch.column("lengths"), strict=True):
+            for part, words, lengths in zip(batch.column("part").to_pylist(), batch.column("words"), batch.column("lengths"), strict=True):
+                if part != last:  # sorted by part: no word of this one comes again
+                    known.clear()
+                    last = part
                 data, ends = words.as_py(), np.cumsum(_from_planes(lengths.as_py())).tolist()
                 ids: list[int] = []
                 sizes = []
@@ -180,8 +184,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, chunk_chars:
         .saveAsTable(table)
     )
     written = spark.table(table)
-    words = written.where("kind = 1").select("part", "chunk", "places", "words", "lengths").repartition("part")
-    encoded = words.select("chunk", "places", "words", "lengths").mapInArrow(_encode_words(pattern, shared), "chunk bigint, places binary, ids binary, lengths binary")
+    words = written.where("kind = 1").select("part", "chunk", "places", "words", "lengths").repartition("part").sortWithinPartitions("part")
+    encoded = words.mapInArrow(_encode_words(pattern, shared), "chunk bigint, places binary, ids binary, lengths binary")
     documents = written.where("kind = 0").select("chunk", "doc_id", "places")
     return documents.groupBy("chunk").cogroup(encoded.groupBy("chunk")).applyInArrow(_reassemble, "doc_id bigint, ids array<int>")
 
