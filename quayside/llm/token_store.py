@@ -15,8 +15,10 @@ counts the ids of the shard's earlier blocks. The rank table is a Parquet file b
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,63 +33,55 @@ from tokenizers import Tokenizer
 from quayside.plans.settle import settle
 
 BLOCK_IDS = 1 << 18  # a block ends with the document that reaches so many ids
-CACHE = 400_000  # words and pieces a Python worker remembers
+CACHE = 1_000_000  # words a Python worker remembers
 
-_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?{letter}+| ?{number}+| ?[^{space}{letters}{numbers}]+|[{space}]+(?![^{space}])|[{space}]+"
 
 
-class CachedTokenizer:
-    """Ids of whole texts by the tokenizers library, each distinct word encoded once per worker.
+def _narrow_pattern() -> str:
+    """The byte-level pattern for texts of the first 256 code points, whose classes the standard library matches fastest."""
+    signs = lambda kind: "".join(re.escape(chr(i)) for i in range(256) if regex.match(kind, chr(i)))
+    letters, numbers, space = signs(r"\p{L}"), signs(r"\p{N}"), signs(r"\s")
+    return _WORDS.format(letter=f"[{letters}]", number=f"[{numbers}]", letters=letters, numbers=numbers, space=space)
 
-    A byte-level tokenizer without normalizer never merges across its own pre-tokens, and a blank
-    between two other signs always begins one, so texts can be put together from words. Where blanks
-    meet other white space, or the tokenizer is of another kind, texts are cut by its pattern or
-    encoded whole.
+
+class CachedTokenizer(dict):
+    """Ids of whole texts by the tokenizers library; as a dict, the ids of the words met so far.
+
+    A byte-level tokenizer without normalizer merges inside its own pre-tokens only, so each distinct
+    word is encoded once per worker, by the model of the library. Other tokenizers encode whole texts.
     """
 
-    def __init__(self, json: str):
-        self.library = Tokenizer.from_str(json)
+    def __init__(self, json: str, limit: int = CACHE):
+        super().__init__()
+        self.library, self.limit = Tokenizer.from_str(json), limit
         self.library.encode_special_tokens = True
+        self.model = self.library.model
         told = repr(self.library.pre_tokenizer)
         self.by_word = told.startswith("ByteLevel(") and "add_prefix_space=False" in told and "use_regex=True" in told and self.library.normalizer is None
-        self.find = regex.compile(_WORDS).findall
-        self.uneven = regex.compile(r"\A | (?=\s)| \Z").search
-        self.words: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.words]
-        for start in range(0, len(new), 20_000):
-            part = new[start : start + 20_000]
-            for word, made in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.words[word] = np.array(made.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
+        self.kind = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.narrow = re.compile(_narrow_pattern()).findall
+        self.wide = regex.compile(_WORDS.format(letter=r"\p{L}", number=r"\p{N}", letters=r"\p{L}", numbers=r"\p{N}", space=r"\s")).findall
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the vocabulary
+        rest = iter(range(256, 512))
+        self.sign = [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.limit:  # bounds memory; words met again are encoded again
+            self.clear()
+        signs = "".join(map(self.sign.__getitem__, word.encode()))
+        found = self[word] = array(self.kind, [t.id for t in self.model.tokenize(signs)]).tobytes()
+        return found
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian ids, of two bytes if the vocabulary allows, else of four."""
         if not self.by_word:
-            return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        if max(len(self.words), len(self.tails), len(self.heads)) > CACHE:
-            self.words, self.heads, self.tails = {}, {}, {}
-        cut = [self.find(t) if self.uneven(t) else None for t in texts]
-        pieces = [t.split(" ") if c is None else None for t, c in zip(texts, cut, strict=True)]
-        heads = {p[0] for p in pieces if p} - self.heads.keys()
-        tails: set[str] = set()
-        for p in pieces:
-            if p:
-                tails.update(p[1:])
-        tails -= self.tails.keys()
-        made = [(self.heads, p, self.find(p)) for p in heads] + [(self.tails, p, self.find(" " + p)) for p in tails]
-        words = {w for _, _, own in made for w in own}
-        for own in cut:
-            if own:
-                words.update(own)
-        self._learn(words)
-        known = self.words.__getitem__
-        for place, piece, own in made:
-            place[piece] = b"".join(map(known, own))
-        tail = self.tails.__getitem__
-        return [b"".join(map(known, c)) if c is not None else self.heads[p[0]] + b"".join(map(tail, p[1:])) for c, p in zip(cut, pieces, strict=True)]
+            return array(self.kind, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return b"".join(map(self.__getitem__, self.wide(text)))
+        return b"".join(map(self.__getitem__, self.narrow(text)))
 
 
 @lru_cache(1)
@@ -95,43 +89,52 @@ def _tokenizer(json: str) -> CachedTokenizer:
     return CachedTokenizer(json)
 
 
+def _width(json: str) -> str:
+    return "<u2" if Tokenizer.from_str(json).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def tokenize(docs: DataFrame, json: str, end_id: int | None = None) -> DataFrame:
-    """``docs`` (doc_id, text, ...) -> doc_id, ids: two bytes an id if the vocabulary allows, else four. Null texts count as empty."""
+    """``docs`` (doc_id, text, ...) -> counted, doc_id, ids: two bytes an id if the vocabulary allows, else four.
+
+    Null texts count as empty. Each task adds a row with counted true: how often each id came, eight
+    bytes an id of the vocabulary.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(json)
     kind = _width(json)
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    end = b"" if end_id is None else np.array([end_id], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(shared.value)
+        total = np.zeros(max(tokenizer.library.get_vocab_size(), (end_id or 0) + 1), np.int64)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                ids = [np.frombuffer(x + end, "<u4").astype(kind).tobytes() for x in tokenizer.encode(texts)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                ids = [tokenizer.encode(t.as_py() or "") + end for t in part.column("text")]
+                total += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(total))
+                yield pa.RecordBatch.from_arrays([pa.array([False] * len(ids)), part.column("doc_id"), pa.array(ids, pa.binary())], names=["counted", "doc_id", "ids"])
+        yield pa.RecordBatch.from_arrays([pa.array([True]), pa.nulls(1, pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["counted", "doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, ids binary")
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, _TOKENS)
 
 
-def _width(json: str) -> str:
-    return "<u2" if Tokenizer.from_str(json).get_vocab_size() <= 1 << 16 else "<u4"
+_TOKENS = "counted boolean, doc_id bigint, ids binary"
 
 
-def frequency_ranks(tokens: DataFrame, kind: str) -> np.ndarray:
-    """Ids from the most to the least frequent, equal ones by id: one entry per id of the vocabulary that occurs."""
+def frequency_ranks(counts: DataFrame) -> np.ndarray:
+    """Ids that occur from the most to the least frequent, equal ones by id, from the counted rows of ``tokenize``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             for row in batch.column("ids"):
-                counts = np.bincount(np.frombuffer(row.as_py(), kind))
-                if len(counts) > len(total):
-                    total = np.pad(total, (0, len(counts) - len(total)))
-                total[: len(counts)] += counts
+                more = np.frombuffer(row.as_py(), np.int64)
+                total = np.pad(total, (0, max(0, len(more) - len(total))))
+                total[: len(more)] += more
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], names=["id", "n"])
 
-    counted = tokens.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    # One row per id of the vocabulary reaches the driver.
+    counted = counts.select("ids").mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     ids, n = counted.column("id").to_numpy(), counted.column("n").to_numpy()
     return ids[np.lexsort((ids, -n))].astype(np.uint32)
 
@@ -194,10 +197,9 @@ def write_store(docs: DataFrame, path: str, tokenizer_json: str, end_id: int | N
     kind = _width(tokenizer_json)
     path_of = lambda name: f"{path}/{name}"
     spark: SparkSession = docs.sparkSession
-    scratch = path_of("raw")
-    tokenize(docs, tokenizer_json, end_id).write.option("compression", "zstd").parquet(scratch)
-    tokens = spark.read.schema("doc_id bigint, ids binary").parquet(scratch)
-    order = frequency_ranks(tokens, kind)
+    tokenize(docs, tokenizer_json, end_id).write.option("compression", "zstd").partitionBy("counted").parquet(path_of("raw"))
+    written = spark.read.schema("doc_id bigint, ids binary, counted boolean").parquet(path_of("raw"))
+    tokens, order = written.where("not counted").select("doc_id", "ids"), frequency_ranks(written.where("counted"))
     spark.createDataFrame(pa.table({"rank": np.arange(len(order), dtype=np.int64), "id": order.astype(np.int64)})).coalesce(1).write.parquet(path_of("ranks"))
     shared = spark.sparkContext.broadcast(order)
 
