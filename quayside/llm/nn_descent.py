@@ -60,7 +60,7 @@ def _vectors(batch, column: str = "vector") -> np.ndarray:
     return raw / np.sqrt((raw * raw).sum(1, keepdims=True))
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 4096) -> Iterator[pa.Table]:
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 4096) -> Iterator[pa.Table]:
     """Tables of ``least`` rows or more that hold all rows of their groups, from batches sorted by ``keys``."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -70,7 +70,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int
         if sum(b.num_rows for b in held) < least:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
-        edge = _edges(table, keys)[-2]  # where the last group begins
+        edge = group_edges(table, keys)[-2]  # where the last group begins
         if edge:
             yield table.slice(0, edge)
             held = table.slice(edge).combine_chunks().to_batches()
@@ -78,7 +78,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _edges(table: pa.Table, keys: list[str]) -> np.ndarray:
+def group_edges(table: pa.Table, keys: list[str]) -> np.ndarray:
     """Starts of the groups, and the number of rows."""
     new = np.zeros(table.num_rows, bool)
     new[0] = True
@@ -126,8 +126,8 @@ def _seeds(nodes: DataFrame, bits: int, seed: int, search: Search) -> DataFrame:
                     )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, ["label", "size", "turn"], 20_000):
-            edges = _edges(table, ["label", "size", "turn"])
+        for table in whole_groups(batches, ["label", "size", "turn"], 20_000):
+            edges = group_edges(table, ["label", "size", "turn"])
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 for start in range(a, b, 20_000):  # neighbouring parts share a window
                     part = table.slice(start, min(b, start + 20_000 + search.window) - start).combine_chunks()
@@ -166,8 +166,8 @@ def _local_joins(graph: DataFrame, nodes: DataFrame, search: Search) -> DataFram
     """Pairs among the neighbours of each vector: of every member of a neighbourhood its best few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_groups(batches, ["centre"]):
-            edges = _edges(table, ["centre"])
+        for table in whole_groups(batches, ["centre"]):
+            edges = group_edges(table, ["centre"])
             sizes = np.diff(edges)
             width = int(sizes.max())
             group = np.repeat(np.arange(len(sizes)), sizes)
@@ -225,8 +225,8 @@ def _block_counts(members: DataFrame, search: Search) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["component", "low", "high"]
-        for table in _whole_groups(batches, keys, 1):
-            edges = _edges(table, keys)
+        for table in whole_groups(batches, keys, 1):
+            edges = group_edges(table, keys)
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 part = table.slice(a, b - a).combine_chunks()
                 unit, node, copies = _vectors(part), part.column("node").to_numpy(), part.column("copies").to_numpy()
