@@ -160,10 +160,10 @@ def permission_revokes(grants: DataFrame, changes: DataFrame, groups: DataFrame)
     """The grants that remain after all revokes.
 
     New, activated and left users lose all grants. A transferred user keeps the base group and
-    the data groups. ``groups`` has one row per code. The grants are read once.
+    the data groups. ``groups`` may repeat a code. The grants are read once.
     """
     users = _per_user(changes, _all=_loses_all(), _moved=F.bool_or(F.col("CHANGE") == TRANSFERRED))
-    data = data_groups(groups).select(F.col("group_code").alias("GROUP_CODE"), F.lit(True).alias("_data"))
+    data = data_groups(groups).select(F.col("group_code").alias("GROUP_CODE"), F.lit(True).alias("_data")).distinct()
     by_transfer = F.col("_moved") & (F.col("GROUP_CODE") != BASE_GROUP) & F.col("_data").isNull()
     return (
         grants.join(users, ["usr_id"], "left")

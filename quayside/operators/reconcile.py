@@ -31,12 +31,13 @@ def monthly_counts(
     moment: str = CREATED,
     jobs: Sequence[str] | None = None,
     name: str = "row_count",
+    months: int = COUNTED_MONTHS,
 ) -> DataFrame:
-    """Rows per job and month since the first day of the month twelve months ago.
+    """Rows per job and month since the first day of the month ``months`` ago.
 
     ``jobs`` limits the count to some of the tables.
     """
-    since = ntz(shift_months(as_of, -COUNTED_MONTHS))
+    since = ntz(shift_months(as_of, -months))
     counts = [
         df.where(F.col(moment) >= since)
         # Grouped by a date and labelled afterwards: one format call per month, not per row.
@@ -91,11 +92,14 @@ def orphans(
     as_of: date,
     moment: str = CREATED,
     allow_empty: bool = False,
+    compat: bool = False,
 ) -> DataFrame:
     """Keys that the target holds in one of ``months`` and the source does not hold at all.
 
-    ``months`` are the mismatches of this table: labels ``yyyy-MM`` in the column ``date``. Source keys come from the 24
-    months up to the end of this month. Only key columns of these months are shuffled.
+    ``months`` are the mismatches of this table: labels ``yyyy-MM`` in the column ``date``. Suspects are the keys that the
+    source lacks in the 24 months up to the end of this month; they are few, and are then looked up among all source rows,
+    whatever their date. Only key columns are read, and the source is shuffled for neither step while the suspects can be
+    broadcast. ``compat`` takes the suspects for orphans, which deletes rows that the source holds under another date.
     """
     if not keys:
         raise ValueError("orphans cannot be told without a key")
@@ -106,7 +110,12 @@ def orphans(
     # Calendar months: a list that cannot grow with the data.
     wanted = F.broadcast(months.select(F.to_date(F.concat("date", F.lit("-01"))).alias("_month")).distinct())
     in_months = target.join(wanted, F.trunc(moment, "month") == F.col("_month"), "left_semi")
-    return in_months.select(*keys).join(source_keys, list(keys), "left_anti")
+    suspects = in_months.select(*keys).join(source_keys, list(keys), "left_anti")
+    if compat:
+        return suspects
+    suspects = settle(suspects, "suspects", compact=True)
+    held = source.select(*keys).join(suspects.distinct(), list(keys), "left_semi")
+    return suspects.join(held, list(keys), "left_anti")
 
 
 def delete_orphans(
@@ -117,9 +126,10 @@ def delete_orphans(
     as_of: date,
     moment: str = CREATED,
     allow_empty: bool = False,
+    compat: bool = False,
 ) -> DataFrame:
     """The target without its orphans. Rows that the target lacks are not added."""
-    found = settle(orphans(source, target, keys, months, as_of, moment, allow_empty), "orphans")
+    found = settle(orphans(source, target, keys, months, as_of, moment, allow_empty, compat), "orphans")
     return delete_keys(target, found)
 
 

@@ -182,7 +182,7 @@ _TODAY = f"insert_time >= TIMESTAMP '{fx.LOG_DAY}' AND insert_time < TIMESTAMP '
 ORACLES = {
     "derive_table_schema": _schema_sql("{sized}", "decimal(19,4)"),
     "derive_table_schema_lossy": _schema_sql("'double'", "double"),
-    "catalog_refresh": f"WITH {fx.JOB_CTES} SELECT *, '{fx.EVENTS_RUN_TS}' AS UDATETIME FROM job_info",
+    "catalog_refresh": f"WITH {fx.JOB_CTES} SELECT *, '{fx.EVENTS_RUN_TS:%Y-%m-%d}' AS UDATETIME FROM job_info",
     "eligible_load_jobs": _eligible_sql("D", "TRUE", "text_", "j.JOB_CODE <> 'J4'"),
     "eligible_load_jobs_hourly": _eligible_sql("H", "NOT switched_off", _WIDER, "TRUE"),
     "listed_load_jobs": f"""WITH {fx.JOB_CTES}

@@ -107,8 +107,7 @@ mismatches AS (SELECT * FROM compared WHERE agg_row_count <> 0),
 orphans AS (
   SELECT o_orderkey FROM target
   WHERE strftime(RDATETIME, '%Y-%m') IN (SELECT date FROM mismatches)
-    AND o_orderkey NOT IN (SELECT o_orderkey FROM source
-                           WHERE RDATETIME >= TIMESTAMP '1999-09-01' AND RDATETIME < TIMESTAMP '2001-09-01')),
+    AND o_orderkey NOT IN (SELECT o_orderkey FROM source)),
 repaired AS (SELECT * FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orphans))
 """
 _BASE = f"WITH {fx.ORDER_CTES}, {_COUNTS}"

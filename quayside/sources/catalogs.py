@@ -19,5 +19,5 @@ def read_catalog(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def stamp_catalog(df: DataFrame, run_ts: datetime) -> DataFrame:
-    """The rows as they replace the catalog table, with the load time as text."""
-    return df.withColumn("UDATETIME", F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S")))
+    """The rows as they replace the catalog table, with the load date as text."""
+    return df.withColumn("UDATETIME", F.lit(run_ts.strftime("%Y-%m-%d")))

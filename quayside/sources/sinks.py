@@ -49,8 +49,8 @@ def create_table(df: DataFrame, name: str, partition: str, path: str | None = No
 def add_columns(df: DataFrame, name: str) -> None:
     """Add to a catalog table the columns that only ``df`` has. Old rows read as NULL there."""
     spark = df.sparkSession
-    known = set(spark.table(name).columns)
-    added = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in known]
+    known = {c.lower() for c in spark.table(name).columns}  # as the session resolves names
+    added = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema if f.name.lower() not in known]
     if added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
 

@@ -83,3 +83,14 @@ def test_key_is_required(spark):
     rows = frame(spark, SCHEMA, ("a", "1", JAN))
     with pytest.raises(ValueError, match="key"):
         reconcile.orphans(rows, rows, [], frame(spark, "date string", ("2024-01",)), AS_OF)
+
+
+def test_rows_under_another_date_are_no_orphans(spark):
+    """The source holds 2 after the month of ``as_of`` and 9 long before the window."""
+    day = lambda y, m: datetime(y, m, 5)
+    source = frame(spark, "k int, RDATETIME timestamp_ntz", (1, day(2024, 1)), (2, day(2024, 3)), (3, day(2024, 3)), (9, day(2021, 5)))
+    target = frame(spark, "k int, RDATETIME timestamp_ntz", (1, day(2024, 1)), (2, day(2024, 3)), (9, day(2024, 1)), (5, day(2024, 1)))
+    months = frame(spark, "date string", ("2024-01",), ("2024-03",))
+    assert values(reconcile.orphans(source, target, ["k"], months, date(2024, 1, 31))) == [(5,)]
+    assert values(reconcile.delete_orphans(source, target, ["k"], months, date(2024, 1, 31)), "k") == [(1,), (2,), (9,)]
+    assert values(reconcile.orphans(source, target, ["k"], months, date(2024, 1, 31), compat=True)) == [(2,), (5,), (9,)]

@@ -34,7 +34,7 @@ def test_catalog_round_trip(spark, tmp_path):
     info = frame(spark, catalogs.JOB_INFO, ("A", "0", "N", "D", "O"), ("B, with comma", "1", None, "H", None))
     info.write.csv(path, header=True)
     read = catalogs.stamp_catalog(catalogs.read_catalog(spark, path, catalogs.JOB_INFO), TS)
-    assert values(read) == [("A", "0", "N", "D", "O", "2024-01-10 03:00:00"), ("B, with comma", "1", None, "H", None, "2024-01-10 03:00:00")]
+    assert values(read) == [("A", "0", "N", "D", "O", "2024-01-10"), ("B, with comma", "1", None, "H", None, "2024-01-10")]
 
 
 def test_catalog_with_another_header(spark, tmp_path):
@@ -193,3 +193,17 @@ def test_column_catalog_query():
     connection.execute("CREATE TABLE t (b INTEGER, a VARCHAR, p INTEGER REFERENCES parent(id), u INTEGER UNIQUE, PRIMARY KEY (a, b))")
     rows = connection.execute(databases.COLUMN_CATALOG + " WHERE c.TABLE_NAME = 't' ORDER BY c.ORDINAL_POSITION").fetchall()
     assert [(r[1], r[7]) for r in rows] == [("b", 2), ("a", 1), ("p", None), ("u", None)]
+
+
+def test_scratch_needs_a_shared_folder(spark):
+    from quayside.plans.settle import shared_folder
+
+    class Bare:
+        class conf:
+            get = staticmethod(lambda name, default=None: None)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        shared_folder(Bare)
