@@ -12,10 +12,8 @@ from quayside.plans.settle import settle
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told, as they have no letter, go; lang becomes the language found."""
     model = languages.train(docs.where(~languages.held_out()))
-    numbered = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    found = languages.identify(numbered.select(F.col("_row").alias("doc_id"), "text"), model)
-    known = settle(found.where(F.col("lang_pred") != languages.UNKNOWN).select(F.col("doc_id").alias("_row"), F.col("lang_pred").alias("_lang")), "languages")
-    return numbered.join(known, "_row").withColumn("lang", F.col("_lang")).select(docs.columns)
+    labelled = languages.label_rows(docs, model, "_lang").where(F.col("_lang") != languages.UNKNOWN)
+    return labelled.withColumn("lang", F.col("_lang")).select(docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CELLS = 1 << 16
 UNKNOWN = "und"
@@ -137,6 +138,22 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray], penalty: floa
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, lang_pred string, score double, langs string")
 
 
+def label_rows(docs: DataFrame, model: tuple[list[str], np.ndarray], name: str, penalty: float = 3.0) -> DataFrame:
+    """``docs`` (text, ...) with all its columns and the predicted language as ``name``, as in ``identify``."""
+    names, table = model
+    shared = docs.sparkSession.sparkContext.broadcast((names, table.astype(np.float64)))
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, table = shared.value
+        for batch in batches:
+            found = [mixture(trigrams(text.as_py()), table, penalty) if text.is_valid else [] for text in batch.column("text")]
+            languages = pa.array([names[x[0][0]] if x else UNKNOWN for x in found], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, languages], names=[*columns, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())]))
+
+
 def held_out():
     """Whether a document is kept from training: crc32 of doc_id as text leaves 1 when divided by 3; a null id never."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
