@@ -9,6 +9,12 @@ from quayside.llm import digest_index, languages, packing, secrets, setsketch
 from quayside.plans.settle import settle
 
 
+def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The documents that ``decided`` keeps. The ids kept grow with the corpus: both sides are shuffled at every size."""
+    ids = settle(decided.where("kept").select("doc_id").distinct(), "kept")
+    return docs.join(ids.hint("merge"), "doc_id", "left_semi").select(docs.columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told, as they have no letter, go; lang becomes the language found."""
     model = languages.train(docs.where(~languages.held_out()))
@@ -19,13 +25,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each text stays, the one with the largest doc_id."""
     decided = digest_index.deduplicate_once(docs)
-    return docs.join(settle(decided.where("kept").select("doc_id").distinct(), "kept"), "doc_id", "left_semi").select(docs.columns)
+    return _kept(docs, decided)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id."""
     decided = setsketch.near_duplicates(docs)
-    return docs.join(settle(decided.where("kept").select("doc_id").distinct(), "kept"), "doc_id", "left_semi").select(docs.columns)
+    return _kept(docs, decided)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
