@@ -32,8 +32,9 @@ PRODUCT = "dashboard"
 SYSTEM = "SYSTEM"
 LANGUAGE = "ko"
 
-# Data groups are dealt into this many parts, so that grants spread over tasks.
-_PARTS = 32
+# Kinds of grant rows: one group, or every data group except the named and the common one.
+ONE_GROUP = "GROUP"
+OTHER_DATA = "OTHER_DATA_GROUPS"
 
 
 def user_changes(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -79,34 +80,60 @@ def _joined(changes: DataFrame) -> DataFrame:
     return changes.where(F.col("CHANGE").isin(NEW, ACTIVATED))
 
 
-def permission_grants(changes: DataFrame, groups: DataFrame, run_ts: datetime) -> DataFrame:
+def permission_grants(changes: DataFrame, run_ts: datetime) -> DataFrame:
     """Group grants for changed users.
 
     A new or activated user gets the base group, the role group and the data group of the own
     department, every other data group, and the common group. A transferred user gets the role
     group of the new department only.
+
+    Every other data group is one ``OTHER_DATA`` row that names the own department, so the result
+    grows with the users alone, and a group made later is included; ``grants_of_user`` and
+    ``group_sizes`` read it so. A user without department has no such row.
+    """
+    grant = lambda rule, code: F.struct(F.lit(rule).alias("rule"), code.alias("GROUP_CODE"))
+    none = F.array().cast("array<struct<rule:string,GROUP_CODE:string>>")
+    role, department = role_group(F.col("PART_CODE")), F.col("PART_CODE")
+    roles = F.when(role.isNotNull(), F.array(grant(ONE_GROUP, role))).otherwise(none)
+    others = F.when(department.isNotNull(), F.array(grant(OTHER_DATA, department))).otherwise(none)
+    fixed = F.array(*[grant(ONE_GROUP, code) for code in (F.lit(BASE_GROUP), F.lit(COMMON_GROUP), department)])
+    rows = F.when(F.col("CHANGE").isin(NEW, ACTIVATED), F.concat(fixed, roles, others)).when(
+        F.col("CHANGE") == TRANSFERRED, roles
+    )
+    return changes.select(F.explode(rows).alias("_grant"), F.col("USER_ID").alias("usr_id")).select(
+        "_grant.GROUP_CODE", "_grant.rule", "usr_id", F.lit(SYSTEM).alias("creator"), ntz(run_ts).alias("created")
+    )
+
+
+def _open_data_groups(groups: DataFrame) -> DataFrame:
+    """The groups an ``OTHER_DATA`` row stands for, each once, but for the one it names."""
+    return data_groups(groups).where(F.col("group_code") != COMMON_GROUP).select(F.col("group_code").alias("GROUP_CODE")).distinct()
+
+
+def grants_of_user(grants: DataFrame, groups: DataFrame, user: str) -> DataFrame:
+    """GROUP_CODE: every group one user holds, rule rows written out. At most the rows of ``groups`` and of the user."""
+    own = grants.where(F.col("usr_id") == user)
+    named = own.where(F.col("rule") == ONE_GROUP).select("GROUP_CODE")
+    excepted = own.where(F.col("rule") == OTHER_DATA).select(F.max("GROUP_CODE")).scalar()  # none without a rule row
+    return named.unionByName(_open_data_groups(groups).where(F.col("GROUP_CODE") != excepted)).distinct()
+
+
+def group_sizes(grants: DataFrame, groups: DataFrame) -> DataFrame:
+    """GROUP_CODE, holders: how many grants each held group has, rule rows counted for all they stand for.
+
+    Grants are grouped by code once; a data group has all rule rows but those that name it. No
+    grant is written out.
     """
-    # The codes that need no group table come from one pass over the changes.
-    role = role_group(F.col("PART_CODE"))
-    roles = F.when(role.isNotNull(), F.array(role)).otherwise(F.array().cast("array<string>"))
-    codes = F.when(
-        F.col("CHANGE").isin(NEW, ACTIVATED),
-        F.concat(F.array(F.lit(BASE_GROUP), F.lit(COMMON_GROUP), F.col("PART_CODE")), roles),
-    ).when(F.col("CHANGE") == TRANSFERRED, roles)
-    own = changes.select(F.explode(codes).alias("GROUP_CODE"), F.col("USER_ID").alias("usr_id"))
-
-    # Every pair of user and foreign data group is a row of the result. Dealing the groups into
-    # parts makes it an equality join: broadcast while the group table is small, else shuffled.
-    part = F.pmod(F.xxhash64("group_code"), F.lit(_PARTS)).cast("int")
-    foreign = data_groups(groups).where(F.col("group_code") != COMMON_GROUP).withColumn("_part", part)
-    parts = F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1)))
-    dealt = _joined(changes).select("USER_ID", "PART_CODE", parts.alias("_part"))
-    others = (
-        dealt.join(foreign, "_part")
-        .where(F.col("group_code") != F.col("PART_CODE"))
-        .select(F.col("group_code").alias("GROUP_CODE"), F.col("USER_ID").alias("usr_id"))
+    is_rule = F.col("rule") == OTHER_DATA
+    counted = settle(
+        grants.groupBy("GROUP_CODE").agg(F.count_if(~is_rule).alias("_named"), F.count_if(is_rule).alias("_excepted")),
+        "grants-of-group",
     )
-    return own.unionByName(others).withColumns({"creator": F.lit(SYSTEM), "created": ntz(run_ts)})
+    rules = F.coalesce(counted.select(F.sum("_excepted")).scalar(), F.lit(0))
+    met = counted.join(_open_data_groups(groups).withColumn("_open", F.lit(True)), ["GROUP_CODE"], "full")
+    by_rule = F.when(F.col("_open"), rules - F.coalesce("_excepted", F.lit(0))).otherwise(F.lit(0))
+    holders = (F.coalesce("_named", F.lit(0)) + by_rule).cast("bigint")
+    return met.select("GROUP_CODE", holders.alias("holders")).where(F.col("holders") > 0)
 
 
 def portal_users(changes: DataFrame, run_ts: datetime) -> DataFrame:
@@ -160,11 +187,13 @@ def permission_revokes(grants: DataFrame, changes: DataFrame, groups: DataFrame)
     """The grants that remain after all revokes.
 
     New, activated and left users lose all grants. A transferred user keeps the base group and
-    the data groups. ``groups`` may repeat a code. The grants are read once.
+    the data groups, also those held by rule. ``groups`` may repeat a code. The grants are read once.
     """
     users = _per_user(changes, _all=_loses_all(), _moved=F.bool_or(F.col("CHANGE") == TRANSFERRED))
     data = data_groups(groups).select(F.col("group_code").alias("GROUP_CODE"), F.lit(True).alias("_data")).distinct()
     by_transfer = F.col("_moved") & (F.col("GROUP_CODE") != BASE_GROUP) & F.col("_data").isNull()
+    if "rule" in grants.columns:
+        by_transfer &= F.col("rule") != OTHER_DATA
     return (
         grants.join(users, ["usr_id"], "left")
         .join(data, ["GROUP_CODE"], "left")

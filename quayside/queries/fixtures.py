@@ -332,7 +332,7 @@ def previous_users(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("c_custkey")
     department = F.when(key % 13 == 0, (key + 3) % 40 + 1).otherwise(key % 40 + 1)
     mark = F.when(key % 9 == 0, F.lit("N")).when(key % 23 == 0, null("string")).otherwise(F.lit("Y"))
-    return _customer_users(spark, folder, department, mark).where(key % 11 != 0).drop("c_custkey")
+    return _customer_users(spark, folder, department, mark).where((key % 11 != 0) | (key % 17 == 0)).drop("c_custkey")
 
 
 def portal_groups(spark: SparkSession, folder: str) -> DataFrame:
@@ -348,12 +348,12 @@ def portal_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def existing_grants(spark: SparkSession, folder: str) -> DataFrame:
-    """Yesterday's grants: base, role, own department and common group of each user in use."""
+    """Yesterday's grants: base, role, own department, common group and all other data groups of each user in use."""
     code = F.explode(F.array(F.lit("9001"), F.lit("9002"), F.col("PART_CODE"), F.lit("T")))
-    return (
-        previous_users(spark, folder)
-        .where(F.col("BI_USE_YN") == "Y")
-        .select(code.alias("GROUP_CODE"), F.col("USER_ID").alias("usr_id"))
+    users = previous_users(spark, folder).where(F.col("BI_USE_YN") == "Y")
+    named = users.select(code.alias("GROUP_CODE"), F.lit("GROUP").alias("rule"), F.col("USER_ID").alias("usr_id"))
+    return named.unionByName(
+        users.select(F.col("PART_CODE").alias("GROUP_CODE"), F.lit("OTHER_DATA_GROUPS").alias("rule"), F.col("USER_ID").alias("usr_id"))
     )
 
 
@@ -366,13 +366,15 @@ prev AS (
   SELECT CAST(c_custkey AS VARCHAR) AS USER_ID, c_name AS USER_NM,
          CAST(CASE WHEN c_custkey % 13 = 0 THEN (c_custkey + 3) % 40 + 1 ELSE c_custkey % 40 + 1 END AS VARCHAR) AS PART_CODE,
          CASE WHEN c_custkey % 9 = 0 THEN 'N' WHEN c_custkey % 23 = 0 THEN NULL ELSE 'Y' END AS BI_USE_YN
-  FROM customer WHERE c_custkey % 11 <> 0),
+  FROM customer WHERE c_custkey % 11 <> 0 OR c_custkey % 17 = 0),
 groups AS (
   SELECT DISTINCT PART_CODE AS group_code, PART_CODE || ',data' AS group_desc FROM prev
   UNION ALL SELECT 'T', 'T,data'
   UNION ALL SELECT c, 'role ' || c FROM (SELECT unnest(['9001', '9002', '9003', '9004', '9005']) AS c)),
 grants AS (
-  SELECT unnest(['9001', '9002', PART_CODE, 'T']) AS GROUP_CODE, USER_ID AS usr_id FROM prev WHERE BI_USE_YN = 'Y'),
+  SELECT unnest(['9001', '9002', PART_CODE, 'T']) AS GROUP_CODE, 'GROUP' AS rule, USER_ID AS usr_id FROM prev WHERE BI_USE_YN = 'Y'
+  UNION ALL
+  SELECT PART_CODE, 'OTHER_DATA_GROUPS', USER_ID FROM prev WHERE BI_USE_YN = 'Y'),
 changes AS (
   SELECT c.USER_ID, c.USER_NM, 'NEW' AS CHANGE, c.PART_CODE, CAST(NULL AS VARCHAR) AS OLD_PART_CODE
   FROM cur c LEFT JOIN prev p ON c.USER_ID = p.USER_ID WHERE p.USER_ID IS NULL AND c.BI_USE_YN = 'Y'

@@ -39,7 +39,8 @@ def snapshot_rotation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def permission_grants(spark: SparkSession, folder: str) -> DataFrame:
-    return members.permission_grants(_stored_changes(spark, folder), _stored_groups(spark, folder), fx.USERS_RUN_TS)
+    """One row per group named and one per user for all data groups but the own."""
+    return members.permission_grants(user_changes(spark, folder), fx.USERS_RUN_TS)
 
 
 def permission_revokes(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,10 +53,15 @@ def permission_state(spark: SparkSession, folder: str) -> DataFrame:
     """All grants after the run: what the revokes left and what was granted."""
     changes, groups = _stored_changes(spark, folder), _stored_groups(spark, folder)
     kept = members.permission_revokes(fx.existing_grants(spark, folder), changes, groups)
-    granted = members.permission_grants(changes, groups, fx.USERS_RUN_TS).select(*kept.columns)
+    granted = members.permission_grants(changes, fx.USERS_RUN_TS).select(*kept.columns)
     return kept.unionByName(granted)
 
 
+def group_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """How many users hold each group after the run."""
+    return members.group_sizes(permission_state(spark, folder), _stored_groups(spark, folder))
+
+
 def portal_users(spark: SparkSession, folder: str) -> DataFrame:
     return members.portal_users(user_changes(spark, folder), fx.USERS_RUN_TS)
 
@@ -88,6 +94,7 @@ QUERIES = {
     "permission_grants": permission_grants,
     "permission_revokes": permission_revokes,
     "permission_state": permission_state,
+    "group_sizes": group_sizes,
     "portal_users": portal_users,
     "product_grants": product_grants,
     "user_rows_revoked": user_rows_revoked,
@@ -95,28 +102,36 @@ QUERIES = {
     "user_audit_log": user_audit_log,
 }
 
-_ROLE = """CASE WHEN PART_CODE IN ('1','3','4','5','6','7','8','9','26','27','39','40') THEN '9002'
-              WHEN PART_CODE = '38' THEN '9003' WHEN PART_CODE = '12' THEN '9004' WHEN PART_CODE = '10' THEN '9005' END"""
+_ROLES = ", ".join(f"('{code}', '{group}')" for group, codes in members.ROLE_GROUPS.items() for code in codes)
 _GRANTS = f"""
 joined AS (SELECT USER_ID, PART_CODE FROM changes WHERE CHANGE IN ('NEW', 'ACTIVATED')),
+roles(department, role) AS (VALUES {_ROLES}),
 granted AS (
-  SELECT '9001' AS GROUP_CODE, USER_ID AS usr_id FROM joined
+  SELECT '9001' AS GROUP_CODE, 'GROUP' AS rule, USER_ID AS usr_id FROM joined
   UNION ALL
-  SELECT {_ROLE}, USER_ID FROM changes WHERE CHANGE IN ('NEW', 'ACTIVATED', 'TRANSFERRED') AND {_ROLE} IS NOT NULL
+  SELECT role, 'GROUP', USER_ID FROM changes JOIN roles ON department = PART_CODE WHERE CHANGE IN ('NEW', 'ACTIVATED', 'TRANSFERRED')
   UNION ALL
-  SELECT PART_CODE, USER_ID FROM joined
+  SELECT PART_CODE, 'GROUP', USER_ID FROM joined
   UNION ALL
-  SELECT group_code, USER_ID FROM joined JOIN groups ON group_code <> PART_CODE
-  WHERE group_desc LIKE '%,data' AND group_code <> 'T'
+  SELECT PART_CODE, 'OTHER_DATA_GROUPS', USER_ID FROM joined WHERE PART_CODE IS NOT NULL
   UNION ALL
-  SELECT 'T', USER_ID FROM joined)
+  SELECT 'T', 'GROUP', USER_ID FROM joined)
 """
 _KEPT = """
 kept AS (
   SELECT * FROM grants
   WHERE usr_id NOT IN (SELECT USER_ID FROM changes WHERE CHANGE IN ('NEW', 'ACTIVATED', 'LEFT'))
     AND NOT (usr_id IN (SELECT USER_ID FROM changes WHERE CHANGE = 'TRANSFERRED') AND GROUP_CODE <> '9001'
-             AND GROUP_CODE NOT IN (SELECT group_code FROM groups WHERE group_desc LIKE '%,data')))
+             AND rule = 'GROUP' AND GROUP_CODE NOT IN (SELECT group_code FROM groups WHERE group_desc LIKE '%,data')))
+"""
+# Every grant written out, as the rules stand for them.
+_HELD = """
+state AS (SELECT * FROM kept UNION ALL SELECT * FROM granted),
+held AS (
+  SELECT GROUP_CODE FROM state WHERE rule = 'GROUP'
+  UNION ALL
+  SELECT g.group_code FROM groups g JOIN state s ON g.group_code <> s.GROUP_CODE
+  WHERE s.rule <> 'GROUP' AND g.group_desc LIKE '%,data' AND g.group_code <> 'T')
 """
 _CHANGES = f"WITH {fx.USER_CTES}"
 _NOW = f"TIMESTAMP '{fx.USERS_RUN_TS}'"
@@ -127,6 +142,7 @@ ORACLES = {
     "permission_grants": f"{_CHANGES}, {_GRANTS} SELECT *, 'SYSTEM' AS creator, {_NOW} AS created FROM granted",
     "permission_revokes": f"{_CHANGES}, {_KEPT} SELECT * FROM kept",
     "permission_state": f"{_CHANGES}, {_KEPT}, {_GRANTS} SELECT * FROM kept UNION ALL SELECT * FROM granted",
+    "group_sizes": f"{_CHANGES}, {_KEPT}, {_GRANTS}, {_HELD} SELECT GROUP_CODE, COUNT(*) AS holders FROM held GROUP BY GROUP_CODE",
     "portal_users": f"""{_CHANGES}
 SELECT USER_ID AS usr_id, USER_NM AS usr_nm, CAST(NULL AS VARCHAR) AS reserved_1, strftime({_NOW}, '%Y-%m-%d') AS joined_day,
        CAST(0 AS INTEGER) AS failures, 'ko' AS language, PART_CODE AS usr_desc, CAST(NULL AS VARCHAR) AS reserved_2,

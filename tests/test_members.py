@@ -45,25 +45,47 @@ def test_second_row_in_use_is_not_left(spark):
     assert kinds(spark, [user("a", "N"), user("a")], [user("a")]) == {}
 
 
+def granted(spark, current, previous):
+    return members.permission_grants(changes(spark, current, previous), TS)
+
+
 def test_grants(spark):
-    found = changes(spark, [user("n"), user("t", department="2"), user("x", department="99")], [user("t"), user("x", "N", "99")])
-    grants = values(members.permission_grants(found, groups(spark), TS), "usr_id", "GROUP_CODE", "creator")
-    assert grants == sorted(
-        [("n", g, "SYSTEM") for g in ("9001", "9002", "1", "2", "T")]
-        + [("x", g, "SYSTEM") for g in ("9001", "99", "1", "2", "T")]
+    grants = granted(spark, [user("n"), user("t", department="2"), user("x", department="99")], [user("t"), user("x", "N", "99")])
+    rows = values(grants, "usr_id", "rule", "GROUP_CODE", "creator")
+    assert rows == sorted(
+        [("n", "GROUP", g, "SYSTEM") for g in ("9001", "9002", "1", "T")]
+        + [("n", "OTHER_DATA_GROUPS", "1", "SYSTEM"), ("x", "OTHER_DATA_GROUPS", "99", "SYSTEM")]
+        + [("x", "GROUP", g, "SYSTEM") for g in ("9001", "99", "T")]
     )
     # Department 2 has no role group, so the transfer grants nothing.
+    held = lambda name: values(members.grants_of_user(grants, groups(spark), name))
+    assert held("n") == [(g,) for g in sorted(("9001", "9002", "1", "2", "T"))]
+    assert held("x") == [(g,) for g in sorted(("9001", "99", "1", "2", "T"))]
+    assert held("t") == []
+    sizes = {"9001": 2, "9002": 1, "1": 2, "2": 2, "99": 1, "T": 2}
+    twice = groups(spark).unionByName(groups(spark))
+    assert dict(values(members.group_sizes(grants, twice))) == sizes
 
 
 def test_transfer_grants_the_role_only(spark):
-    found = changes(spark, [user("t", department="38")], [user("t")])
-    assert values(members.permission_grants(found, groups(spark), TS), "GROUP_CODE") == [("9003",)]
+    assert values(granted(spark, [user("t", department="38")], [user("t")]), "GROUP_CODE") == [("9003",)]
 
 
 def test_user_without_department(spark):
-    found = changes(spark, [user("n", department=None)], [user("other")])
-    grants = values(members.permission_grants(found, groups(spark), TS), "usr_id", "GROUP_CODE")
-    assert grants == [("n", None), ("n", "9001"), ("n", "T")]
+    grants = granted(spark, [user("n", department=None)], [user("other")])
+    assert values(grants, "usr_id", "GROUP_CODE") == [("n", None), ("n", "9001"), ("n", "T")]
+    assert values(members.group_sizes(grants, groups(spark))) == [(None, 1), ("9001", 1), ("T", 1)]
+
+
+def test_sizes_without_grants(spark):
+    none = granted(spark, [user("a")], [user("a")])
+    assert values(members.group_sizes(none, groups(spark))) == []
+
+
+def test_transfer_keeps_rules(spark):
+    found = changes(spark, [user("t", department="2")], [user("t")])
+    grants = frame(spark, "GROUP_CODE string, rule string, usr_id string", ("7", "OTHER_DATA_GROUPS", "t"), ("9002", "GROUP", "t"))
+    assert values(members.permission_revokes(grants, found, groups(spark)), "GROUP_CODE") == [("7",)]
 
 
 def test_revokes(spark):
