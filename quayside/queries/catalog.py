@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.operators import jobs, schema
 from quayside.plans.settle import scratch_path
 from quayside.queries import fixtures as fx
-from quayside.sources import catalogs
+from quayside.sources import catalogs, sinks
 from quayside.sources.scans import table
 
 # The source types of the fixture's columns, dealt out in turn.
@@ -44,11 +44,24 @@ def derive_table_schema_lossy(spark: SparkSession, folder: str) -> DataFrame:
     return schema.derive_schema(column_catalog(spark, folder), lossy=True)
 
 
+def _refreshed(spark: SparkSession, rows: DataFrame, schema: str) -> DataFrame:
+    """A catalog kept as CSV, in the place of the stored one of the day before."""
+    kept, path = scratch_path(spark, "kept"), scratch_path(spark, "catalog")
+    rows.write.csv(kept, header=True)
+    sinks.replace(catalogs.stamp_catalog(rows, fx.EVENTS_OLD_TS), path)
+    return catalogs.refresh_catalog(spark, kept, schema, path, fx.EVENTS_RUN_TS)
+
+
 def catalog_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """The job catalog kept as CSV, read with its schema and stamped."""
-    path = scratch_path(spark, "job-info")
-    fx.job_info(spark, folder).write.csv(path, header=True)
-    return catalogs.stamp_catalog(catalogs.read_catalog(spark, path, catalogs.JOB_INFO), fx.EVENTS_RUN_TS)
+    return _refreshed(spark, fx.job_info(spark, folder), catalogs.JOB_INFO)
+
+
+def catalog_refresh_predicates(spark: SparkSession, folder: str) -> DataFrame:
+    return _refreshed(spark, fx.job_table_info(spark, folder), catalogs.JOB_TABLE_INFO)
+
+
+def catalog_refresh_prerequisites(spark: SparkSession, folder: str) -> DataFrame:
+    return _refreshed(spark, fx.pre_job_info(spark, folder), catalogs.PRE_JOB_INFO)
 
 
 def eligible_load_jobs(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,6 +127,8 @@ QUERIES = {
     "derive_table_schema": derive_table_schema,
     "derive_table_schema_lossy": derive_table_schema_lossy,
     "catalog_refresh": catalog_refresh,
+    "catalog_refresh_predicates": catalog_refresh_predicates,
+    "catalog_refresh_prerequisites": catalog_refresh_prerequisites,
     "eligible_load_jobs": eligible_load_jobs,
     "eligible_load_jobs_hourly": eligible_load_jobs_hourly,
     "listed_load_jobs": listed_load_jobs,
@@ -183,6 +198,12 @@ ORACLES = {
     "derive_table_schema": _schema_sql("{sized}", "decimal(19,4)"),
     "derive_table_schema_lossy": _schema_sql("'double'", "double"),
     "catalog_refresh": f"WITH {fx.JOB_CTES} SELECT *, '{fx.EVENTS_RUN_TS:%Y-%m-%d}' AS UDATETIME FROM job_info",
+    "catalog_refresh_predicates": f"""WITH {fx.JOB_CTES}
+SELECT JOB_CODE, UPDATE_COL, CASE WHEN switched_off THEN 'X' ELSE UPDATE_COL END AS UPDATE_COL_RT,
+       UPDATE_COL || ' OR UDATETIME >= DATE ''2024-01-30''' AS UPDATE_COL_RT_2, 'N' AS DEL_YN, '{fx.EVENTS_RUN_TS:%Y-%m-%d}' AS UDATETIME
+FROM job_table_info""",
+    "catalog_refresh_prerequisites": f"""WITH {fx.JOB_CTES}
+SELECT JOB_CODE, PRE_JOB_CODE, 'N' AS DEL_YN, SCHEDULE, '{fx.EVENTS_RUN_TS:%Y-%m-%d}' AS UDATETIME FROM pre_job_info""",
     "eligible_load_jobs": _eligible_sql("D", "TRUE", "text_", "j.JOB_CODE <> 'J4'"),
     "eligible_load_jobs_hourly": _eligible_sql("H", "NOT switched_off", _WIDER, "TRUE"),
     "listed_load_jobs": f"""WITH {fx.JOB_CTES}

@@ -9,12 +9,15 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import CharType, StringType, VarcharType
 
 from quayside.functions.dates import shift_months
 from quayside.operators.reconcile import COUNTED_MONTHS
+from quayside.plans.settle import settle
 
 # Every column of every table, with its place in the primary key. Foreign and unique keys do not count.
 COLUMN_CATALOG = """
@@ -36,13 +39,37 @@ def _identifier(name: str) -> str:
     return name
 
 
+def range_predicates(column: str, edges: Sequence[date | int]) -> list[str]:
+    """Splits a table into half-open ranges of a column, each read by its own task.
+
+    ``edges`` ascend. Before the first, from the last on and without value are ranges too, so that
+    each row of the table is in exactly one of them.
+    """
+    if not edges or any(a >= b for a, b in zip(edges[:-1], edges[1:], strict=True)):
+        raise ValueError("edges must ascend")
+    name = _identifier(column)
+    texts = [str(e) if isinstance(e, int) else f"'{e}'" for e in edges]
+    inside = [f"{name} >= {low} AND {name} < {high}" for low, high in zip(texts[:-1], texts[1:], strict=True)]
+    return [*inside, f"{name} < {texts[0]}", f"{name} >= {texts[-1]}", f"{name} IS NULL"]
+
+
 def year_predicates(moment: str, first: int, last: int) -> list[str]:
-    """One half-open range per year, each read by its own task."""
-    column = _identifier(moment)
-    return [
-        f"{column} >= '{date(year, 1, 1)}' AND {column} < '{date(year + 1, 1, 1)}'"
-        for year in range(first, last + 1)
-    ]
+    """One range per year, and the rows outside these years or without a date."""
+    return range_predicates(moment, [date(year, 1, 1) for year in range(first, last + 2)])
+
+
+def month_predicates(moment: str, first: date, last: date) -> list[str]:
+    """One range per month from that of ``first`` to that of ``last``, and all rows outside. For large years."""
+    months = (last.year - first.year) * 12 + last.month - first.month
+    return range_predicates(moment, [shift_months(first, k) for k in range(months + 2)])
+
+
+def key_predicates(key: str, low: int, high: int, parts: int) -> list[str]:
+    """About ``parts`` equal ranges of a numeric key from ``low`` to ``high``, and all rows outside. For undated tables."""
+    if parts < 1 or high < low:
+        raise ValueError("needs a part and a range")
+    step = -(-(high - low + 1) // parts)
+    return range_predicates(key, [*range(low, high + 1, step), high + 1])
 
 
 def month_counts_query(table: str, moment: str, as_of: date) -> str:
@@ -56,20 +83,17 @@ def month_counts_query(table: str, moment: str, as_of: date) -> str:
 
 
 def read_database(
-    spark: SparkSession,
-    url: str,
-    table: str,
-    properties: Mapping[str, str],
-    predicates: Sequence[str] | None = None,
+    spark: SparkSession, url: str, table: str, properties: Mapping[str, str], predicates: Sequence[str]
 ) -> DataFrame:
-    """A database table. ``predicates`` split it into one read per predicate."""
-    if predicates:
-        return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties))
-    return spark.read.jdbc(url, table, properties=dict(properties))
+    """A database table in one read per predicate; see ``range_predicates``. A table is never read by one task."""
+    if not predicates:
+        raise ValueError("split the table by predicates")
+    return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties))
 
 
 def _read_query(spark: SparkSession, url: str, query: str, properties: Mapping[str, str]) -> DataFrame:
-    return read_database(spark, url, f"({query}) q", properties)
+    """A short result that the database computes, one row per month or column, in one read."""
+    return spark.read.jdbc(url, f"({query}) q", properties=dict(properties))
 
 
 def labelled_counts(counted: DataFrame, job: str, name: str = "row_count") -> DataFrame:
@@ -90,9 +114,39 @@ def read_column_catalog(spark: SparkSession, url: str, properties: Mapping[str,
     return _read_query(spark, url, COLUMN_CATALOG, properties)
 
 
+class Target(NamedTuple):
+    """A database table that a copy fills."""
+
+    url: str
+    table: str
+    properties: Mapping[str, str]
+
+
+def copy_options(properties: Mapping[str, str], batch_rows: int) -> dict[str, str]:
+    """Empty the table and keep its definition, unless ``properties`` say otherwise."""
+    return {"truncate": "true", "batchsize": str(batch_rows), **properties}
+
+
 def copy_to_database(
     df: DataFrame, url: str, table: str, properties: Mapping[str, str], batch_rows: int = 10_000
 ) -> None:
     """Empty a database table and fill it again, keeping its definition."""
-    options = {"truncate": "true", "batchsize": str(batch_rows), **properties}
-    df.write.jdbc(url, table, mode="overwrite", properties=options)
+    df.write.jdbc(url, table, mode="overwrite", properties=copy_options(properties, batch_rows))
+
+
+def copy_to_databases(df: DataFrame, targets: Sequence[Target], batch_rows: int = 10_000) -> DataFrame:
+    """Fill several databases with the same rows: ``df`` is read once and stored, and the stored rows are copied."""
+    rows = settle(df, "copied")
+    for target in targets:
+        copy_to_database(rows, *target, batch_rows)
+    return rows
+
+
+def trimmed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Text columns without the spaces at the end that fixed-width ``char`` columns carry, so that keys meet.
+
+    Without ``columns`` these are all text columns. Names are taken as the table has them.
+    """
+    wanted = {f.name for f in df.schema if isinstance(f.dataType, (StringType, CharType, VarcharType))}
+    wanted = wanted if columns is None else set(columns)
+    return df.select(*[F.rtrim(f"`{c}`").alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns])

@@ -26,9 +26,69 @@ def test_year_predicates():
     assert databases.year_predicates("t", 2023, 2024) == [
         "t >= '2023-01-01' AND t < '2024-01-01'",
         "t >= '2024-01-01' AND t < '2025-01-01'",
+        "t < '2023-01-01'",
+        "t >= '2025-01-01'",
+        "t IS NULL",
     ]
 
 
+def test_every_row_is_in_one_split(folder, duck):
+    """Dates before, inside and after the ranges, keys and missing values."""
+    duck.execute("CREATE TEMP TABLE split_rows AS SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderdate AS DATE) END AS d FROM orders")
+    rows = duck.execute("SELECT COUNT(*) FROM split_rows").fetchone()
+    splits = {
+        "years": databases.year_predicates("d", 1997, 1999),
+        "months": databases.month_predicates("d", date(1997, 11, 20), date(1998, 2, 3)),
+        "keys": databases.key_predicates("k", 100, 900, 7),
+        "one key": databases.key_predicates("k", 5, 5, 3),
+    }
+    assert {name: len(found) for name, found in splits.items()} == {"years": 6, "months": 7, "keys": 10, "one key": 4}
+    for found in splits.values():
+        hits = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p in found)
+        assert duck.execute(f"SELECT COUNT(*) FROM split_rows WHERE {hits} = 1").fetchone() == rows
+
+
+def test_bad_splits(spark):
+    for call in (
+        lambda: databases.range_predicates("d", []),
+        lambda: databases.range_predicates("k", [2, 2]),
+        lambda: databases.range_predicates("k; DROP TABLE x", [1]),
+        lambda: databases.key_predicates("k", 1, 9, 0),
+        lambda: databases.read_database(spark, "jdbc:none", "t", {}, []),
+    ):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_copies_to_several_databases(spark, monkeypatch):
+    """Both copies get the same stored rows and their own options; no database is opened."""
+    calls = []
+    monkeypatch.setattr(databases, "copy_to_database", lambda *given: calls.append(given))
+    targets = [databases.Target("jdbc:a", "dbo.U", {"user": "a"}), databases.Target("jdbc:b", "dbo.V", {})]
+    rows = databases.copy_to_databases(frame(spark, "id int", (1,), (2,)), targets, batch_rows=5)
+    assert values(rows) == [(1,), (2,)]
+    assert [call[1:] for call in calls] == [("jdbc:a", "dbo.U", {"user": "a"}, 5), ("jdbc:b", "dbo.V", {}, 5)]
+    assert all(call[0] is rows for call in calls)
+    assert databases.copy_options({"user": "a"}, 5) == {"truncate": "true", "batchsize": "5", "user": "a"}
+
+
+def test_padded_text_is_trimmed(spark):
+    rows = frame(spark, "`a.b` string, other string, n int", ("x  ", " y ", 1), (None, "", 2))
+    assert values(databases.trimmed(rows)) == [(None, "", 2), ("x", " y", 1)]
+    assert values(databases.trimmed(rows, ["other"])) == [(None, "", 2), ("x  ", " y", 1)]
+
+
+def test_catalog_refresh_replaces_and_survives_bad_files(spark, tmp_path):
+    path, kept, bad = (str(tmp_path / name) for name in ("stored", "kept", "bad"))
+    sinks.replace(frame(spark, "JOB_CODE string, UDATETIME string", ("old", "2024-01-01")), path)
+    frame(spark, catalogs.PRE_JOB_INFO, ("A", "B", "N", "D")).write.csv(kept, header=True)
+    assert values(catalogs.refresh_catalog(spark, kept, catalogs.PRE_JOB_INFO, path, TS)) == [("A", "B", "N", "D", "2024-01-10")]
+    frame(spark, "WRONG string, PRE_JOB_CODE string, DEL_YN string, SCHEDULE string", ("C", "D", "N", "D")).write.csv(bad, header=True)
+    with pytest.raises(Exception, match="header"):
+        catalogs.refresh_catalog(spark, bad, catalogs.PRE_JOB_INFO, path, TS)
+    assert values(spark.read.parquet(path), "JOB_CODE") == [("A",)]
+
+
 def test_catalog_round_trip(spark, tmp_path):
     path = str(tmp_path / "jobs")
     info = frame(spark, catalogs.JOB_INFO, ("A", "0", "N", "D", "O"), ("B, with comma", "1", None, "H", None))
