@@ -20,6 +20,10 @@ DAILY = "D"
 HOURLY = "H"
 SWITCHED_OFF = "X"
 
+# What the mart log says of a job that was not carried out.
+PREREQUISITE = "prerequisite not done"
+DONE_BEFORE = "already done"
+
 RAW_LEVEL = 0
 
 
@@ -186,6 +190,37 @@ def outcome_log(
     return _log_row(spark.range(0, 1, 1, 1), job, F.lit(0), run_ts, schedule, status)
 
 
+def mart_log(states: DataFrame, outcomes: DataFrame, run_ts: datetime, schedule: str = DAILY) -> DataFrame:
+    """The log rows of a mart run: of each job carried out, and of each that was blocked or already done.
+
+    ``states`` is the result of ``ready_jobs``. ``outcomes`` has job_code, start_date, end_date, row_count
+    and error, null where the job succeeded; a failed job logs no end and no rows. A ready job without
+    outcome was passed over and logs nothing. A blocked job logs the time of the run as its start in the
+    daily run only.
+    """
+    failed, blocked = F.col("error").isNotNull(), F.col("STATUS") == "BLOCKED"
+    never = F.lit(None).cast("timestamp_ntz")
+    ran = outcomes.select(
+        "job_code",
+        F.col("start_date").cast("timestamp_ntz").alias("start_date"),
+        F.when(~failed, F.col("end_date").cast("timestamp_ntz")).alias("end_date"),
+        F.when(failed, F.lit(FAILED)).otherwise(F.lit(OK)).alias("status"),
+        F.when(failed, F.lit(0)).otherwise(F.col("row_count")).cast("bigint").alias("row_count"),
+        F.lit(schedule).alias("schedule"),
+        F.col("error").cast("string").alias("error"),
+    )
+    held = states.where(F.col("STATUS").isin("BLOCKED", "ALREADY_DONE")).select(
+        F.col("JOB_CODE").alias("job_code"),
+        F.when(blocked & F.lit(schedule == DAILY), ntz(run_ts)).otherwise(never).alias("start_date"),
+        never.alias("end_date"),
+        F.lit(FAILED).alias("status"),
+        F.lit(0).cast("bigint").alias("row_count"),
+        F.lit(schedule).alias("schedule"),
+        F.when(blocked, F.lit(PREREQUISITE)).otherwise(F.lit(DONE_BEFORE)).alias("error"),
+    )
+    return ran.unionByName(held)
+
+
 def _log_row(
     one_row: DataFrame, job: str, row_count: Column, run_ts: datetime, schedule: str, status: str
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import jobs, schema
-from quayside.plans.settle import scratch_path
+from quayside.plans.settle import scratch_path, settle
 from quayside.queries import fixtures as fx
 from quayside.sources import catalogs, sinks
 from quayside.sources.scans import table
@@ -123,6 +123,19 @@ def mart_quality_gate_latest(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.quality_gate(fx.job_log(spark, folder), fx.LOG_DAY, latest_only=True)
 
 
+def mart_log_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart log of the day's run. The events of a ready job tell when it ran, what it made and whether it failed."""
+    states = settle(ready_jobs(spark, folder), "states")
+    events = fx.job_log(spark, folder).groupBy("job_code").agg(
+        F.min("start_date").alias("start_date"),
+        F.max("start_date").alias("end_date"),
+        F.count(F.lit(1)).alias("row_count"),
+        F.when(F.bool_or(F.col("status") == jobs.FAILED), F.lit("failed")).alias("error"),
+    )
+    ready = states.where(F.col("STATUS") == "READY").select(F.col("JOB_CODE").alias("job_code"))
+    return jobs.mart_log(states, events.join(ready, "job_code", "left_semi"), fx.EVENTS_RUN_TS)
+
+
 QUERIES = {
     "derive_table_schema": derive_table_schema,
     "derive_table_schema_lossy": derive_table_schema_lossy,
@@ -135,6 +148,7 @@ QUERIES = {
     "ready_jobs": ready_jobs,
     "ready_jobs_hourly": ready_jobs_hourly,
     "ready_jobs_same_schedule": ready_jobs_same_schedule,
+    "mart_log_rows": mart_log_rows,
     "mart_quality_gate": mart_quality_gate,
     "mart_quality_gate_latest": mart_quality_gate_latest,
 }
@@ -213,6 +227,18 @@ WHERE AGG_LEVEL = '0' AND DEL_YN <> 'Y' AND SCHEDULE = 'D'
     "ready_jobs": _ready_sql("D", _ON_DAY),
     "ready_jobs_same_schedule": _ready_sql("D", f"{_ON_DAY} AND schedule = 'D'"),
     "ready_jobs_hourly": _ready_sql("H", _IN_HOUR),
+    "mart_log_rows": f"""WITH states AS ({_ready_sql("D", _ON_DAY)}),
+events_ AS (
+  SELECT 'J' || user_id AS job_code, MIN(ts) AS start_date, MAX(ts) AS end_date, COUNT(*) AS row_count,
+         COUNT(*) FILTER (WHERE event_type = 'error') > 0 AS failed
+  FROM events GROUP BY user_id)
+SELECT job_code, start_date, CASE WHEN NOT failed THEN end_date END AS end_date, CASE WHEN failed THEN 'X' ELSE 'O' END AS status,
+       CASE WHEN failed THEN 0 ELSE row_count END AS row_count, 'D' AS schedule, CASE WHEN failed THEN 'failed' END AS error
+FROM events_ WHERE job_code IN (SELECT JOB_CODE FROM states WHERE STATUS = 'READY')
+UNION ALL
+SELECT JOB_CODE, CASE WHEN STATUS = 'BLOCKED' THEN TIMESTAMP '{fx.EVENTS_RUN_TS}' END, NULL, 'X', 0, 'D',
+       CASE WHEN STATUS = 'BLOCKED' THEN 'prerequisite not done' ELSE 'already done' END
+FROM states WHERE STATUS <> 'READY'""",
     "mart_quality_gate": f"""WITH {fx.JOB_CTES}
 SELECT COUNT(*) FILTER (WHERE status IS NULL OR status = 'X') = 0 AS gate_open,
        COUNT(*) FILTER (WHERE status IS NULL OR status = 'X') AS bad_rows, COUNT(*) AS log_rows

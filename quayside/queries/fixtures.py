@@ -186,7 +186,7 @@ BATCH_CTES = """
 part_months AS (
   SELECT l_partkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS ship_month, SUM(l_quantity) AS quantity
   FROM lineitem GROUP BY ALL),
-batches AS (
+batches AS MATERIALIZED (
   SELECT *, CAST(ship_month + INTERVAL 1 MONTH AS TIMESTAMP) AS MIG_DATETIME FROM part_months
   UNION ALL
   SELECT *, CAST(ship_month + INTERVAL 1 MONTH AS TIMESTAMP) + INTERVAL 1 DAY
@@ -194,9 +194,19 @@ batches AS (
 """
 
 
+def stale_stamps(batches: str) -> str:
+    """SQL for the load times of all rows that are not the newest of their key, each once."""
+    return f"""stale AS MATERIALIZED (
+  SELECT DISTINCT MIG_DATETIME FROM (
+    SELECT MIG_DATETIME, ROW_NUMBER() OVER (PARTITION BY l_partkey, ship_month ORDER BY MIG_DATETIME DESC NULLS FIRST) AS rn
+    FROM {batches})
+  WHERE rn > 1)"""
+
+
 # Job catalogs and logs. One job per user of the events, one log row per event.
 
 LOG_DAY = EVENTS_DAY
+LAST_HOUR = datetime(2024, 1, 30, 23)
 
 
 def job_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -211,7 +221,8 @@ def job_log(spark: SparkSession, folder: str) -> DataFrame:
         F.col("ts").alias("insert_time"),
         status.alias("status"),
         F.col("value").cast("bigint").alias("row_count"),
-        F.when(F.col("event_id") % 3 == 0, F.lit("H")).otherwise(F.lit("D")).alias("schedule"),
+        # Only the daily schedule writes in the last hour.
+        F.when((F.col("event_id") % 3 == 0) & (F.col("ts") < ntz(LAST_HOUR)), F.lit("H")).otherwise(F.lit("D")).alias("schedule"),
     )
 
 
@@ -278,13 +289,13 @@ def job_table_info(spark: SparkSession, folder: str) -> DataFrame:
 
 USUAL_WINDOWS = [f"RDATETIME >= DATE '2024-01-{day:02d}'" for day in (5, 9, 13)]
 
-JOB_CTES = """
+JOB_CTES = f"""
 users AS (SELECT DISTINCT user_id FROM events),
 log AS (
   SELECT 'J' || user_id AS job_code, ts AS start_date, ts AS insert_time,
          CASE WHEN event_type = 'error' THEN 'X' WHEN event_id % 41 = 0 THEN NULL ELSE 'O' END AS status,
          CAST(trunc(value) AS BIGINT) AS row_count,
-         CASE WHEN event_id % 3 = 0 THEN 'H' ELSE 'D' END AS schedule
+         CASE WHEN event_id % 3 = 0 AND ts < TIMESTAMP '{LAST_HOUR}' THEN 'H' ELSE 'D' END AS schedule
   FROM events),
 job_info AS (
   SELECT 'J' || user_id AS JOB_CODE, CAST(user_id % 4 AS VARCHAR) AS AGG_LEVEL,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from quayside.functions.dates import month_label, ntz
 from quayside.operators import calendars, marts, snapshots
+from quayside.plans import mart_load
+from quayside.plans.settle import scratch_path, settle
 from quayside.queries import fixtures as fx
 from quayside.sources.scans import named_result, table
 
@@ -36,20 +39,25 @@ def part_history(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _refresh(spark: SparkSession, folder: str, mode: str) -> marts.MartRefresh:
-    return marts.refresh_mart(part_view(spark, folder), part_history(spark, folder), mode, fx.AS_OF)
+def _refresh(spark: SparkSession, folder: str, flag: str) -> marts.MartRefresh:
+    """The mart PART_SALES of a run of its own, whose history holds the sales by month."""
+    job = f"part_sales_{uuid.uuid4().hex}{marts.DAILY_SUFFIX}"
+    name = marts.history_name(job, marts.mode_of(flag))
+    if name != job:
+        mart_load.store_history(part_history(spark, folder), name, path=scratch_path(spark, "mart-history"))
+    return mart_load.refresh_stored(part_view(spark, folder), job, flag, fx.AS_OF)
 
 
 def mart_replace(spark: SparkSession, folder: str) -> DataFrame:
-    return _refresh(spark, folder, "replace").table
+    return _refresh(spark, folder, "N").table
 
 
 def mart_accumulate(spark: SparkSession, folder: str) -> DataFrame:
-    return _refresh(spark, folder, "accumulate").history
+    return _refresh(spark, folder, "O").history
 
 
 def mart_accumulate_month(spark: SparkSession, folder: str) -> DataFrame:
-    return _refresh(spark, folder, "accumulate_month").history
+    return _refresh(spark, folder, "OO").history
 
 
 def _type_counts(spark: SparkSession, folder: str, day: date) -> DataFrame:
@@ -137,7 +145,9 @@ def stock_snapshot_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 def _append(spark: SparkSession, folder: str) -> marts.SnapshotAppend:
     # The reloads play today's snapshot; its rows are stamped after the first loads of their months.
-    return marts.append_snapshot(fx.first_loads(spark, folder), fx.reloads(spark, folder), fx.BATCH_KEYS, date(2000, 1, 1))
+    # Both are read from one stored table, as they are read twice: for the stale batches and for the rows that stay.
+    loads, again = settle(fx.all_loads(spark, folder), "loads"), F.dayofmonth("MIG_DATETIME") == 2
+    return marts.append_snapshot(loads.where(~again), loads.where(again), fx.BATCH_KEYS, date(2000, 1, 1))
 
 
 def snapshot_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,12 +246,9 @@ rows_ AS (
 SELECT *, '{STOCK_START}' AS START_DATE, '{STOCK_END}' AS END_DATE, TIMESTAMP '{fx.RUN_TS}' AS MIG_DATETIME
 FROM rows_ WHERE (sold = 0 AND amount = 0 AND returned = 0) IS NOT TRUE""",
     "snapshot_append": f"""WITH {fx.BATCH_CTES},
-loaded AS (SELECT * FROM batches WHERE day(MIG_DATETIME) = 1 OR MIG_DATETIME >= TIMESTAMP '2000-01-01')
-SELECT * FROM loaded WHERE MIG_DATETIME NOT IN (
-  SELECT MIG_DATETIME FROM (
-    SELECT MIG_DATETIME, ROW_NUMBER() OVER (PARTITION BY l_partkey, ship_month
-                                            ORDER BY MIG_DATETIME DESC NULLS FIRST) AS rn FROM loaded)
-  WHERE rn > 1)""",
+loaded AS MATERIALIZED (SELECT * FROM batches WHERE day(MIG_DATETIME) = 1 OR MIG_DATETIME >= TIMESTAMP '2000-01-01'),
+{fx.stale_stamps('loaded')}
+SELECT * FROM loaded ANTI JOIN stale USING (MIG_DATETIME)""",
     "month_end_snapshots": f"WITH {_BALANCES} SELECT * FROM balances",
     "month_end_sizes": f"""WITH {_BALANCES}
 SELECT CHECK_MONTH, COUNT(*) AS row_count, CAST(SUM(COUNT(*)) OVER (ORDER BY CHECK_MONTH) AS BIGINT) AS total_rows

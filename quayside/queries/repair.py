@@ -75,7 +75,8 @@ def dedup_keep_latest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedup_purge_batches(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.purge_superseded_batches(fx.all_loads(spark, folder), fx.BATCH_KEYS)
+    """The purge of a stored table, which is read for the stale batches and for the rows that stay."""
+    return dedup.purge_superseded_batches(settle(fx.all_loads(spark, folder), "loads"), fx.BATCH_KEYS)
 
 
 QUERIES = {
@@ -144,10 +145,6 @@ SELECT l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_partkey, l_suppk
     ORDER BY l_shipdate DESC NULLS FIRST, l_extendedprice DESC NULLS LAST, l_partkey DESC NULLS LAST,
              l_suppkey DESC NULLS LAST) AS rn
   FROM lineitem) WHERE rn = 1""",
-    "dedup_purge_batches": f"""WITH {fx.BATCH_CTES}
-SELECT * FROM batches WHERE MIG_DATETIME NOT IN (
-  SELECT MIG_DATETIME FROM (
-    SELECT MIG_DATETIME, ROW_NUMBER() OVER (PARTITION BY l_partkey, ship_month
-                                            ORDER BY MIG_DATETIME DESC NULLS FIRST) AS rn FROM batches)
-  WHERE rn > 1)""",
+    "dedup_purge_batches": f"""WITH {fx.BATCH_CTES}, {fx.stale_stamps('batches')}
+SELECT * FROM batches ANTI JOIN stale USING (MIG_DATETIME)""",
 }

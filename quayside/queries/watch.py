@@ -38,7 +38,7 @@ def latest_hour_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def latest_hour_report_marts(spark: SparkSession, folder: str) -> DataFrame:
-    log = fx.job_log(spark, folder).drop("insert_time")
+    log = fx.job_log(spark, folder).withColumnRenamed("insert_time", "end_date")
     return monitor.latest_hour_report(log, moment="start_date", status="O", ties=TIES)
 
 
@@ -91,9 +91,9 @@ _SUMMARY = f"""COUNT(*) FILTER (WHERE status = 'O') AS success_count, COUNT(*) A
   CAST(MAX({_SECONDS}) - MIN({_SECONDS}) AS BIGINT) AS run_seconds"""
 
 
-def _latest_sql(moment: str, wanted: str, newest_of: str, dropped: str) -> str:
+def _latest_sql(moment: str, wanted: str, newest_of: str, columns: str) -> str:
     return f"""WITH {fx.JOB_CTES},
-wanted AS (SELECT * EXCLUDE ({dropped}) FROM log WHERE {wanted}),
+wanted AS (SELECT * {columns} FROM log WHERE {wanted}),
 newest AS (SELECT date_trunc('hour', MAX({moment})) AS hour_ FROM {newest_of})
 SELECT ROW_NUMBER() OVER (ORDER BY {moment} NULLS LAST, job_code NULLS LAST, row_count NULLS LAST, status NULLS LAST) AS num, wanted.*
 FROM wanted, newest WHERE date_trunc('hour', {moment}) = hour_"""
@@ -103,9 +103,9 @@ ORACLES = {
     "load_summary": f"""WITH {fx.JOB_CTES}
 SELECT CAST(insert_time AS DATE) AS run_date, schedule, {_SUMMARY} FROM log GROUP BY ALL""",
     "load_summary_resent": f"WITH {fx.JOB_CTES} SELECT {_SUMMARY} FROM log WHERE status = 'O'",
-    "latest_hour_report": _latest_sql("insert_time", "schedule = 'H'", "wanted", "start_date"),
-    "latest_hour_report_marts": _latest_sql("start_date", "schedule = 'H' AND status = 'O'", "wanted", "insert_time"),
-    "latest_hour_report_compat": _latest_sql("insert_time", "schedule = 'H'", "log", "start_date"),
+    "latest_hour_report": _latest_sql("insert_time", "schedule = 'H'", "wanted", "EXCLUDE (start_date)"),
+    "latest_hour_report_marts": _latest_sql("start_date", "schedule = 'H' AND status = 'O'", "wanted", "RENAME (insert_time AS end_date)"),
+    "latest_hour_report_compat": _latest_sql("insert_time", "schedule = 'H'", "log", "EXCLUDE (start_date)"),
     "failed_task_report": f"""WITH tasks AS (
   SELECT 'J' || user_id AS dag_id, ts AS execution_date, event_id, event_type, unnest(generate_series(0, event_id % 3)) AS task
   FROM events)

@@ -72,10 +72,10 @@ def key_predicates(key: str, low: int, high: int, parts: int) -> list[str]:
     return range_predicates(key, [*range(low, high + 1, step), high + 1])
 
 
-def month_counts_query(table: str, moment: str, as_of: date) -> str:
-    """Rows per month since the first day of the month twelve months ago, counted by the database."""
+def month_counts_query(table: str, moment: str, as_of: date, months: int = COUNTED_MONTHS) -> str:
+    """Rows per month since the first day of the month ``months`` ago, counted by the database."""
     column = _identifier(moment)
-    since = shift_months(as_of, -COUNTED_MONTHS)
+    since = shift_months(as_of, -months)
     return (
         f"SELECT YEAR({column}) AS y, MONTH({column}) AS m, COUNT(*) AS n FROM {_identifier(table)} "
         f"WHERE {column} >= '{since}' GROUP BY YEAR({column}), MONTH({column})"
@@ -103,10 +103,17 @@ def labelled_counts(counted: DataFrame, job: str, name: str = "row_count") -> Da
 
 
 def read_month_counts(
-    spark: SparkSession, url: str, job: str, table: str, moment: str, as_of: date, properties: Mapping[str, str]
+    spark: SparkSession,
+    url: str,
+    job: str,
+    table: str,
+    moment: str,
+    as_of: date,
+    properties: Mapping[str, str],
+    months: int = COUNTED_MONTHS,
 ) -> DataFrame:
     """The monthly counts of a source table; only one row per month leaves the database."""
-    return labelled_counts(_read_query(spark, url, month_counts_query(table, moment, as_of), properties), job)
+    return labelled_counts(_read_query(spark, url, month_counts_query(table, moment, as_of, months), properties), job)
 
 
 def read_column_catalog(spark: SparkSession, url: str, properties: Mapping[str, str]) -> DataFrame:

@@ -116,3 +116,17 @@ def test_log_counts_the_window(spark):
 def test_log_of_a_job_that_did_not_load(spark):
     rows = jobs.outcome_log(spark, "J", TS, jobs.FAILED).unionByName(jobs.outcome_log(spark, "K", TS, jobs.SKIPPED, "H"))
     assert values(rows, "job_code", "row_count", "schedule", "status") == [("J", 0, "D", "X"), ("K", 0, "H", "SKIPPED")]
+
+
+def test_mart_log(spark):
+    states = frame(spark, "JOB_CODE string, STATUS string", ("ran", "READY"), ("passed over", "READY"), ("broke", "READY"), ("held", "BLOCKED"), ("done", "ALREADY_DONE"))
+    outcomes = frame(spark, "job_code string, start_date timestamp_ntz, end_date timestamp_ntz, row_count int, error string", ("ran", TS, TS, 5, None), ("broke", TS, TS, 3, "no view"))
+    rows = values(jobs.mart_log(states, outcomes, TS), "job_code", "start_date", "end_date", "status", "row_count", "schedule", "error")
+    assert rows == [
+        ("broke", TS, None, "X", 0, "D", "no view"),
+        ("done", None, None, "X", 0, "D", "already done"),
+        ("held", TS, None, "X", 0, "D", "prerequisite not done"),
+        ("ran", TS, TS, "O", 5, "D", None),
+    ]
+    hourly = values(jobs.mart_log(states, outcomes.limit(0), TS, jobs.HOURLY), "job_code", "start_date", "schedule")
+    assert hourly == [("done", None, "H"), ("held", None, "H")]

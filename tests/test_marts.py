@@ -1,9 +1,12 @@
+import uuid
 from datetime import date, datetime
 
 import pytest
 from helpers import TS, frame, values
+from pyspark.sql import functions as F
 
 from quayside.operators import marts, snapshots
+from quayside.plans import mart_load
 
 AS_OF = date(2024, 1, 10)
 SCHEMA = "p string, CHECK_MONTH string, ADATETIME timestamp_ntz"
@@ -73,3 +76,52 @@ def test_snapshot_append_replaces_the_period(spark):
     assert values(done.monthly) == [("a", "2023-12", stale), ("a", "2024-01", TS)]
     with pytest.raises(ValueError, match="missing"):
         marts.append_snapshot(monthly, snapshot, ["cod"], AS_OF)
+
+
+def stored(spark, flag, rows, history, job=None):
+    """A refresh carried out on a history of its own; the names of table and history are returned too."""
+    job = job or f"m_{uuid.uuid4().hex}_1D"
+    name = marts.history_name(job, marts.mode_of(flag))
+    if history is not None:
+        mart_load.store_history(frame(spark, SCHEMA, *history), name)
+    return mart_load.refresh_stored(frame(spark, SCHEMA, *rows), job, flag, AS_OF), job, name
+
+
+def test_refresh_is_carried_out(spark):
+    history = [YESTERDAY, OTHER_MONTH, OLDER, UNSTAMPED]
+    for flag, left in {"N": None, "O": 5, "OO": 4}.items():
+        done, job, name = stored(spark, flag, [NEW], history if flag != "N" else None)
+        assert values(done.table) == values(spark.table(job)) == [NEW]
+        if left is None:
+            assert done.history is None and not spark.catalog.tableExists(name.replace("_1D", ""))
+            continue
+        want = marts.refresh_mart(frame(spark, SCHEMA, NEW), frame(spark, SCHEMA, *history), marts.mode_of(flag), AS_OF)
+        assert values(done.history) == values(spark.table(name).drop(mart_load.PARTITION)) == values(want.history)
+        assert len(values(done.history)) == left
+
+
+def test_refresh_without_rows_history_or_month(spark):
+    done, _, _ = stored(spark, "OO", [], [YESTERDAY])
+    assert values(done.table) == values(done.history) == []  # the only partition goes
+    done, _, _ = stored(spark, "OO", [NEW, ("dateless", None, TS)], None)
+    assert values(done.history, "p") == [("dateless",), ("new",)]
+    done, _, _ = stored(spark, "OO", [("past", "2023-11", TS)], [YESTERDAY, OTHER_MONTH])
+    assert values(done.history, "p") == [("other month",), ("past",)]
+
+
+def test_refresh_twice_and_with_a_new_column(spark):
+    first, job, name = stored(spark, "OO", [YESTERDAY], [OLDER])
+    wider = frame(spark, SCHEMA + ", extra int", (*NEW, 7))
+    second = mart_load.refresh_stored(wider, job, "OO", AS_OF)
+    assert values(second.table) == [(*NEW, 7)]
+    assert values(second.history, "p", "extra") == [("new", 7), ("older", None)]
+
+
+def test_refresh_that_fails_leaves_the_table(spark):
+    _, job, _ = stored(spark, "N", [NEW], None)
+    broken = frame(spark, SCHEMA, NEW).withColumn("p", F.raise_error(F.lit("view is broken")).cast("string"))
+    with pytest.raises(Exception, match="view is broken"):
+        mart_load.refresh_stored(broken, job, "N", AS_OF)
+    assert values(spark.table(job)) == [NEW]
+    with pytest.raises(ValueError, match="own history"):
+        mart_load.refresh_stored(frame(spark, SCHEMA, NEW), "no_suffix", "O", AS_OF)
