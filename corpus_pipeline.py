@@ -1,4 +1,8 @@
-"""A corpus pipeline of five stages, each on all that the one before kept."""
+"""A corpus pipeline of five stages, each on all that the one before kept.
+
+Columns that the stages do not know pass through, whatever their names. An empty table gives an empty one.
+Without labelled texts, the language of no text can be told, and all go.
+"""
 
 from __future__ import annotations
 
@@ -10,16 +14,22 @@ from quayside.plans.settle import settle
 
 
 def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The documents that ``decided`` keeps. The ids kept grow with the corpus: both sides are shuffled at every size."""
+    """The documents that ``decided`` keeps. The ids kept grow with the corpus: both sides are shuffled at every size.
+
+    Rows that share an id stay together: all of them if one is kept. Rows without id count as one id.
+    """
     ids = settle(decided.where("kept").select("doc_id").distinct(), "kept")
-    return docs.join(ids.hint("merge"), "doc_id", "left_semi").select(docs.columns)
+    return docs.join(ids.hint("merge"), docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language cannot be told, as they have no letter, go; lang becomes the language found."""
+    found = "_lang"
+    while found in {c.lower() for c in docs.columns}:
+        found = f"_{found}"
     model = languages.train(docs.where(~languages.held_out()))
-    labelled = languages.label_rows(docs, model, "_lang").where(F.col("_lang") != languages.UNKNOWN)
-    return labelled.withColumn("lang", F.col("_lang")).select(docs.columns)
+    labelled = languages.label_rows(docs, model, found).where(F.col(found) != languages.UNKNOWN)
+    return labelled.withColumn("lang", F.col(found)).select(docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -236,3 +236,43 @@ def test_pipeline_against_brute_force(spark, folder):
                 parent = {n: new if p == old else p for n, p in parent.items()}
     got = corpus_pipeline.run(spark, folder).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(i for i in parent if parent[i] == i)
+
+
+def odd_stage_input(spark):
+    rows = [(i, t, None if i == 5 else "en", None if i == 6 else "s", None if i == 7 else 1) for i, t in ROWS]
+    rows += [(40, "no label here at all", None, "s", 1), (41, BASE + " end", "en", None, None), (None, BASE.lower() + " x", None, None, None)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    clashing = {"_lang": "a", "_kept": "b", "kept": "c", "node": "d", "digest": "e", "component_id": "f", "keep_id": "g", "spans": "h"}
+    return spark.createDataFrame(rows, schema), clashing
+
+
+def test_pipeline_stages_on_odd_rows(spark, folder):
+    """Rows without id, label or text, repeated rows and clashing columns: each stage's rows are known."""
+    from pyspark.sql import functions as F
+
+    plain, clashing = odd_stage_input(spark)
+    wide = plain.withColumns({n: F.lit(v) for n, v in clashing.items()})
+    stages = dict(corpus_pipeline.STAGES)
+    key = lambda rows: sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["text"] or "") for r in rows))
+
+    told = stages["language id"](spark, wide, folder)
+    assert told.columns == wide.columns
+    assert key(told.collect()) == key(r for r in plain.collect() if any(c.isalpha() for c in r["text"] or ""))
+
+    exact = stages["exact dedup"](spark, wide, folder)
+    assert exact.columns == wide.columns
+    gone = {1, 5}  # of equal texts the largest id stays; rows that repeat id and text both stay
+    assert key(exact.collect()) == key(r for r in plain.collect() if r["doc_id"] not in gone)
+
+    near = stages["near dedup"](spark, wide, folder)
+    assert near.columns == wide.columns
+    found = key(near.collect())
+    # The base and its near copies are one group, 8 and 9 have the same words; of the rows without id one is kept, so both stay.
+    assert found == key(r for r in plain.collect() if r["doc_id"] not in {2, 3, 4, 41, 9})
+
+    cleaned = stages["secret scan"](spark, wide, folder)
+    assert cleaned.columns == wide.columns and cleaned.count() == wide.count()
+    assert stages["packing"](spark, wide, folder).count() == wide.count()
+
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, wide.where("false"), folder).collect() == [], name
