@@ -68,7 +68,8 @@ def load_table(
     """``incremental_upsert`` into a table made by ``create_by_month``; returns the table.
 
     New columns of the batch are added to the table first. Which months change is found from the
-    key and date columns alone. Whole rows are read and written only for these months.
+    key and date columns alone. Whole rows are read and written only for these months, once; months
+    that lose rows and get none are asked whether any are left.
     """
     spark = batch.sparkSession
     target = spark.table(name)
@@ -85,5 +86,7 @@ def load_table(
     months = [row[PARTITION] for row in touched.collect()]
     changed = target.where(F.col(PARTITION).isin(months))
     loaded = apply_batch(changed, batch, keys, target_pred, **rule)
-    replace_table_partitions(loaded, name, PARTITION, touched)
+    # A month that the batch has rows for cannot become empty.
+    suspects = touched.join(batch.select(PARTITION).distinct(), [PARTITION], "left_anti")
+    replace_table_partitions(loaded, name, PARTITION, suspects)
     return spark.table(name)

@@ -87,18 +87,20 @@ def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(setting, before)
 
 
-def replace_table_partitions(df: DataFrame, name: str, partition: str, touched: DataFrame) -> None:
-    """Put ``df`` in the place of the ``touched`` partitions of a catalog table.
+def replace_table_partitions(df: DataFrame, name: str, partition: str, suspects: DataFrame) -> None:
+    """Put ``df`` in the place of its partitions of a catalog table.
 
     The new files are written beside the old ones and moved in when the job ends, so ``df`` may
-    read the table. Touched partitions that have no rows any more are dropped afterwards.
+    read the table. ``suspects`` lists the partitions that may have no rows any more; those without
+    any are dropped afterwards. Without suspects ``df`` is evaluated once, else also for the suspects.
     """
     spark = df.sparkSession
-    # A list of partitions, which is table layout and not data. Asked before the write, while
+    # Lists of partitions, which are table layout and not data. Asked before the write, while
     # df still reads the old files; only the columns that decide which rows stay are read.
-    emptied = touched.select(partition).join(df.select(partition).distinct(), [partition], "left_anti").collect()
+    asked = {row[0] for row in suspects.select(partition).distinct().collect()}
+    still = df.where(F.col(partition).isin(list(asked))).select(partition).distinct().collect() if asked else []
     rows = _balanced(_in_table_order(df, name), [partition])
     with _only_written_partitions(spark):
         rows.write.mode("overwrite").insertInto(name)
-    for row in emptied:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = :value)", {"value": row[partition]})
+    for value in sorted(asked - {row[0] for row in still}):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = :value)", {"value": value})
