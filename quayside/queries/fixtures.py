@@ -63,18 +63,22 @@ def order_source(spark: SparkSession, folder: str) -> DataFrame:
 
 def order_target(spark: SparkSession, folder: str) -> DataFrame:
     old = order_source(spark, folder).where(F.col("RDATETIME") < ntz(TARGET_END))
-    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    key, price, created = F.col("o_orderkey"), F.col("o_totalprice"), F.col("RDATETIME")
 
-    def copy(key: Column, price: Column, updated: Column) -> Column:
-        return F.struct(key.alias("o_orderkey"), price.alias("o_totalprice"), updated.alias("UDATETIME"))
+    def copy(key: Column, price: Column, created: Column, updated: Column) -> Column:
+        return F.struct(
+            key.alias("o_orderkey"), price.alias("o_totalprice"), created.alias("RDATETIME"), updated.alias("UDATETIME")
+        )
 
     lost = key % 29 == 0
-    aged = F.when(~lost, copy(key, price * 0.9, null("timestamp_ntz")))
+    # Every second copy of the window is dated before it: only a strict load replaces those never updated.
+    dated = F.when((key % 2 == 0) & (created >= ntz(WINDOW_START)), days_later(created, F.lit(-60))).otherwise(created)
+    aged = F.when(~lost, copy(key, price * 0.9, dated, null("timestamp_ntz")))
     # Every second month holds more rows that the source no longer has than it lost.
     stray = (key % 41 == 0) | ((F.month("RDATETIME") % 2 == 0) & (key % 23 == 0))
-    orphan = F.when(stray, copy(key + 1000000000, price, F.col("UDATETIME")))
+    orphan = F.when(stray, copy(key + 1000000000, price, created, F.col("UDATETIME")))
     return old.select(
-        "o_custkey", "o_orderstatus", "RDATETIME", F.inline(F.array_compact(F.array(aged, orphan)))
+        "o_custkey", "o_orderstatus", F.inline(F.array_compact(F.array(aged, orphan)))
     ).withColumn("MIG_DATETIME", ntz(OLD_TS))
 
 
@@ -85,7 +89,8 @@ source AS (
               THEN o_orderdate + to_days(CAST(o_orderkey % 400 AS INTEGER)) END AS UDATETIME
   FROM orders),
 target AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 0.9 AS o_totalprice, RDATETIME,
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 0.9 AS o_totalprice,
+         CASE WHEN o_orderkey % 2 = 0 AND RDATETIME >= TIMESTAMP '{WINDOW_START}' THEN RDATETIME - INTERVAL 60 DAY ELSE RDATETIME END AS RDATETIME,
          CAST(NULL AS TIMESTAMP) AS UDATETIME, TIMESTAMP '{OLD_TS}' AS MIG_DATETIME
   FROM source WHERE RDATETIME < TIMESTAMP '{TARGET_END}' AND o_orderkey % 29 <> 0
   UNION ALL

@@ -36,3 +36,10 @@ def test_query_equals_sql(spark, folder, duck, name):
     assert len(rows) == len(wanted)
     assert as_rows(result.columns, rows) == as_rows(columns, wanted)
     assert rows or name in EMPTY_AT_SMALL_SCALE
+
+
+@pytest.mark.parametrize("option, default", [("incremental_upsert_strict", "incremental_upsert_daily"), ("latest_hour_report_compat", "latest_hour_report")])
+def test_options_differ_from_the_default(duck, option, default):
+    """Else a green row of the option would show nothing."""
+    rows = [sorted(map(repr, duck.execute(ORACLES[name]).fetchall())) for name in (option, default)]
+    assert rows[0] != rows[1]
