@@ -9,8 +9,10 @@
 3. All pairs seen at or above the threshold are links. Where a list is full of links it says too little:
    it is enlarged to the whole component of links, whose members are compared block by block. Only
    counts per vector leave a block, so no pair of a group is emitted.
-4. A bounded sample of vectors is compared with all others. While the links found are too few, the
-   search goes on from new random projections.
+4. Bounded samples of vectors (without links, of small and of large components) are compared with all
+   others. While too many of the vectors that have links have a wrong number of them, apart for small and
+   large components, or while new random projections still change too many, the search goes on. Labels
+   that fail after the last trial are compared whole, block by block, until fresh samples hold.
 
 Vectors that are equal in all components are one node from the start.
 """
@@ -34,7 +36,9 @@ class Search:
     """threshold: least cosine of a link. neighbours: of a list. orders, window, per_bucket: of the seeds.
 
     rounds, change: a descent ends after so many rounds, or when less than this share of all list
-    entries is new. block: vectors compared at once. sample, recall, trials: of the audit.
+    entries is new. block: vectors compared at once; widest: the same, where a whole label is compared.
+    sample: vectors of each audited kind. recall: least share of linked vectors whose number of links is
+    exact. trials: of the search, before labels that fail are compared whole.
     """
 
     threshold: float = 0.98
@@ -45,6 +49,7 @@ class Search:
     rounds: int = 3
     change: float = 0.02
     block: int = 256
+    widest: int = 2048
     sample: int = 1024
     recall: float = 0.999
     trials: int = 4
@@ -220,8 +225,25 @@ def _descend(nodes: DataFrame, graph: DataFrame, pairs: DataFrame, search: Searc
     return graph, whole
 
 
-def _block_counts(members: DataFrame, search: Search) -> DataFrame:
-    """members (component, size, node, copies, vector) -> node, n: rows of other nodes of the component linked to it."""
+def _roots(linked: np.ndarray) -> np.ndarray:
+    """The smallest member of the component of each member of a symmetric link matrix."""
+    root = np.arange(len(linked))
+    for k in range(len(linked)):
+        if root[k] == k:  # not reached from a smaller member
+            reached = np.zeros(len(linked), bool)
+            edge = np.arange(len(linked)) == k
+            while edge.any():
+                reached |= edge
+                edge = linked[edge].any(0) & ~reached
+            root[reached] = k
+    return root
+
+
+def _block_counts(members: DataFrame, block: int, search: Search) -> DataFrame:
+    """members (component, size, node, copies, vector) -> node, n, root: all pairs of a component, in blocks of ``block``.
+
+    n: rows of other nodes linked to the node in this pair of blocks. root: a node that links reach there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["component", "low", "high"]
@@ -230,22 +252,21 @@ def _block_counts(members: DataFrame, search: Search) -> DataFrame:
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 part = table.slice(a, b - a).combine_chunks()
                 unit, node, copies = _vectors(part), part.column("node").to_numpy(), part.column("copies").to_numpy()
-                block, low, high = part.column("block").to_numpy(), int(part.column("low")[0].as_py()), int(part.column("high")[0].as_py())
-                left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-                linked = unit[left] @ unit[right].T >= search.threshold
-                if low == high:
-                    np.fill_diagonal(linked, False)
-                    nodes, n = node[left], linked @ copies[right]
-                else:
-                    nodes, n = np.concatenate((node[left], node[right])), np.concatenate((linked @ copies[right], linked.T @ copies[left]))
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(n.astype(np.int64))], names=["node", "n"])
-
-    blocks = F.ceil(F.col("size") / search.block).cast("bigint")
+                of, low, high = part.column("block").to_numpy(), int(part.column("low")[0].as_py()), int(part.column("high")[0].as_py())
+                linked = unit @ unit.T >= search.threshold
+                np.fill_diagonal(linked, False)
+                root = node[_roots(linked)]
+                if low != high:
+                    linked &= of[:, None] != of[None, :]  # pairs of one block are counted once, where it meets itself
+                n = np.array([int(copies[row].sum()) for row in linked])
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(n, pa.int64()), pa.array(root)], names=["node", "n", "root"])
+
+    blocks = F.ceil(F.col("size") / block).cast("bigint")
     dealt = members.select("component", "node", "copies", "vector", F.pmod(F.xxhash64("node"), blocks).alias("block"), blocks.alias("blocks"))
     met = dealt.select("component", "node", "copies", "vector", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("with"))
     keyed = met.select("component", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "copies", "vector")
     order = ["component", "low", "high"]
-    return keyed.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "node bigint, n bigint").groupBy("node").agg(F.sum("n").alias("n"))
+    return keyed.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "node bigint, n bigint, root bigint")
 
 
 def _linked(nodes: DataFrame, graph: DataFrame, links: DataFrame, search: Search) -> DataFrame:
@@ -260,18 +281,41 @@ def _linked(nodes: DataFrame, graph: DataFrame, links: DataFrame, search: Search
     inside = placed.where("enlarged").join(nodes.select("node", "copies", "vector"), "node")
     listed = _both_ways(links.distinct().withColumn("cosine", F.lit(1.0))).join(placed.where("not enlarged").select(F.col("node").alias("src")), "src", "left_semi")
     plain = listed.join(nodes.select(F.col("node").alias("dst"), "copies"), "dst").groupBy(F.col("src").alias("node")).agg(F.sum("copies").alias("n"))
-    counts = _block_counts(inside, search).unionByName(plain)
+    counts = _block_counts(inside, search.block, search).groupBy("node").agg(F.sum("n").alias("n")).unionByName(plain)
     return settle(placed.select("node", "component").join(counts, "node"), "linked")
 
 
-def audit(nodes: DataFrame, linked: DataFrame, search: Search) -> float:
-    """Share of the true links of a sample of nodes that were found; 1.0 if the sample has none.
+def _whole_labels(nodes: DataFrame, labels: DataFrame, search: Search) -> DataFrame:
+    """node, component, n for the linked nodes of ``labels``, every vector compared with every other."""
+    own = nodes.join(labels, "label", "left_semi").withColumn("length", F.length("vector"))
+    groups = own.groupBy("label", "length").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("size"))
+    members = own.join(groups, ["label", "length"]).select("component", "size", "node", "copies", "vector")
+    met = settle(_block_counts(members, search.widest, search).where("n > 0 OR root != node"), "met")
+    found = connected_components(met.select(F.col("node").alias("src"), F.col("root").alias("dst")), "whole")
+    return found.join(met.groupBy("node").agg(F.sum("n").alias("n")), "node").select("node", "component", "n")
+
+
+def _kinds(nodes: DataFrame, linked: DataFrame, search: Search) -> DataFrame:
+    """The nodes with n and kind: 0 without links, 1 in a component of at most ``search.block`` nodes, 2 in a larger one."""
+    large = linked.groupBy("component").count().where(F.col("count") > search.block).select("component", F.lit(2).alias("large"))
+    told = linked.join(large, "component", "left").select("node", "n", F.coalesce("large", F.lit(1)).alias("kind"))
+    return nodes.join(told, "node", "left").withColumns({"n": F.coalesce("n", F.lit(0)), "kind": F.coalesce("kind", F.lit(0))})
+
+
+def audit(nodes: DataFrame, linked: DataFrame, search: Search, seed: int = 7) -> tuple[dict[str, float], list[str]]:
+    """Shares of the linked nodes whose n is exact, estimated from samples, and the labels of wrong ones where a share is too small.
 
-    The sample is the ``search.sample`` nodes with the smallest hash of their vector.
+    Of each kind of nodes the sample is the ``search.sample`` nodes with the smallest hash of their vector. A
+    node weighs as many nodes as it stands for; its number of links does not matter. Nodes without links and
+    those in small components are one share, so a large component says nothing about them. 1.0: none is linked.
     """
-    picked = nodes.orderBy(F.xxhash64("vector", F.lit(7)), "node").limit(search.sample).select("node", "label", "vector")
-    chosen = [(r["node"], r["label"], bytes(r["vector"])) for r in picked.collect()]  # at most ``sample`` rows
-    shared = nodes.sparkSession.sparkContext.broadcast(chosen)
+    kinds = settle(_kinds(nodes, linked, search), "kinds")
+    sizes = {r["kind"]: r["count"] for r in kinds.groupBy("kind").count().collect()}
+    chosen = []
+    for kind in sizes:
+        picked = kinds.where(F.col("kind") == kind).orderBy(F.xxhash64("vector", F.lit(seed)), "node").limit(search.sample)
+        chosen += [(r["node"], r["label"], bytes(r["vector"]), kind, r["n"]) for r in picked.select("node", "label", "vector", "n").collect()]  # at most ``sample`` rows
+    shared = nodes.sparkSession.sparkContext.broadcast([x[:3] for x in chosen])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked: dict[tuple[str, int], tuple[list, list]] = {}
@@ -292,9 +336,27 @@ def audit(nodes: DataFrame, linked: DataFrame, search: Search) -> float:
                         true[node] = true.get(node, 0) + int(n)
         yield pa.RecordBatch.from_arrays([pa.array(list(true), pa.int64()), pa.array(list(true.values()), pa.int64())], names=["node", "links"])
 
-    counted = nodes.select("node", "label", "vector", "copies").mapInArrow(run, "node bigint, links bigint").groupBy("node").agg(F.sum("links").alias("links")).where("links > 0")
-    both = counted.join(linked.select("node", "n"), "node", "left").agg(F.sum("links"), F.sum(F.least("links", F.coalesce("n", F.lit(0))))).first()
-    return both[1] / both[0] if both[0] else 1.0
+    counted = nodes.select("node", "label", "vector", "copies").mapInArrow(run, "node bigint, links bigint").groupBy("node").agg(F.sum("links").alias("links"))
+    true = {r["node"]: r["links"] for r in counted.where("links > 0").collect()}  # at most three samples
+    stands = {kind: size / sum(x[3] == kind for x in chosen) for kind, size in sizes.items()}
+    shares, wrong = {}, set()
+    for name, own in (("small", (0, 1)), ("large", (2,))):
+        asked = [x for x in chosen if x[3] in own and x[0] in true]
+        failed = [x for x in asked if x[4] != true[x[0]]]
+        shares[name] = 1 - sum(stands[x[3]] for x in failed) / sum(stands[x[3]] for x in asked) if asked else 1.0
+        if shares[name] < search.recall:
+            wrong |= {x[1] for x in failed}
+    return shares, sorted(wrong)
+
+
+def _moved_labels(nodes: DataFrame, before: DataFrame, linked: DataFrame, search: Search) -> list[str]:
+    """Labels of nodes that the last trial gave another n, if these are too many of the linked nodes of small or of large components."""
+    earlier = before.select("node", F.col("n").alias("earlier"))
+    kinds = _kinds(nodes, linked, search).where("kind > 0").join(earlier, "node", "left").withColumn("moved", ~F.col("n").eqNullSafe(F.col("earlier")))
+    kinds = settle(kinds.select("label", "kind", "moved"), "moved")
+    shares = kinds.groupBy("kind").agg(F.avg(F.col("moved").cast("int")).alias("share")).collect()
+    failed = [r["kind"] for r in shares if r["share"] > 1 - search.recall]
+    return [r["label"] for r in kinds.where(F.col("moved") & F.col("kind").isin(failed)).select("label").distinct().collect()] if failed else []
 
 
 def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", label_column: str = "label", search: Search = DEFAULT) -> DataFrame:
@@ -319,13 +381,23 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
     most = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits = int(np.clip(np.ceil(np.log2(max(1, most / search.per_bucket))), 4, 40))
 
-    graph, links = None, spark.createDataFrame([], "src bigint, dst bigint")
+    graph, links, linked, failed = None, spark.createDataFrame([], "src bigint, dst bigint"), None, []
     for trial in range(search.trials):
         graph, more = _descend(nodes, graph, _seeds(nodes, bits, trial, search), search)
         links = settle(links.unionByName(more).distinct(), "links")
-        linked = _linked(nodes, graph, links, search)
-        if audit(nodes, linked, search) >= search.recall:
+        before, linked = linked, _linked(nodes, graph, links, search)
+        failed = audit(nodes, linked, search, trial)[1]
+        if before is not None:
+            failed += _moved_labels(nodes, before, linked, search)
+        if not failed and (before is not None or search.trials == 1):
             break
+    whole: set[str] = set()
+    while new := set(failed) - whole:
+        whole |= new
+        labels = spark.createDataFrame([(x,) for x in new], "label string")
+        others = linked.join(nodes.join(labels, "label", "left_semi").select("node"), "node", "left_anti")
+        linked = settle(others.unionByName(_whole_labels(nodes, labels, search)), "linked")
+        failed = audit(nodes, linked, search, search.trials + len(whole))[1]
 
     placed = nodes.select("label", "vector", "node", "first_id", "copies").join(linked, "node", "left")
     firsts = placed.where("component is not null").groupBy("component").agg(F.min("first_id").alias("component_first"))

@@ -215,6 +215,40 @@ def test_nn_descent_odd_rows(spark):
     assert nn_descent.near_duplicates(frame.where("false")).collect() == []
 
 
+def brute_links(vectors, labels, threshold=0.98):
+    """n_links and the component (smallest index) of each vector."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= threshold) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(linked, False)
+    root = np.arange(len(vectors))
+    while True:
+        low = np.minimum(root, np.where(linked, root[None, :], len(root)).min(1))
+        if (low == root).all():
+            return linked.sum(1), root
+        root = low
+
+
+def vector_frame(spark, vectors, labels):
+    return spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(vectors, labels, strict=True))], "vec_id bigint, embedding array<double>, label int")
+
+
+def near(rng, base, spread):
+    moved = base + spread * rng.standard_normal(base.shape) / np.sqrt(base.shape[-1])
+    return moved / np.linalg.norm(moved, axis=-1, keepdims=True)
+
+
+def test_nn_descent_finishes_small_groups_beside_a_hot_one(spark):
+    """A search too weak to find isolated pairs, and a group whose many links hide them: still every count is right."""
+    rng = np.random.default_rng(5)
+    bases = near(rng, np.zeros((201, 64)), 1.0)
+    vectors = np.concatenate((near(rng, np.repeat(bases[:1], 300, 0), 0.05), bases[1:], near(rng, bases[1:], 0.19)))
+    labels = np.zeros(len(vectors), int)
+    counts, roots = brute_links(vectors, labels)
+    weak = nn_descent.Search(orders=1, window=2, rounds=0, trials=1, widest=200)
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in nn_descent.near_duplicates(vector_frame(spark, vectors, labels), search=weak).collect())
+    assert got == [(i, int(n), int(c)) for i, (n, c) in enumerate(zip(counts, roots, strict=True))] and (counts[300:] > 0).sum() > 300
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_equal_sql(spark, folder, duck, name):
     expected = duck.execute(queries.ORACLES[name])
