@@ -6,9 +6,11 @@
 2. Descent: around each vector its neighbours and the vectors it is a neighbour of meet each other; the
    best of what they find replaces worse neighbours. A vector travels with its id to at most
    2 x ``neighbours`` centres a round.
-3. All pairs seen at or above the threshold are links. Where a list is full of links it says too little:
-   it is enlarged to the whole component of links, whose members are compared block by block. Only
-   counts per vector leave a block, so no pair of a group is emitted.
+3. Pairs seen at or above the threshold are links. Seeds hand on all of them, neighbourhoods the best few of
+   each member and all that these few do not connect. A few members of each component then search among
+   themselves, other members in every round, until a round merges no components. Only then are the members
+   of each component compared block by block. Only counts per vector leave a block, so no pair of a group
+   is emitted.
 4. Bounded samples of vectors (without links, of small and of large components) are compared with all
    others. While too many of the vectors that have links have a wrong number of them, apart for small and
    large components, or while new random projections still change too many, the search goes on. Labels
@@ -19,12 +21,13 @@ Vectors that are equal in all components are one node from the start.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.components import connected_components
@@ -35,7 +38,7 @@ from quayside.plans.settle import settle
 class Search:
     """threshold: least cosine of a link. neighbours: of a list. orders, window, per_bucket: of the seeds.
 
-    rounds, change: a descent ends after so many rounds, or when less than this share of all list
+    members: of each component that search for others. rounds, change: a descent ends after so many rounds, or when less than this share of all list
     entries is new. block: vectors compared at once; widest: the same, where a whole label is compared.
     sample: vectors of each audited kind. recall: least share of linked vectors whose number of links is
     exact. trials: of the search, before labels that fail are compared whole.
@@ -46,6 +49,7 @@ class Search:
     orders: int = 8
     window: int = 6
     per_bucket: int = 32
+    members: int = 4
     rounds: int = 3
     change: float = 0.02
     block: int = 256
@@ -111,7 +115,7 @@ def prepare(vectors: DataFrame, id_column: str, vector_column: str, label_column
     return rows.mapInArrow(run, "vec_id bigint, label string, vector binary")
 
 
-def _seeds(nodes: DataFrame, bits: int, seed: int, search: Search) -> DataFrame:
+def _seeds(nodes: DataFrame, bits: int, seed: int | list[int], search: Search) -> DataFrame:
     """Pairs next to each other in the random orders: per vector and order its best few."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,7 +125,7 @@ def _seeds(nodes: DataFrame, bits: int, seed: int, search: Search) -> DataFrame:
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
                 if size not in planes:
-                    planes[size] = np.random.default_rng([seed, int(size)]).standard_normal((search.orders, bits + 1, size))
+                    planes[size] = np.random.default_rng([*np.atleast_1d(seed).tolist(), int(size)]).standard_normal((search.orders, bits + 1, size))
                 seen = np.einsum("nd,obd->nob", _vectors(part), planes[size])
                 sign = ((seen[:, :, :bits] > 0) * (1 << np.arange(bits))).sum(2)
                 for o in range(search.orders):
@@ -148,6 +152,9 @@ def _seeds(nodes: DataFrame, bits: int, seed: int, search: Search) -> DataFrame:
                     cosine = best[rows, top.ravel()]
                     some = cosine > -2
                     yield pa.RecordBatch.from_arrays([pa.array(node[rows][some]), pa.array(other[rows, top.ravel()][some]), pa.array(cosine[some])], names=["src", "dst", "cosine"])
+                    best[rows, top.ravel()] = -2  # the few are out; other links go too
+                    rows, turn = np.nonzero(best >= search.threshold)
+                    yield pa.RecordBatch.from_arrays([pa.array(node[rows]), pa.array(other[rows, turn]), pa.array(best[rows, turn])], names=["src", "dst", "cosine"])
 
     dealt = nodes.select("node", "label", "vector").mapInArrow(deal, "label string, size bigint, turn bigint, sign bigint, place double, node bigint, vector binary")
     order = ["label", "size", "turn", "sign", "place", "node"]
@@ -167,8 +174,23 @@ def _both_ways(pairs: DataFrame) -> DataFrame:
     return pairs.unionByName(turned).groupBy("src", "dst").agg(F.max("cosine").alias("cosine"))
 
 
+def _bridges(cosine: np.ndarray, top: np.ndarray, threshold: float) -> np.ndarray:
+    """Which links of each neighbourhood join members that the links among the ``top`` of each do not connect."""
+    linked = cosine >= threshold
+    few = np.zeros_like(linked)
+    np.put_along_axis(few, top, True, 2)
+    few &= linked
+    few |= few.transpose(0, 2, 1)
+    low = np.broadcast_to(np.arange(cosine.shape[1]), cosine.shape[:2])
+    while True:
+        lower = np.minimum(low, np.where(few, low[:, None, :], cosine.shape[1]).min(2))
+        if (lower == low).all():
+            return linked & (low[:, :, None] > low[:, None, :])
+        low = lower
+
+
 def _local_joins(graph: DataFrame, nodes: DataFrame, search: Search) -> DataFrame:
-    """Pairs among the neighbours of each vector: of every member of a neighbourhood its best few."""
+    """Pairs among the neighbours of each vector: of every member its best few, and links that these do not connect."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, ["centre"]):
@@ -193,6 +215,8 @@ def _local_joins(graph: DataFrame, nodes: DataFrame, search: Search) -> DataFram
             dst = np.take_along_axis(np.broadcast_to(node[:, None, :], cosine.shape), top, 2)
             some = found > -2
             yield pa.RecordBatch.from_arrays([pa.array(src[some]), pa.array(dst[some]), pa.array(found[some])], names=["src", "dst", "cosine"])
+            of, a, b = np.nonzero(_bridges(cosine, top, search.threshold))
+            yield pa.RecordBatch.from_arrays([pa.array(node[of, a]), pa.array(node[of, b]), pa.array(cosine[of, a, b])], names=["src", "dst", "cosine"])
 
     forward = graph.select(F.col("src").alias("centre"), F.col("dst").alias("node"))
     back = _nearest(graph, "dst", search).select(F.col("dst").alias("centre"), F.col("src").alias("node"))
@@ -239,7 +263,7 @@ def _roots(linked: np.ndarray) -> np.ndarray:
     return root
 
 
-def _block_counts(members: DataFrame, block: int, search: Search) -> DataFrame:
+def _block_counts(members: DataFrame, block: int | Column, search: Search) -> DataFrame:
     """members (component, size, node, copies, vector) -> node, n, root: all pairs of a component, in blocks of ``block``.
 
     n: rows of other nodes linked to the node in this pair of blocks. root: a node that links reach there.
@@ -269,20 +293,32 @@ def _block_counts(members: DataFrame, block: int, search: Search) -> DataFrame:
     return keyed.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "node bigint, n bigint, root bigint")
 
 
-def _linked(nodes: DataFrame, graph: DataFrame, links: DataFrame, search: Search) -> DataFrame:
-    """node, component, n for the nodes with links."""
-    found = settle(connected_components(links.distinct()), "found")
+def _merged(nodes: DataFrame, links: DataFrame, bits: int, seed: int, search: Search) -> tuple[DataFrame, DataFrame]:
+    """links with those that a few members of each component find, and node, component for the linked nodes."""
+    found = settle(connected_components(links), "found")
+    components = found.select("component").distinct().count()
+    for turn in itertools.count():
+        if components < 2:
+            break
+        place = F.row_number().over(Window.partitionBy("component").orderBy(F.xxhash64("node", F.lit(seed), F.lit(turn)), "node"))
+        few = found.withColumn("place", place).where(F.col("place") <= search.members).select("node")
+        ends = settle(nodes.join(few, "node").select("node", "label", "vector"), "members")
+        more = _descend(ends, None, _seeds(ends, bits, [seed, turn], search), search)[1]
+        links = settle(links.unionByName(more).distinct(), "links")
+        found = settle(connected_components(links), "found")
+        before, components = components, found.select("component").distinct().count()
+        if components == before:
+            break
+    return links, found
+
+
+def _linked(nodes: DataFrame, found: DataFrame, search: Search) -> DataFrame:
+    """node, component, n for the linked nodes ``found`` (node, component): all members of a component are compared."""
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    full = graph.where(F.col("cosine") >= search.threshold).groupBy("src").count().where(F.col("count") >= search.neighbours).select(F.col("src").alias("node"))
-    saturated = found.join(full, "node", "left_semi").select("component", F.lit(True).alias("saturated")).distinct()
-    sized = sizes.join(saturated, "component", "left")
-    enlarged = F.coalesce("saturated", F.lit(False)) | (F.col("size") <= search.block)
-    placed = settle(found.join(sized.select("component", "size", enlarged.alias("enlarged")), "component"), "placed")
-    inside = placed.where("enlarged").join(nodes.select("node", "copies", "vector"), "node")
-    listed = _both_ways(links.distinct().withColumn("cosine", F.lit(1.0))).join(placed.where("not enlarged").select(F.col("node").alias("src")), "src", "left_semi")
-    plain = listed.join(nodes.select(F.col("node").alias("dst"), "copies"), "dst").groupBy(F.col("src").alias("node")).agg(F.sum("copies").alias("n"))
-    counts = _block_counts(inside, search.block, search).groupBy("node").agg(F.sum("n").alias("n")).unionByName(plain)
-    return settle(placed.select("node", "component").join(counts, "node"), "linked")
+    members = found.join(sizes, "component").join(nodes.select("node", "copies", "vector"), "node")
+    width = F.least(F.greatest(F.lit(search.block), F.ceil(F.col("size") / 64)), F.lit(search.widest))
+    counts = _block_counts(members, width, search).groupBy("node").agg(F.sum("n").alias("n"))
+    return settle(found.select("node", "component").join(counts, "node"), "linked")
 
 
 def _whole_labels(nodes: DataFrame, labels: DataFrame, search: Search) -> DataFrame:
@@ -385,7 +421,8 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
     for trial in range(search.trials):
         graph, more = _descend(nodes, graph, _seeds(nodes, bits, trial, search), search)
         links = settle(links.unionByName(more).distinct(), "links")
-        before, linked = linked, _linked(nodes, graph, links, search)
+        links, found = _merged(nodes, links, bits, trial, search)
+        before, linked = linked, _linked(nodes, found, search)
         failed = audit(nodes, linked, search, trial)[1]
         if before is not None:
             failed += _moved_labels(nodes, before, linked, search)

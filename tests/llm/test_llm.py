@@ -249,6 +249,21 @@ def test_nn_descent_finishes_small_groups_beside_a_hot_one(spark):
     assert got == [(i, int(n), int(c)) for i, (n, c) in enumerate(zip(counts, roots, strict=True))] and (counts[300:] > 0).sum() > 300
 
 
+def test_nn_descent_merges_tight_families(spark):
+    """Families larger than a list whose members are all nearer to each other than to the linked other family."""
+    rng = np.random.default_rng(11)
+    vectors = []
+    for _ in range(10):
+        one, way = near(rng, np.zeros((2, 64)), 1.0)
+        way = (way - way @ one * one) / np.linalg.norm(way - way @ one * one)
+        vectors += [near(rng, np.repeat(v[None], 60, 0), 0.002) for v in (one, 0.985 * one + np.sqrt(1 - 0.985**2) * way)]
+    vectors = np.concatenate(vectors)
+    counts, roots = brute_links(vectors, np.zeros(len(vectors), int))
+    unaudited = nn_descent.Search(trials=1, recall=0.0)
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in nn_descent.near_duplicates(vector_frame(spark, vectors, np.zeros(len(vectors))), search=unaudited).collect())
+    assert got == [(i, int(n), int(c)) for i, (n, c) in enumerate(zip(counts, roots, strict=True))] and len(set(roots)) == 10
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_queries_equal_sql(spark, folder, duck, name):
     expected = duck.execute(queries.ORACLES[name])
