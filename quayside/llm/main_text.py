@@ -3,9 +3,9 @@
 A page is cut into lines, one per block element, and parts that are no article by their markup (menus,
 forms, adverts, comments and so on) are taken out, leaving empty lines. Text lengths are summed over a
 sliding window of lines. A window that rises over the threshold is a surge; text is kept from the start
-of its rise to the dive, where a whole window is empty. Inside a marked article or main element parts
-taken out leave no empty lines, and nothing outside it counts, so the text between its first surge and
-its last dive is whole.
+of its rise to the dive, where a whole window is empty. Article and main elements are a hint only: they
+begin and end with a dive, and where the texts with a surge inside them are a fair share of all, the others
+go. Else, and on pages without such elements outside comments and scripts, all texts are measured alike.
 
 Pages are independent: there is no shuffle, and a task holds one Arrow batch.
 """
@@ -25,11 +25,15 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Settings:
-    """window: lines summed up. surge: signs in a window that begin a text. links: greatest share of link text."""
+    """window: lines summed up. surge: signs in a window that begin a text. links: greatest share of link text.
+
+    marked: least share of the text found that stands in an article or main, for the rest to go.
+    """
 
     window: int = 3
     surge: int = 80
     links: float = 0.5
+    marked: float = 0.25
 
 
 DEFAULT = Settings()
@@ -70,10 +74,9 @@ def _is_out(name: str, rest: str, inside: bool) -> bool:
     return bool(names & _OUT_NAMES) or not inside and "header" in names or bool(_HIDDEN.search(rest))
 
 
-def lines_of(page: str, window: int) -> tuple[list[str], list[int]]:
-    """The text lines of a page, white space made single, and the signs in links of each line."""
-    marked = bool(re.search(r"<(?:article|main)\b", page, re.IGNORECASE))
-    lines, links = [], []
+def lines_of(page: str, window: int) -> tuple[list[str], list[int], list[bool]]:
+    """The text lines of a page, white space made single, the signs in links of each, and which stand in an article or main."""
+    lines, links, marks = [], [], []
     text: list[str] = []
     linked: list[str] = []
     out_name, out_depth, inside, anchors = "", 0, 0, 0
@@ -82,6 +85,7 @@ def lines_of(page: str, window: int) -> tuple[list[str], list[int]]:
         if line := " ".join(html.unescape("".join(text)).split()):  # markup alone makes no empty line
             lines.append(line)
             links.append(len(" ".join(html.unescape("".join(linked)).split())))
+            marks.append(inside > 0)
         text.clear()
         linked.clear()
 
@@ -89,9 +93,10 @@ def lines_of(page: str, window: int) -> tuple[list[str], list[int]]:
         end_line()
         lines.extend([""] * size)
         links.extend([0] * size)
+        marks.extend([False] * size)
 
     def keep(piece: str):
-        if piece and not out_depth and (inside or not marked):
+        if piece and not out_depth:
             text.append(piece)
             if anchors:
                 linked.append(piece)
@@ -125,21 +130,22 @@ def lines_of(page: str, window: int) -> tuple[list[str], list[int]]:
                 if not inside:
                     gap(window)
         elif name in ("article", "main"):
+            if not inside:
+                gap(window)
             inside += 1
         elif name not in _VOID and not rest.endswith("/") and _is_out(name, rest, inside > 0):
             out_name, out_depth = name, 1
-            if not inside:
-                gap(window if name in _ENDS or _names(rest) & _ENDS else 1)
+            gap(window if name in _ENDS or _names(rest) & _ENDS else 1)
     keep(page[at:])
     end_line()
-    return lines, links
+    return lines, links, marks
 
 
 def extract(page: str | None, settings: Settings = DEFAULT) -> str:
     """The main text of one page: its lines joined by line feeds, empty if there is none."""
     if not page:
         return ""
-    lines, links = lines_of(page, settings.window)
+    lines, links, marks = lines_of(page, settings.window)
     length = np.array([len(x) for x in lines])
     full = np.flatnonzero(length)
     if not len(full):
@@ -150,8 +156,11 @@ def extract(page: str | None, settings: Settings = DEFAULT) -> str:
     peaks = [int(sums[p[0] : p[-1] + 1].max()) for p in parts]
     shares = [sum(links[i] for i in p) / max(1, int(length[p].sum())) for p in parts]
     good = [k for k, (peak, share) in enumerate(zip(peaks, shares, strict=True)) if peak >= settings.surge and share <= settings.links]
-    if not good:  # a short page has no surge: its highest part is its text
-        good = [max(range(len(parts)), key=lambda k: (shares[k] <= settings.links, peaks[k], -k))]
+    inner = [k for k in good if marks[parts[k][0]]]
+    if inner and sum(length[parts[k]].sum() for k in inner) >= settings.marked * sum(length[parts[k]].sum() for k in good):
+        good = inner
+    if not good:  # a short page has no surge: its highest part is its text, a marked one before others
+        good = [max(range(len(parts)), key=lambda k: (marks[parts[k][0]], shares[k] <= settings.links, peaks[k], -k))]
     return "\n".join(lines[i] for k in good for i in parts[k])
 
 

@@ -157,6 +157,19 @@ def test_main_text(spark):
     assert got == {(1, "A & B\nFirst bold text.\n<last>", 29), (2, "", 0), (3, "", 0), (None, "cut of<b", 8), (5, "", 0), (5, LONG, len(LONG))}
 
 
+def test_main_text_by_distribution():
+    """Article elements are a hint: what stands in a comment, script or other name is none, and text lines decide."""
+    menu = "<div><a href=/a>One</a></div>" * 3
+    body = f"<p>{BASE}</p><p>{BASE[:300]}</p>"
+    want = f"{BASE}\n{' '.join(BASE[:300].split())}"
+    for hidden in ("<!-- <article> -->", "<script>var s = '<main>';</script>", "<main-menu></main-menu>"):
+        assert main_text.extract(f"{hidden}<div>{body}</div><nav>{menu}</nav>") == want
+    teaser = f"<article><p>{BASE[:100]}</p></article>"
+    assert main_text.extract(f"<div>{body}</div>{teaser}").startswith(want)
+    links = f"<nav>{menu}</nav><p><a href=/b>{BASE[:200]}</a></p>"
+    assert main_text.extract(f"<article>{body}{links}</article><div><p>{BASE[:100]}</p></div>") == want
+
+
 def test_secrets(spark):
     key = "Ab1" * 13 + "c"
     rows = [
