@@ -46,7 +46,7 @@ class Sketch:
     """registers and band: how many, and how many of them form one key. base, rate, limit: the scale.
 
     words: of a shingle. share, of: links have ``of * intersection >= share * union``.
-    floor: pairs whose likeliest similarity is below it are not confirmed; it lies four standard
+    floor: pairs whose likeliest similarity is below it are not confirmed; it lies six standard
     deviations (0.031 with 192 registers) below the threshold.
     """
 
@@ -59,7 +59,7 @@ class Sketch:
     words: int = 5
     share: int = 75
     of: int = 100
-    floor: float = 0.625
+    floor: float = 0.55
     block: int = 512
 
     def members(self) -> np.ndarray:

@@ -90,6 +90,17 @@ def test_registers_merge_and_estimate():
     assert abs(near[0] - 0.75) < 0.12
 
 
+def test_unlucky_registers_are_confirmed():
+    """Of two equally large sets at the threshold 0.61 of the registers may be equal: the pair still gets its exact look."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    x, y = (setsketch.registers_of(rng.integers(0, 2**63, 1000, dtype=np.uint64), np.array([0]))[0] for _ in range(2))
+    y[:117] = x[:117]
+    columns = {"src": [2], "dst": [1], "r_a": [x.tobytes()], "r_b": [y.tobytes()], "n_a": [1000], "n_b": [1000]}
+    assert [b.num_rows for b in setsketch._likely(setsketch.DEFAULT)([pa.RecordBatch.from_pydict(columns)])] == [1]
+
+
 def test_exact_dedup_and_persistent_index(spark, docs):
     path = scratch_path(spark, "index")
     first = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in digest_index.deduplicate(docs, digest_index.DigestIndex(spark, path, 4)).collect()}
