@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quayside.llm import byte_bpe, chat, digest_index, languages, main_text, nn_descent, packing, secrets, setsketch, token_store
+from quayside.llm import byte_bpe, chat, collocations, digest_index, hard_negatives, languages, main_text, nn_descent, packing, secrets, setsketch, token_store
 from quayside.plans.settle import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +120,57 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return languages.predict(_table(spark, folder, "documents"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"))
+
+
+_OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    list_filter(string_split_regex(unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[ \x09]+'), lambda x: x <> '') AS w
+  FROM documents),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces WHERE len(w) > 0),
+counts AS (
+  SELECT lang, g, len(g) AS m, count(*) AS f FROM (SELECT lang, w[i:i + k - 1] AS g FROM places, range(1, 4) s(k) WHERE i + k - 1 <= len(w)) GROUP BY lang, g),
+totals AS (SELECT lang, sum(f) AS n FROM counts WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT * FROM counts WHERE m >= 2 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.g, c.m, c.f AS a, l.f AS l, r.f AS r, k, (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) c
+  JOIN counts l ON l.lang = c.lang AND l.g = c.g[1:k] JOIN counts r ON r.lang = c.lang AND r.g = c.g[k + 1:]),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (
+  SELECT DISTINCT s.lang, s.g FROM scored s JOIN (
+    SELECT lang, f, unnest([g[1:2], g[2:3]]) AS part FROM candidates WHERE m = 3) c ON c.lang = s.lang AND c.part = s.g
+  WHERE 100 * c.f >= 50 * s.a),
+ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+  FROM scored ANTI JOIN inside USING (lang, g))
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    whole = hard_negatives.whole_vectors(_table(spark, folder, "embeddings"))
+    marked = whole.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(marked, F.col("vec_id") % 100 == 0)
+
+
+_OP13 = """
+WITH taken AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+  FROM taken a JOIN taken r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (SELECT * FROM scores WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+pairs AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+  WHERE 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT * FROM pairs WHERE rank <= 10"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_embedding_near_dedup": op1_embedding_near_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -130,6 +182,8 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_language_id": op10_language_id,
+    "op11_collocations": op11_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -138,4 +192,6 @@ ORACLES: dict[str, str] = {
     "op7_secret_scan": secrets.oracle(),
     "op8_chat_format": _OP8,
     "op9_minhash_near_dedup": _OP9,
+    "op11_collocations": _OP11,
+    "op13_hard_negatives": _OP13,
 }
