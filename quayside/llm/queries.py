@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quayside.llm import byte_bpe, chat, collocations, digest_index, hard_negatives, languages, main_text, nn_descent, packing, secrets, setsketch, token_store
+from quayside.llm import byte_bpe, chat, collocations, digest_index, hard_negatives, languages, main_text, nn_descent, packing, repeated_bytes, secrets, setsketch, token_store
 from quayside.plans.settle import scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,6 +149,10 @@ ranked AS (
 SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
 
 
+def op12_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_bytes.digests(repeated_bytes.without_repeats(_table(spark, folder, "documents")))
+
+
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     whole = hard_negatives.whole_vectors(_table(spark, folder, "embeddings"))
     marked = whole.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
@@ -183,6 +187,7 @@ QUERIES: dict[str, Query] = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_language_id": op10_language_id,
     "op11_collocations": op11_collocations,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
