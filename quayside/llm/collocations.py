@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 from quayside.llm.transducers import CountTransducer, counted, union, vocabulary
 from quayside.plans.settle import settle
 
-SHARD = 4 << 20  # bytes of one language that become one transducer
-HELD = 32 << 20  # bytes a task holds at most before the largest language becomes one
-RANGE = 1 << 18  # paths of a range, about
+SHARD = 5 << 19  # bytes of one language that become one transducer
+HELD = 5 << 21  # bytes a task holds at most before the largest language becomes one
+ROWS = 256  # rows turned into Python objects at a time
+RANGE = 1 << 19  # paths of a range, about
 RANGES = 1 << 16  # ranges at most; beyond, a range holds more paths
 NAMED = 64  # paths a transducer names
 SAMPLE = 50_000  # named paths that come to the driver, to choose the edges
@@ -78,13 +79,15 @@ def _shards(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.Reco
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "blob", "paths", "words", "named"])
 
     for batch in batches:
-        for lang, text in zip(batch["lang"].to_pylist(), batch["text"].cast(pa.large_binary()).to_pylist(), strict=True):
-            held[lang].append(text)
-            size[lang] += len(text) + 1
-            if size[lang] >= SHARD:
-                yield out(lang)
-            elif sum(size.values()) >= HELD:
-                yield out(max(size, key=size.get))
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            for lang, text in zip(part["lang"].to_pylist(), part["text"].cast(pa.binary()).to_pylist(), strict=True):
+                held[lang].append(text)
+                size[lang] += len(text) + 1
+                if size[lang] >= SHARD:
+                    yield out(lang)
+                elif sum(size.values()) >= HELD:
+                    yield out(max(size, key=size.get))
     for lang in list(held):
         yield out(lang)
 
@@ -140,7 +143,7 @@ def _frequent(table: pa.Table, least: int) -> pa.Table:
     for blob in table["blob"].to_pylist():
         held.append(CountTransducer.load(blob))
         size += len(held[-1].weights)
-        if size > 8 * RANGE:
+        if size > 2 * RANGE:
             held = [union(held)]
             size = len(held[0].weights)
     whole = union(held)
