@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,13 +92,40 @@ def struct_of(derived: DataFrame, table: str) -> tuple[T.StructType, list[str]]:
     return struct, [name for _, name in keyed]
 
 
+def folded(spark: SparkSession) -> Callable[[str], str]:
+    """Names as the session compares them: without case, unless it is told otherwise."""
+    return str if spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true" else str.lower
+
+
+def named_like(batch: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The batch with its columns spelled as ``names`` spell them; columns that ``names`` lack keep their name.
+
+    Two columns of the batch that come to one name are an error, as are two of ``names``.
+    """
+    fold = folded(batch.sparkSession)
+    known: dict[str, str] = {}
+    for name in names:
+        if known.setdefault(fold(name), name) != name:
+            raise ValueError(f"columns differ only in case: {known[fold(name)]}, {name}")
+    spelled = [known.get(fold(c), c) for c in batch.columns]
+    taken: dict[str, str] = {}
+    for old, new in zip(batch.columns, spelled, strict=True):
+        if taken.setdefault(fold(new), old) != old:
+            raise ValueError(f"columns differ only in case: {taken[fold(new)]}, {old}")
+    if len(taken) < len(spelled):
+        raise ValueError(f"a column occurs twice: {', '.join(sorted({c for c in spelled if spelled.count(c) > 1}))}")
+    return batch if spelled == batch.columns else batch.toDF(*spelled)
+
+
 def evolve(target: DataFrame, batch: DataFrame, new_as_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """Target and batch brought to one schema.
 
     Columns only in the batch are added to the target, NULL in old rows; with ``new_as_text``
     they are added as text. Columns only in the target are NULL in the batch. No column is
-    dropped or retyped: a type conflict is an error.
+    dropped or retyped: a type conflict is an error. Names meet as the session compares them, so
+    a column of the batch that differs only in case from one of the target is that column.
     """
+    batch = named_like(batch, target.columns)
     old = {f.name: f.dataType for f in target.schema}
     new = {f.name: f.dataType for f in batch.schema}
     conflicts = [f"{c}: {old[c].simpleString()} / {new[c].simpleString()}" for c in new if c in old and old[c] != new[c]]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.conditions import as_condition, is_true
 from quayside.functions.dates import ntz
-from quayside.operators.schema import STAMP, evolve
+from quayside.operators.schema import STAMP, evolve, named_like
 from quayside.plans.settle import settle
 
 UPDATED = "UDATETIME"
@@ -80,6 +80,7 @@ def incremental_upsert(
     asks for the window delete alone; ``None`` is an error.
     """
     _need_keys(keys)
+    batch = named_like(batch, target.columns)
     # The source is read once. Later steps see the same rows, and the size of the key list is known.
     batch = settle(stamped(batch, run_ts, stamp, target), "batch", compact=True)
     return apply_batch(target, batch, keys, target_pred, updated, strict)

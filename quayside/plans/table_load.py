@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.dates import month_label
 from quayside.operators.history import YEAR, historical_load
-from quayside.operators.schema import struct_of
+from quayside.operators.schema import named_like, struct_of
 from quayside.operators.upsert import CREATED, UPDATED, apply_batch, stamped, touched_partitions
 from quayside.plans.settle import settle
 from quayside.sources.sinks import add_columns, append_table, create_table, replace_table_partitions
@@ -73,7 +73,7 @@ def load_table(
     """
     spark = batch.sparkSession
     target = spark.table(name)
-    batch = settle(stamped(by_month(batch, moment), run_ts, like=target), "batch", compact=True)
+    batch = settle(stamped(by_month(named_like(batch, target.columns), moment), run_ts, like=target), "batch", compact=True)
     if batch.isEmpty():
         return target
     add_columns(batch, name)

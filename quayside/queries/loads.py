@@ -70,8 +70,9 @@ def delete_older(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
+    # The batch spells one column in its own way.
     target = fx.order_target(spark, folder).drop("o_orderstatus")
-    batch = fx.order_source(spark, folder).where(fx.WINDOW)
+    batch = fx.order_source(spark, folder).where(fx.WINDOW).withColumnRenamed("o_totalprice", "O_TOTALPRICE")
     grown, filled = schema.evolve(target, batch)
     return grown.unionByName(filled)
 

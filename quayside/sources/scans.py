@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.conditions import as_condition
 from quayside.functions.dates import in_days
+from quayside.operators.schema import folded
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,7 +29,9 @@ def scan_keys(df: DataFrame, keys: Sequence[str], moment: str, start: date, end:
 
 
 def has_column(df: DataFrame, name: str) -> bool:
-    return name in df.columns
+    """Whether the frame has the column, as the session compares names."""
+    fold = folded(df.sparkSession)
+    return fold(name) in map(fold, df.columns)
 
 
 def named_result(df: DataFrame, names: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.operators.schema import named_like
 from quayside.sources.scans import table_exists
 
 
@@ -47,16 +48,21 @@ def create_table(df: DataFrame, name: str, partition: str, path: str | None = No
 
 
 def add_columns(df: DataFrame, name: str) -> None:
-    """Add to a catalog table the columns that only ``df`` has. Old rows read as NULL there."""
+    """Add to a catalog table the columns that only ``df`` has. Old rows read as NULL there.
+
+    Names meet as the session compares them; two columns of ``df`` that meet are an error.
+    """
     spark = df.sparkSession
-    known = {c.lower() for c in spark.table(name).columns}  # as the session resolves names
-    added = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema if f.name.lower() not in known]
+    known = set(spark.table(name).columns)
+    named = named_like(df, spark.table(name).columns).schema
+    added = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in named if f.name not in known]
     if added:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
 
 
 def _in_table_order(df: DataFrame, name: str) -> DataFrame:
-    """The columns of ``df`` in the order of the table; a column that ``df`` lacks is NULL."""
+    """The columns of ``df`` in the order and spelling of the table; a column that ``df`` lacks is NULL."""
+    df = named_like(df, df.sparkSession.table(name).columns)
     present = set(df.columns)
     return df.select(
         *[

@@ -1,8 +1,12 @@
+import uuid
+from datetime import datetime
+
 import pytest
-from helpers import frame, values
+from helpers import TS, frame, settings, values
 from pyspark.sql import types as T
 
-from quayside.operators import schema
+from quayside.operators import schema, upsert
+from quayside.plans.table_load import create_by_month, load_table
 
 CATALOG = (
     "TABLE_NAME string, COLUMN_NAME string, ORDINAL_POSITION int, DATA_TYPE string, NUMERIC_PRECISION int, "
@@ -65,3 +69,32 @@ def test_new_columns_as_text(spark):
 def test_type_conflict(spark):
     with pytest.raises(ValueError, match="a: int / string"):
         schema.evolve(frame(spark, "a int", (1,)), frame(spark, "a string", ("1",)))
+
+
+def test_names_meet_without_case(spark):
+    target, batch = frame(spark, "id int, note string", (1, "old")), frame(spark, "ID int, NOTE string, Extra int", (2, "new", 5))
+    grown, filled = schema.evolve(target, batch)
+    assert grown.columns == filled.columns == ["id", "note", "Extra"]
+    assert values(grown.unionByName(filled), "id", "note", "Extra") == [(1, "old", None), (2, "new", 5)]
+    loaded = upsert.incremental_upsert(target, batch, ["id"], "id = 0", TS, updated="note")
+    assert values(loaded, "id", "note") == [(1, "old"), (2, "new")]
+
+
+def test_names_that_collide(spark):
+    with pytest.raises(ValueError, match="only in case: note, NOTE"):
+        schema.evolve(frame(spark, "id int", (1,)), frame(spark, "id int, note string, NOTE string", (2, "a", "b")))
+    with pytest.raises(ValueError, match="twice"):
+        schema.named_like(frame(spark, "a int", (1,)).selectExpr("a", "a"), ["a"])
+    with settings(spark, spark__sql__caseSensitive="true"):
+        grown, filled = schema.evolve(frame(spark, "note string", ("old",)), frame(spark, "NOTE string", ("new",)))
+        assert values(grown.unionByName(filled), "note", "NOTE") == [(None, "new"), ("old", None)]
+
+
+def test_stored_load_keeps_both_spellings(spark):
+    name = f"spelled_{uuid.uuid4().hex}"
+    day = datetime(2024, 1, 5)
+    create_by_month(frame(spark, "id int, note string, RDATETIME timestamp_ntz, MIG_DATETIME timestamp_ntz", (1, "old", day, day)), name)
+    batch = frame(spark, "ID int, NOTE string, rdatetime timestamp_ntz", (2, "new", day))
+    load_table(name, batch, ["id"], "RDATETIME >= timestamp_ntz'2024-01-06'", TS)
+    assert values(spark.table(name), "id", "note", "LOAD_MONTH") == [(1, "old", "2024-01"), (2, "new", "2024-01")]
+    spark.sql(f"DROP TABLE {name}")
