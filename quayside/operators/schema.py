@@ -117,6 +117,13 @@ def named_like(batch: DataFrame, names: Sequence[str]) -> DataFrame:
     return batch if spelled == batch.columns else batch.toDF(*spelled)
 
 
+def typed_like(rows: DataFrame, like: DataFrame) -> DataFrame:
+    """Rows with the names and types that ``like`` has for their columns; further columns stay as they are."""
+    rows = named_like(rows, like.columns)
+    types = {f.name: f.dataType for f in like.schema}
+    return rows.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in rows.columns])
+
+
 def evolve(target: DataFrame, batch: DataFrame, new_as_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """Target and batch brought to one schema.
 

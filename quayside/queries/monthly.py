@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from quayside.functions.dates import month_label, ntz
 from quayside.operators import calendars, marts, snapshots
-from quayside.plans import mart_load
-from quayside.plans.settle import scratch_path, settle
+from quayside.plans import mart_load, publish
+from quayside.plans.settle import settle
 from quayside.queries import fixtures as fx
 from quayside.sources.scans import named_result, table
 
@@ -39,25 +39,36 @@ def part_history(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _refresh(spark: SparkSession, folder: str, flag: str) -> marts.MartRefresh:
-    """The mart PART_SALES of a run of its own, whose history holds the sales by month."""
+def _refresh(spark: SparkSession, folder: str, flag: str, times: int = 1) -> DataFrame:
+    """The mart PART_SALES of a run of its own, whose history holds the sales by month; copied, and the tables dropped."""
     job = f"part_sales_{uuid.uuid4().hex}{marts.DAILY_SUFFIX}"
     name = marts.history_name(job, marts.mode_of(flag))
-    if name != job:
-        mart_load.store_history(part_history(spark, folder), name, path=scratch_path(spark, "mart-history"))
-    return mart_load.refresh_stored(part_view(spark, folder), job, flag, fx.AS_OF)
+    try:
+        if marts.mode_of(flag) != "replace":
+            mart_load.store_history(part_history(spark, folder), name)
+        for _ in range(times):
+            done = mart_load.refresh_stored(part_view(spark, folder), job, flag, fx.AS_OF, run="2001-08-02")
+        return settle(done.table if done.history is None else done.history, "mart")
+    finally:
+        for table_name in {job, name}:
+            publish.drop(spark, table_name)
 
 
 def mart_replace(spark: SparkSession, folder: str) -> DataFrame:
-    return _refresh(spark, folder, "N").table
+    return _refresh(spark, folder, "N")
 
 
 def mart_accumulate(spark: SparkSession, folder: str) -> DataFrame:
-    return _refresh(spark, folder, "O").history
+    return _refresh(spark, folder, "O")
 
 
 def mart_accumulate_month(spark: SparkSession, folder: str) -> DataFrame:
-    return _refresh(spark, folder, "OO").history
+    return _refresh(spark, folder, "OO")
+
+
+def mart_refresh_repeated(spark: SparkSession, folder: str) -> DataFrame:
+    """The run of a day carried out twice: its rows are in the history once."""
+    return _refresh(spark, folder, "O", times=2)
 
 
 def _type_counts(spark: SparkSession, folder: str, day: date) -> DataFrame:
@@ -168,6 +179,7 @@ QUERIES = {
     "mart_replace": mart_replace,
     "mart_accumulate": mart_accumulate,
     "mart_accumulate_month": mart_accumulate_month,
+    "mart_refresh_repeated": mart_refresh_repeated,
     "monthly_roll": monthly_roll,
     "monthly_roll_accumulated": monthly_roll_accumulated,
     "close_month_select": close_month_select,
@@ -223,6 +235,7 @@ balances AS (
 ORACLES = {
     "mart_replace": f"WITH {_MART} SELECT * FROM view_",
     "mart_accumulate": f"WITH {_MART} SELECT * FROM history UNION ALL SELECT * FROM view_",
+    "mart_refresh_repeated": f"WITH {_MART} SELECT * FROM history UNION ALL SELECT * FROM view_",
     "mart_accumulate_month": f"""WITH {_MART}
 SELECT * FROM history WHERE NOT (CAST(ADATETIME AS DATE) = DATE '{YESTERDAY}' AND substr(CHECK_MONTH, 1, 7) = '2001-08')
 UNION ALL SELECT * FROM view_""",

@@ -96,7 +96,7 @@ def test_refresh_is_carried_out(spark):
             assert done.history is None and not spark.catalog.tableExists(name.replace("_1D", ""))
             continue
         want = marts.refresh_mart(frame(spark, SCHEMA, NEW), frame(spark, SCHEMA, *history), marts.mode_of(flag), AS_OF)
-        assert values(done.history) == values(spark.table(name).drop(mart_load.PARTITION)) == values(want.history)
+        assert values(done.history) == values(spark.table(name).drop(*mart_load.PARTITIONS)) == values(want.history)
         assert len(values(done.history)) == left
 
 
