@@ -29,7 +29,7 @@ from quayside.plans.settle import settle
 
 PIECE = 1 << 20  # bytes looked at together
 GROUP = 4096  # stretches of one anchor in one group
-SORTED = 1 << 19  # windows sorted together, about
+SORTED = 1 << 17  # windows sorted together, about
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(40503))
@@ -166,13 +166,27 @@ class SuffixOrder:
         return out
 
     def identical(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the bytes are the same, whatever the hashes say."""
+        """Whether the bytes of suffixes a and b are the same, whatever the hashes say.
+
+        Pairs that lie one byte behind another pair share all but their last byte with it, so of a chain of
+        such pairs the first is compared whole and each other one by one byte.
+        """
+        order = np.lexsort((self.at[b] - self.at[a], self.at[a]))
+        x, y = self.at[a[order]], self.at[b[order]]
+        head = np.ones(len(x), bool)
+        head[1:] = (x[1:] != x[:-1] + 1) | (y[1:] != y[:-1] + 1)
+        same = self.raw[x + self.length - 1] == self.raw[y + self.length - 1]
         word = 8 if self.length >= 8 else 1
         view = np.ndarray(len(self.raw) - word + 1, f"<u{word}", self.raw, strides=(1,))
-        same = np.ones(len(a), bool)
+        first = np.flatnonzero(head)
         for skip in [*range(0, self.length - word + 1, word), self.length - word]:
-            same &= view[self.at[a] + skip] == view[self.at[b] + skip]
-        return same
+            same[first] &= view[x[first] + skip] == view[y[first] + skip]
+        # A pair holds if no pair of its chain up to it differs.
+        differ = np.cumsum(~same)
+        before = np.where(first > 0, differ[first - 1], 0)
+        out = np.empty(len(x), bool)
+        out[order] = differ == before[np.cumsum(head) - 1]
+        return out
 
     def sort(self, numbers: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         """``numbers`` with each class (from ``first`` on, ``size`` long) in suffix order, by mergesort of all classes side by side."""
@@ -211,14 +225,15 @@ def repeated_windows(raw: np.ndarray, at: np.ndarray, kind: np.ndarray, length:
     first = np.flatnonzero(np.diff(kind[order], prepend=kind[order][0] - 1))
     size = np.diff(np.append(first, len(order)))
     suffixes = SuffixOrder(raw, at, length)
-    ranked = suffixes.sort(order, first, size)
+    whole = suffixes.whole[order]
+    alike = np.logical_and.reduceat(whole == np.repeat(whole[first], size), first)  # in order as they are
+    ranked = suffixes.sort(order, first[~alike], size[~alike])
     near = np.ones(len(at), bool)
     near[first] = False
     near = np.flatnonzero(near)
     near = near[suffixes.whole[ranked[near]] == suffixes.whole[ranked[near - 1]]]
     same = np.zeros(len(at) + 1, bool)  # whether a window equals the one before it in order
-    for part in np.array_split(near, len(near) // 100_000 + 1):
-        same[part] = suffixes.identical(ranked[part], ranked[part - 1])
+    same[near] = suffixes.identical(ranked[near], ranked[near - 1])
     for c in np.unique(np.searchsorted(first, near[~same[near]], "right") - 1):  # hashes met by chance: ordered by the bytes
         places = slice(first[c], first[c] + size[c])
         members = ranked[places]
@@ -240,8 +255,7 @@ def _spans(table: pa.Table, length: int) -> pa.RecordBatch:
     key, salt = table["key"].to_numpy(), table["salt"].to_numpy()
     rows, starts = table["row"].to_numpy(), table["start"].to_numpy()
     windows, lead = table["windows"].to_numpy().astype(np.int64), table["lead"].to_numpy().astype(np.int64)
-    pieces = table["piece"].to_pylist()
-    raw = np.frombuffer(b"".join(pieces), np.uint8)
+    raw = np.frombuffer(b"".join(table["piece"].to_pylist()), np.uint8)
     sizes = windows + length - 1
     offset = np.cumsum(sizes) - sizes
     group = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]) | (salt[1:] != salt[:-1]))))
