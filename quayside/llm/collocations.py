@@ -9,8 +9,8 @@
    weights add up. Prefixes are summed, and those that occur often enough leave the range. A prefix that an edge
    cuts leaves both ranges with a part of its count, which a grouping adds.
 3. Composition. Frequent phrases form a transducer per range. The parts of each candidate are dealt to their
-   ranges in lists, whose rows meet the range's transducer in a join that adaptive execution splits where one
-   range is asked by very many, and run through it.
+   ranges in lists and run through the range's transducer. A range that is asked by very many is copied, and
+   each copy answers a bounded share of them.
 
 A part occurs at least as often as the phrase, so nothing is lost by keeping only frequent phrases.
 """
@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 from quayside.llm.transducers import CountTransducer, counted, union, vocabulary
 from quayside.plans.settle import settle
 
-SHARD = 5 << 19  # bytes of one language that become one transducer
-HELD = 5 << 21  # bytes a task holds at most before the largest language becomes one
+SHARD = 1 << 21  # bytes of one language that become one transducer
+HELD = 1 << 23  # bytes a task holds at most before the largest language becomes one
 ROWS = 256  # rows turned into Python objects at a time
 RANGE = 1 << 19  # paths of a range, about
 RANGES = 1 << 16  # ranges at most; beyond, a range holds more paths
+ASKED = 1 << 16  # parts asked of a range in one group, about
 NAMED = 64  # paths a transducer names
 SAMPLE = 50_000  # named paths that come to the driver, to choose the edges
 
@@ -198,6 +199,9 @@ def _built(table: pa.Table, longest: int) -> pa.Table:
     return pa.table({"lang": table["lang"].slice(0, 1), "range": table["range"].slice(0, 1), "blob": pa.array([t.dump()], pa.binary())})
 
 
+_NONE = pa.table(
+    [pa.array([], k) for k in (pa.string(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.int64())], names=["lang", "gram", "cut", "side", "f"]
+)
 _ASKED = "lang string, range int, grams array<array<string>>, cuts array<int>, sides array<int>"
 
 
@@ -217,25 +221,22 @@ def _asked(batches: Iterator[pa.RecordBatch], edges: dict, longest: int) -> Iter
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "range", "grams", "cuts", "sides"])
 
 
-def _composed(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        known = {}  # rows of one range stand together
-        for row in batch.to_pylist():
-            key = row["lang"], row["range"]
-            if key not in known:
-                known = {key: CountTransducer.load(row["blob"])}
-            t = known[key]
-            parts = [g[k:] if s else g[:k] for g, k, s in zip(row["grams"], row["cuts"], row["sides"], strict=True)]
-            number = t.numbers(pa.array([w.encode() for p in parts for w in p], pa.large_binary()))
-            sizes = np.array([len(p) for p in parts])
-            paths = np.zeros((len(parts), longest), np.int64)
-            place = np.repeat(np.arange(len(parts)), sizes)
-            paths[place, np.arange(len(number)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = number
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row["lang"]] * len(parts)), pa.array(row["grams"], pa.list_(pa.string())), pa.array(row["cuts"], pa.int32()),
-                 pa.array(row["sides"], pa.int32()), pa.array(t.counts(paths), pa.int64())],
-                ["lang", "gram", "cut", "side", "f"],
-            )
+_ANSWERS = "lang string, gram array<string>, cut int, side int, f bigint"
+
+
+def _composed(asked: pa.Table, known: pa.Table, longest: int) -> pa.Table:
+    """The parts asked of one range run through its transducer."""
+    t = CountTransducer.load(known["blob"][0].as_py())
+    grams = [g for row in asked["grams"].to_pylist() for g in row]
+    cuts, sides = (np.concatenate([np.array(row, np.int32) for row in asked[c].to_pylist()]) for c in ("cuts", "sides"))
+    parts = [g[k:] if s else g[:k] for g, k, s in zip(grams, cuts.tolist(), sides.tolist(), strict=True)]
+    number = t.numbers(pa.array([w.encode() for p in parts for w in p], pa.large_binary()))
+    sizes = np.array([len(p) for p in parts])
+    paths = np.zeros((len(parts), longest), np.int64)
+    paths[np.repeat(np.arange(len(parts)), sizes), np.arange(len(number)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = number
+    columns = [[asked["lang"][0].as_py()] * len(parts), grams, cuts, sides, t.counts(paths)]
+    kinds = [pa.string(), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.int64()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "gram", "cut", "side", "f"])
 
 
 def _scored(batches: Iterator[pa.RecordBatch], longest: int, scale: int) -> Iterator[pa.RecordBatch]:
@@ -281,8 +282,14 @@ def collocations(
 
     candidates = grams.where(F.size("gram") > 1)
     asked = settle(candidates.select("lang", "gram").mapInArrow(lambda b: _asked(b, edges, longest), _ASKED), "asked")
-    answers = asked.join(known, ["lang", "range"]).mapInArrow(
-        lambda b: _composed(b, longest), "lang string, gram array<string>, cut int, side int, f bigint"
+    # A range that very many ask is asked in several groups.
+    shares = asked.groupBy("lang", "range").agg(F.ceil(F.sum(F.size("cuts")) / ASKED).cast("int").alias("shares"))
+    shares = settle(shares, "shares", compact=True)
+    share = F.pmod(F.xxhash64(F.col("grams")[0], F.size("grams")), F.col("shares")).cast("int")
+    dealt = asked.join(shares, ["lang", "range"]).withColumn("share", share).drop("shares").groupBy("lang", "range", "share")
+    copies = known.join(shares, ["lang", "range"]).withColumn("share", F.explode(F.expr("sequence(0, shares - 1)"))).drop("shares")
+    answers = dealt.cogroup(copies.groupBy("lang", "range", "share")).applyInArrow(
+        lambda a, k: _composed(a, k, longest) if a.num_rows else _NONE, _ANSWERS
     )
     part = lambda k, side: F.max(F.when((F.col("cut") == k) & (F.col("side") == side), F.col("f")))
     cuts = answers.groupBy("lang", "gram").agg(*[part(k, s).alias(f"{'lr'[s]}{k}") for k in range(1, longest) for s in (0, 1)])

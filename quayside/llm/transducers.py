@@ -137,8 +137,8 @@ class CountTransducer:
     def dump(self) -> bytes:
         small = lambda a: a.astype(np.min_scalar_type(int(a.max(initial=0))))
         arrays = [x for level in self.levels for x in (np.diff(level[0]), *level[1:])] + [self.weights]
-        sizes = np.diff(np.frombuffer(self.words.buffers()[1], np.int64)[self.words.offset : self.words.offset + len(self.words) + 1])
-        letters = b"".join(self.words.to_pylist())
+        ends = np.frombuffer(self.words.buffers()[1], np.int64)[self.words.offset : self.words.offset + len(self.words) + 1]
+        sizes, letters = np.diff(ends), memoryview(self.words.buffers()[2] or b"")[ends[0] : ends[-1]]
         out = [struct.pack("<II", len(self.levels), len(letters)), letters]
         for a in [sizes, *arrays]:
             a = small(a)
@@ -162,10 +162,11 @@ class CountTransducer:
     def part(self, paths: np.ndarray, low: int, high: int) -> CountTransducer:
         """The transducer of the paths ``low`` to ``high`` of ``paths()``, with only their words."""
         some = paths[low:high]
-        used = np.unique(some)
-        if not len(used) or used[0]:
-            used = np.concatenate(([0], used))
-        return CountTransducer.build(self.words.take(pa.array(used)), np.searchsorted(used, some).astype(np.int32), self.weights[low:high])
+        used = np.zeros(len(self.words), bool)
+        used[0] = True
+        used[some] = True
+        number = np.cumsum(used, dtype=np.int32) - 1
+        return CountTransducer.build(self.words.filter(pa.array(used)), number[some], self.weights[low:high])
 
 
 def _register(labels: np.ndarray, targets: np.ndarray, first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
