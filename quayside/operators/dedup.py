@@ -34,7 +34,16 @@ def superseded_stamps(df: DataFrame, keys: Sequence[str], stamp: str = STAMP) ->
     """
     # As one struct, missing key parts are equal to each other, as they are when rows are ranked
     # per key, and the counts need no second shuffle to meet the newest copies.
-    copies = df.groupBy(F.struct(*keys).alias("_key"), stamp).agg(F.count(F.lit(1)).alias("_copies"))
+    return superseded_of_copies(copies_of(df, keys, stamp), stamp)
+
+
+def copies_of(df: DataFrame, keys: Sequence[str], stamp: str = STAMP) -> DataFrame:
+    """How many rows each key (as one struct, ``_key``) has at each load time."""
+    return df.groupBy(F.struct(*keys).alias("_key"), stamp).agg(F.count(F.lit(1)).alias("_copies"))
+
+
+def superseded_of_copies(copies: DataFrame, stamp: str = STAMP) -> DataFrame:
+    """``superseded_stamps`` of counted copies: one row per ``_key`` and load time."""
     newest = copies.groupBy("_key").agg(
         F.max(stamp).alias(stamp),
         F.sum("_copies").alias("_all_copies"),

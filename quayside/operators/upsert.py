@@ -51,7 +51,7 @@ def _need_keys(keys: Sequence[str] | None) -> None:
         raise ValueError("the table has no key: pass keys=[] to delete by window only")
 
 
-def _replaced_keys(batch: DataFrame, keys: Sequence[str], updated: str, strict: bool) -> DataFrame | None:
+def replaced_keys(batch: DataFrame, keys: Sequence[str], updated: str, strict: bool) -> DataFrame | None:
     if strict:
         return batch.select(*keys)
     if updated in batch.columns:
@@ -100,7 +100,7 @@ def apply_batch(
     if batch.isEmpty():
         return target
     kept = delete_where(target, target_pred)
-    replaced = _replaced_keys(batch, keys, updated, strict) if keys else None
+    replaced = replaced_keys(batch, keys, updated, strict) if keys else None
     if replaced is not None:
         kept = delete_keys(kept, replaced)
     return kept.unionByName(batch)
@@ -144,7 +144,7 @@ def touched_partitions(
         batch.select(partition.alias(name)),
         target.where(as_condition(target_pred)).select(partition.alias(name)),
     ]
-    replaced = _replaced_keys(batch, keys, updated, strict) if keys else None
+    replaced = replaced_keys(batch, keys, updated, strict) if keys else None
     if replaced is not None:
         parts.append(target.join(replaced, list(keys), "left_semi").select(partition.alias(name)))
     first, *rest = parts

@@ -147,13 +147,14 @@ def publish_parts(
     partitions: Sequence[str],
     run: str,
     place: str | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Change parts of the table ``name``, which is created if it does not exist; returns the table.
 
     A part is a tuple of values of the ``partitions`` columns. ``changed`` is given the table (None if there is none) and
     returns the rows that the changed parts have from now on, and the list of these parts; others are not touched. It
     is asked once: a run that is repeated after it wrote its version only switches parts, and one that is published
-    does nothing. Versions to which no part pointed before this run are removed.
+    does nothing. Versions to which no part pointed before this run are removed. Files are sorted by ``order`` inside.
     """
     run, folder = _checked(run), folder_of(spark, name, place)
     journal, version = Journal(spark, folder), f"{folder}/version={run}"
@@ -163,8 +164,11 @@ def publish_parts(
     told = journal.told(run, WRITTEN)
     if told is None:
         rows, parts = changed(table)
+        parts = [tuple(map(str, p)) for p in parts]
         rows = typed_like(rows, table) if table is not None else rows
-        rows.hint("rebalance", *partitions).write.mode("overwrite").partitionBy(*partitions).parquet(version)
+        dealt = rows.hint("rebalance", *partitions)
+        dealt = dealt.sortWithinPartitions(*partitions, *order) if order else dealt
+        dealt.write.mode("overwrite").partitionBy(*partitions).parquet(version)
         told = {"parts": sorted(map(list, parts)), "schema": rows.schema.json()}
         journal.note(run, WRITTEN, **told)
     empty = spark.createDataFrame([], StructType.fromJson(json.loads(told["schema"])))

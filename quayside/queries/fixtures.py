@@ -191,7 +191,7 @@ BATCH_CTES = """
 part_months AS (
   SELECT l_partkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS ship_month, SUM(l_quantity) AS quantity
   FROM lineitem GROUP BY ALL),
-batches AS MATERIALIZED (
+batches AS (
   SELECT *, CAST(ship_month + INTERVAL 1 MONTH AS TIMESTAMP) AS MIG_DATETIME FROM part_months
   UNION ALL
   SELECT *, CAST(ship_month + INTERVAL 1 MONTH AS TIMESTAMP) + INTERVAL 1 DAY
@@ -201,11 +201,11 @@ batches AS MATERIALIZED (
 
 def stale_stamps(batches: str) -> str:
     """SQL for the load times of all rows that are not the newest of their key, each once."""
-    return f"""stale AS MATERIALIZED (
-  SELECT DISTINCT MIG_DATETIME FROM (
-    SELECT MIG_DATETIME, ROW_NUMBER() OVER (PARTITION BY l_partkey, ship_month ORDER BY MIG_DATETIME DESC NULLS FIRST) AS rn
-    FROM {batches})
-  WHERE rn > 1)"""
+    return f"""newest AS (
+  SELECT l_partkey, ship_month, MAX(MIG_DATETIME) AS newest FROM {batches} GROUP BY l_partkey, ship_month),
+stale AS (
+  SELECT DISTINCT b.MIG_DATETIME FROM {batches} b JOIN newest n ON b.l_partkey = n.l_partkey AND b.ship_month = n.ship_month
+  WHERE b.MIG_DATETIME < n.newest)"""
 
 
 # Job catalogs and logs. One job per user of the events, one log row per event.

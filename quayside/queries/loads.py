@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.operators import history, jobs, schema, upsert
-from quayside.plans.settle import scratch_path
-from quayside.plans.table_load import create_by_month, load_history, load_table
+from quayside.plans import publish
+from quayside.plans.locator import Window, create_locator, drop_locator, key_months, load_located, window_months
+from quayside.plans.publish import folder_of
+from quayside.plans.settle import scratch_path, settle
+from quayside.plans.table_load import by_month, create_by_month, load_history, load_table
 from quayside.queries import fixtures as fx
 from quayside.sources import sinks
 from quayside.sources.scans import table
@@ -49,6 +52,47 @@ def incremental_upsert_table(spark: SparkSession, folder: str) -> DataFrame:
     return load_table(name, batch, fx.ORDER_KEYS, fx.WINDOW, fx.RUN_TS)
 
 
+LOADED_WINDOW = Window(fx.WINDOW_START, fx.AS_OF)
+
+
+def _located(spark: SparkSession, folder: str) -> str:
+    """A stored table of the orders with a locator."""
+    name = f"quayside_located_{uuid.uuid4().hex}"
+    create_by_month(fx.order_target(spark, folder), name, path=f"{folder_of(spark, name)}")
+    create_locator(spark, name, fx.ORDER_KEYS)
+    return name
+
+
+def _drop_located(spark: SparkSession, name: str) -> None:
+    drop_locator(spark, name)
+    publish.drop(spark, name)
+
+
+def incremental_upsert_located(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily load into a stored table by its locator; then the same load once more, which changes nothing."""
+    name = _located(spark, folder)
+    try:
+        batch = fx.order_source(spark, folder).where(fx.WINDOW)
+        for run in ("day", "again"):
+            loaded = load_located(name, batch, LOADED_WINDOW, fx.RUN_TS, run)
+        return settle(loaded, "located")
+    finally:
+        _drop_located(spark, name)
+
+
+def located_months(spark: SparkSession, folder: str) -> DataFrame:
+    """The months that the daily load changes, as the locator tells them."""
+    name = _located(spark, folder)
+    try:
+        batch = fx.order_source(spark, folder).where(fx.WINDOW)
+        months = by_month(batch).select("LOAD_MONTH").distinct()
+        replaced = batch.where("UDATETIME IS NOT NULL").select(*fx.ORDER_KEYS)
+        found = months.unionByName(window_months(spark, name, LOADED_WINDOW)).unionByName(key_months(spark, name, replaced))
+        return settle(found.distinct(), "months")
+    finally:
+        _drop_located(spark, name)
+
+
 def touched_partitions(spark: SparkSession, folder: str) -> DataFrame:
     source = fx.order_source(spark, folder)
     return upsert.touched_partitions(
@@ -153,6 +197,8 @@ QUERIES = {
     "incremental_upsert_strict": incremental_upsert_strict,
     "incremental_upsert_hourly": incremental_upsert_hourly,
     "incremental_upsert_table": incremental_upsert_table,
+    "incremental_upsert_located": incremental_upsert_located,
+    "located_months": located_months,
     "touched_partitions": touched_partitions,
     "delete_where": delete_where,
     "delete_older": delete_older,
@@ -187,6 +233,14 @@ _HOURLY_COUNT = f"SELECT COUNT(*) FROM ({_HOURLY} SELECT * FROM loaded WHERE {fx
 ORACLES = {
     "incremental_upsert_daily": _DAILY + "SELECT * FROM loaded",
     "incremental_upsert_table": _DAILY + "SELECT *, strftime(RDATETIME, '%Y-%m') AS LOAD_MONTH FROM loaded",
+    "incremental_upsert_located": _DAILY + "SELECT *, strftime(RDATETIME, '%Y-%m') AS LOAD_MONTH FROM loaded",
+    "located_months": f"""WITH {fx.ORDER_CTES},
+batch AS (SELECT * FROM source WHERE {fx.WINDOW_SQL})
+SELECT DISTINCT strftime(RDATETIME, '%Y-%m') AS LOAD_MONTH FROM (
+  SELECT RDATETIME FROM batch
+  UNION ALL SELECT RDATETIME FROM target WHERE {fx.WINDOW_SQL}
+  UNION ALL SELECT RDATETIME FROM target
+            WHERE o_orderkey IN (SELECT o_orderkey FROM batch WHERE UDATETIME IS NOT NULL))""",
     "incremental_upsert_strict": _STRICT + "SELECT * FROM loaded",
     "incremental_upsert_hourly": _HOURLY + "SELECT * FROM loaded",
     "touched_partitions": f"""WITH {fx.ORDER_CTES},

@@ -259,9 +259,9 @@ rows_ AS (
 SELECT *, '{STOCK_START}' AS START_DATE, '{STOCK_END}' AS END_DATE, TIMESTAMP '{fx.RUN_TS}' AS MIG_DATETIME
 FROM rows_ WHERE (sold = 0 AND amount = 0 AND returned = 0) IS NOT TRUE""",
     "snapshot_append": f"""WITH {fx.BATCH_CTES},
-loaded AS MATERIALIZED (SELECT * FROM batches WHERE day(MIG_DATETIME) = 1 OR MIG_DATETIME >= TIMESTAMP '2000-01-01'),
+loaded AS (SELECT * FROM batches WHERE day(MIG_DATETIME) = 1 OR MIG_DATETIME >= TIMESTAMP '2000-01-01'),
 {fx.stale_stamps('loaded')}
-SELECT * FROM loaded ANTI JOIN stale USING (MIG_DATETIME)""",
+SELECT * FROM loaded WHERE MIG_DATETIME NOT IN (SELECT MIG_DATETIME FROM stale)""",
     "month_end_snapshots": f"WITH {_BALANCES} SELECT * FROM balances",
     "month_end_sizes": f"""WITH {_BALANCES}
 SELECT CHECK_MONTH, COUNT(*) AS row_count, CAST(SUM(COUNT(*)) OVER (ORDER BY CHECK_MONTH) AS BIGINT) AS total_rows
