@@ -1,13 +1,13 @@
 """Phrases whose words occur together more often than apart, by weighted acyclic automata.
 
-1. Shards. A task numbers the words of some megabytes of one language, sorts the n-grams that start at each
-   word and builds a count transducer from them (``transducers``). One path stands for each word of the texts, so
-   sums over prefixes count phrases of every length up to the longest. Each transducer names a few of its paths at
-   equal distances.
-2. Union. These paths give edges of prefix ranges that hold about equally many paths, also where a third of
-   them begin with one word or one pair of words. Transducers are cut at the edges, dealt by range and united;
-   weights add up. Prefixes are summed, and those that occur often enough leave the range. A prefix that an edge
-   cuts leaves both ranges with a part of its count, which a grouping adds.
+1. Shards. A task numbers the words of some megabytes of one language and sorts the n-grams that start at each word. One
+   path stands for each word of the texts, so sums over prefixes count phrases of every length up to the
+   longest. The sorted paths are cut at the edges of prefix ranges, and a count transducer (``transducers``) is built of
+   each part. The edges come from a bounded sample of the texts and only balance the ranges: these hold about equally
+   many paths, also where a third of them begin with one word or one pair of words.
+2. Union. Transducers are dealt by range and united; weights add up. Prefixes are summed, and those that occur
+   often enough leave the range. A prefix that an edge cuts leaves both ranges with a part of its count,
+   which a grouping adds.
 3. Composition. Frequent phrases form a transducer per range. The parts of each candidate are dealt to their
    ranges in lists and run through the range's transducer. A range that is asked by very many is copied, and
    each copy answers a bounded share of them.
@@ -27,29 +27,30 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.transducers import CountTransducer, counted, union, vocabulary
+from quayside.llm.transducers import CountTransducer, counted, part_of, union, vocabulary
 from quayside.plans.settle import settle
 
-SHARD = 1 << 21  # bytes of one language that become one transducer
-HELD = 1 << 23  # bytes a task holds at most before the largest language becomes one
+SHARD = 1 << 21  # bytes of one language whose n-grams are sorted together
+HELD = 1 << 23  # bytes a task holds at most before the largest language is sorted
 ROWS = 256  # rows turned into Python objects at a time
 RANGE = 1 << 19  # paths of a range, about
 RANGES = 1 << 16  # ranges at most; beyond, a range holds more paths
 ASKED = 1 << 16  # parts asked of a range in one group, about
-NAMED = 64  # paths a transducer names
-SAMPLE = 50_000  # named paths that come to the driver, to choose the edges
+SAMPLED = 1 << 12, 1 << 18  # texts looked at to choose the edges: so many or a 256th of all, at most the second
+NAMED = 1 << 10  # paths that a shard of the sample names
+EDGE_SAMPLE = 100_000  # named paths that come to the driver
 
 _KIND = np.zeros(256, np.uint8)  # of a byte: in a word, between words, between pieces
 _KIND[[0x20, 0x09]] = 1
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 
-_SHARDS = "lang string, blob binary, paths bigint, words bigint, named array<array<binary>>"
+_NAMED = "lang string, path array<binary>, weight double"
 _CUT = "lang string, range int, blob binary"
 _GRAMS = "lang string, gram array<string>, f bigint"
 
 
-def _transducer(texts: list[bytes], longest: int) -> CountTransducer:
-    """The n-grams of texts: one path for each word, of it and the next ones in its piece."""
+def _sorted_paths(texts: list[bytes], longest: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The n-grams of texts: words, and sorted paths with their counts; one path for each word, of it and the next ones in its piece."""
     raw = np.frombuffer(b"\n".join(texts).lower(), np.uint8)  # bytes.lower: A-Z alone
     kind = _KIND[raw]
     inside = kind == 0
@@ -58,26 +59,22 @@ def _transducer(texts: list[bytes], longest: int) -> CountTransducer:
     offsets = np.concatenate(([0], np.cumsum(ends - starts)))
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])])
     distinct, number = vocabulary(words)
-    piece = np.cumsum(kind == 2, dtype=np.int64)[starts]
+    piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
     paths = np.zeros((len(number), longest), np.int32)
     for k in range(min(longest, len(number))):
         here = slice(0, len(number) - k)
         paths[here, k] = np.where(piece[k:] == piece[here], number[k:], 0)
-    return CountTransducer.build(distinct, *counted(paths, len(distinct)))
+    return distinct, *counted(paths, len(distinct))
 
 
-def _shards(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray]]:
+    """The n-grams of one language and some megabytes at a time."""
     held: dict[str, list[bytes]] = defaultdict(list)
     size: dict[str, int] = defaultdict(int)
 
-    def out(lang: str) -> pa.RecordBatch:
-        t = _transducer(held.pop(lang), longest)
+    def out(lang: str) -> tuple:
         size.pop(lang)
-        at = np.unique(np.linspace(0, len(t.weights), NAMED, endpoint=False).astype(np.int64)) if len(t.weights) else []
-        named = [[t.words[int(w)].as_py() for w in path] for path in t.paths()[at]] if len(at) else []
-        columns = [[lang], [t.dump()], [len(t.weights)], [int(t.total[-1])], [named]]
-        kinds = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.list_(pa.binary()))]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "blob", "paths", "words", "named"])
+        return lang, *_sorted_paths(held.pop(lang), longest)
 
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS):
@@ -93,21 +90,34 @@ def _shards(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.Reco
         yield out(lang)
 
 
-def _edges(shards: DataFrame) -> dict[str, list[tuple[bytes, ...]]]:
-    """Where the ranges of each language begin; a bounded sample of named paths tells, and only balance depends on it."""
-    named = shards.select("lang", (F.col("paths") / F.greatest(F.size("named"), F.lit(1))).alias("weight"), F.explode("named").alias("path"))
-    total = shards.agg(F.sum("paths")).first()[0] or 0
-    rows = named.orderBy(F.xxhash64("lang", "path", "weight")).limit(SAMPLE).collect()
-    scale = total / max(1.0, sum(r.weight for r in rows))
-    each = max(RANGE, total // RANGES + 1)
+def _named(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
+    """Paths of the sample at equal distances, and how many each stands for."""
+    for lang, words, paths, _ in _shards(batches, longest):
+        at = np.unique(np.linspace(0, len(paths), NAMED, endpoint=False).astype(np.int64)) if len(paths) else np.empty(0, np.int64)
+        named = [[words[int(w)].as_py() for w in path] for path in paths[at]]
+        weight = np.full(len(at), len(paths) / max(1, len(at)))
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(named, pa.list_(pa.binary())), pa.array(weight)], ["lang", "path", "weight"])
+
+
+def _edges(texts: DataFrame, longest: int) -> dict[str, list[tuple[bytes, ...]]]:
+    """Where the ranges of each language begin."""
+    rows = texts.count()
+    one_of = max(1, rows // min(SAMPLED[1], max(SAMPLED[0], rows >> 8)))
+    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(one_of)) == 0) if one_of > 1 else texts
+    named = settle(sample.mapInArrow(lambda b: _named(b, longest), _NAMED), "named")
+    told = named.agg(F.count(F.lit(1)), F.sum("weight")).first()
+    keep = max(1, -(-told[0] // EDGE_SAMPLE))
+    rows = named.where(F.pmod(F.xxhash64("lang", "path"), F.lit(keep)) == 0).limit(2 * EDGE_SAMPLE).collect()
+    scale = one_of * (told[1] or 0.0) / max(1.0, sum(r.weight for r in rows))
+    each = max(RANGE, one_of * (told[1] or 0.0) / RANGES)
     edges: dict[str, list[tuple[bytes, ...]]] = {}
     sums: dict[str, float] = defaultdict(float)
-    for r in sorted(rows, key=lambda r: (r.lang, [bytes(w) for w in r.path])):
-        own, path = edges.setdefault(r.lang, []), tuple(bytes(w) for w in r.path)
-        sums[r.lang] += r.weight * scale
-        if sums[r.lang] >= each and (not own or own[-1] < path):
+    for lang, path, weight in sorted((r.lang, tuple(map(bytes, r.path)), r.weight) for r in rows):
+        own = edges.setdefault(lang, [])
+        sums[lang] += weight * scale
+        if sums[lang] >= each and (not own or own[-1] < path):
             own.append(path)
-            sums[r.lang] = 0.0
+            sums[lang] = 0.0
     return edges
 
 
@@ -123,22 +133,19 @@ def _place(words: list[bytes], paths: np.ndarray, edge: tuple[bytes, ...]) -> in
     return low
 
 
-def _cut(batches: Iterator[pa.RecordBatch], edges: dict[str, list[tuple[bytes, ...]]]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for lang, blob in zip(batch["lang"].to_pylist(), batch["blob"].to_pylist(), strict=True):
-            whole = CountTransducer.load(blob)
-            paths, words = whole.paths(), whole.words.to_pylist()
-            if not len(paths):
-                continue
-            at = [0, *(_place(words, paths, e) for e in edges.get(lang, ())), len(paths)]
-            cut = [(k, whole.part(paths, *at[k : k + 2]).dump()) for k in range(len(at) - 1) if at[k] < at[k + 1]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(cut)), pa.array([k for k, _ in cut], pa.int32()), pa.array([b for _, b in cut], pa.binary())], ["lang", "range", "blob"]
-            )
+def _cut(batches: Iterator[pa.RecordBatch], edges: dict[str, list[tuple[bytes, ...]]], longest: int) -> Iterator[pa.RecordBatch]:
+    """Count transducers of the parts of each shard."""
+    for lang, words, paths, weights in _shards(batches, longest):
+        names = words.to_pylist()
+        at = [0, *(_place(names, paths, e) for e in edges.get(lang, ())), len(paths)]
+        cut = [(k, part_of(words, paths, weights, *at[k : k + 2]).dump()) for k in range(len(at) - 1) if at[k] < at[k + 1]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * len(cut), pa.string()), pa.array([k for k, _ in cut], pa.int32()), pa.array([b for _, b in cut], pa.binary())], ["lang", "range", "blob"]
+        )
 
 
 def _frequent(table: pa.Table, least: int) -> pa.Table:
-    """Prefixes of a range that occur ``least`` times, and those that an edge may have cut, with any count."""
+    """Prefixes of a range that occur ``least`` times, and with any count those that an edge may have cut: also the one without words."""
     held: list[CountTransducer] = []
     size = 0
     for blob in table["blob"].to_pylist():
@@ -150,7 +157,7 @@ def _frequent(table: pa.Table, least: int) -> pa.Table:
     whole = union(held)
     paths, total = whole.paths(), whole.total
     words = whole.words.cast(pa.large_string())
-    grams, sizes, counts = [], [], []
+    grams, sizes, counts = [np.empty(0, np.int32)], [np.zeros(1, np.int64)], [total[-1:]]
     new = np.zeros(len(paths), bool)
     new[:1] = True
     for d in range(paths.shape[1]):
@@ -272,12 +279,11 @@ def collocations(
     if longest < 2 or least < 1:
         raise ValueError("phrases have two words at least and occur once at least")
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    shards = settle(texts.mapInArrow(lambda b: _shards(b, longest), _SHARDS), "shards")
-    edges = _edges(shards)
-    cut = shards.select("lang", "blob").mapInArrow(lambda b: _cut(b, edges), _CUT)
+    edges = _edges(texts, longest)
+    cut = texts.mapInArrow(lambda b: _cut(b, edges, longest), _CUT)
     counts = cut.groupBy("lang", "range").applyInArrow(lambda t: _frequent(t, least), _GRAMS)
-    grams = settle(counts.groupBy("lang", "gram").agg(F.sum("f").alias("f")).where(F.col("f") >= least), "grams")
-    ranged = grams.mapInArrow(lambda b: _ranged(b, edges, longest), f"{_GRAMS}, range int")
+    grams = settle(counts.groupBy("lang", "gram").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.size("gram") == 0)), "grams")
+    ranged = grams.where(F.size("gram") > 0).mapInArrow(lambda b: _ranged(b, edges, longest), f"{_GRAMS}, range int")
     known = settle(ranged.groupBy("lang", "range").applyInArrow(lambda t: _built(t, longest), _CUT), "known")
 
     candidates = grams.where(F.size("gram") > 1)
@@ -308,5 +314,5 @@ def collocations(
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = phrases.withColumn("rank", F.row_number().over(order).cast("bigint"))
     ranked = ranked if top is None else ranked.where(F.col("rank") <= top)
-    totals = shards.groupBy("lang").agg(F.sum("words").alias("n"))
+    totals = grams.where(F.size("gram") == 0).select("lang", F.col("f").alias("n"))
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

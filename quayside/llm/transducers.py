@@ -159,14 +159,15 @@ class CountTransducer:
         levels = [(offsets(arrays[1 + 3 * d]), arrays[2 + 3 * d], arrays[3 + 3 * d]) for d in range(depth)]
         return cls(words, levels, arrays[-1])
 
-    def part(self, paths: np.ndarray, low: int, high: int) -> CountTransducer:
-        """The transducer of the paths ``low`` to ``high`` of ``paths()``, with only their words."""
-        some = paths[low:high]
-        used = np.zeros(len(self.words), bool)
-        used[0] = True
-        used[some] = True
-        number = np.cumsum(used, dtype=np.int32) - 1
-        return CountTransducer.build(self.words.filter(pa.array(used)), number[some], self.weights[low:high])
+
+def part_of(words: pa.Array, paths: np.ndarray, weights: np.ndarray, low: int, high: int) -> CountTransducer:
+    """The transducer of the sorted paths from ``low`` to ``high``, with only their words."""
+    some = paths[low:high]
+    used = np.zeros(len(words), bool)
+    used[0] = True
+    used[some] = True
+    number = np.cumsum(used, dtype=np.int32) - 1
+    return CountTransducer.build(words.filter(pa.array(used)), number[some], weights[low:high])
 
 
 def _register(labels: np.ndarray, targets: np.ndarray, first: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
