@@ -9,8 +9,8 @@ table spare that:
 * ``<table>__zones``: the first and last creation and update time of each month. Only months whose times can meet
   the window are asked which of their rows do.
 
-Both are published under the run's name after the table is written. A run that failed in between is repeated under
-its name: the months it finds with the older map include all that it had changed. Until then other runs are refused.
+Both are published under the run's name after the table is written. What a run will change, months and keys, is noted
+before it writes, so a run that failed in between is repeated under its name; until then other runs are refused.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.conditions import is_true
 from quayside.functions.dates import in_days, ntz
-from quayside.operators.schema import named_like, typed_like
+from quayside.operators.schema import evolve, named_like, typed_like
 from quayside.operators.upsert import CREATED, UPDATED, apply_batch, replaced_keys, stamped
 from quayside.plans.publish import Journal, folder_of, publish_parts, publish_table
 from quayside.plans.publish import drop as drop_published
@@ -171,25 +171,28 @@ def load_located(
     batch = settle(stamped(by_month(named_like(batch, table.columns)), run_ts, like=table), "batch", compact=True)
     if batch.isEmpty():
         return table
-    journal.note(run, STARTED)
+    evolve(table, batch)  # types that differ end the run before it begins
     add_columns(batch, name)
-    table = spark.table(name)
-    replaced = replaced_keys(batch, keys, updated, strict)
-    found = batch.select(PARTITION).unionByName(window_months(spark, name, window, place))
-    if replaced is not None:
-        found = found.unionByName(key_months(spark, name, replaced, place))
-    touched = settle(found.distinct(), "touched", compact=True)
-    months = [r[0] for r in touched.collect()]  # table layout
-    before = table.where(F.col(PARTITION).isin(months))
-    # Rows that go: those of the window, and those of replaced keys, which the batch has too.
-    gone = settle(before.where(is_true(window.condition())).select(*keys), "gone", compact=True)
+    table, gone_path = spark.table(name), f"{journal.folder}/{run}/keys"
+    begun = journal.told(run, STARTED)
+    if begun is None:
+        found = batch.select(PARTITION).unionByName(window_months(spark, name, window, place))
+        replaced = replaced_keys(batch, keys, updated, strict)
+        if replaced is not None:
+            found = found.unionByName(key_months(spark, name, replaced, place))
+        months = sorted(r[0] for r in found.distinct().collect())  # table layout
+        # Keys whose rows go, kept with the journal: once the table is written they can no longer be told.
+        removed = table.where(F.col(PARTITION).isin(months) & is_true(window.condition())).select(*keys)
+        batch.select(*keys).unionByName(removed).distinct().hint("rebalance").write.mode("overwrite").parquet(gone_path)
+        begun = {"months": months}
+        journal.note(run, STARTED, **begun)
+    months = begun["months"]
     if journal.told(run, LOADED) is None:
-        loaded = apply_batch(before, batch, keys, window.condition(), updated, strict)
-        suspects = touched.join(batch.select(PARTITION).distinct(), [PARTITION], "left_anti")
+        loaded = apply_batch(table.where(F.col(PARTITION).isin(months)), batch, keys, window.condition(), updated, strict)
+        filled = {r[0] for r in batch.select(PARTITION).distinct().collect()}
+        suspects = spark.createDataFrame([(m,) for m in months if m not in filled], f"{PARTITION} string")
         replace_table_partitions(loaded, name, PARTITION, suspects)
-        journal.note(run, LOADED, months=months)
-    else:
-        months = sorted({*months, *journal.told(run, LOADED)["months"]})
-    _locate_again(spark, name, batch.select(*keys).unionByName(gone).distinct(), months, run, place)
+        journal.note(run, LOADED)
+    _locate_again(spark, name, spark.read.parquet(gone_path), months, run, place)
     journal.note(run, DONE)
     return spark.table(name)
