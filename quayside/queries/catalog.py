@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators import jobs, schema
+from quayside.operators import jobs, run_order, schema
 from quayside.plans.settle import scratch_path, settle
 from quayside.queries import fixtures as fx
 from quayside.sources import catalogs, sinks
@@ -115,6 +115,28 @@ def ready_jobs_hourly(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _run_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """The prerequisites, and pairs of jobs that wait for each other."""
+    user = F.col("user_id")
+    pair = F.when(user % 30 == 22, user + 1).when(user % 30 == 23, user - 1)
+    pairs = fx.users(spark, folder).select(user, pair.alias("pre")).where("pre IS NOT NULL").join(
+        fx.users(spark, folder).select(F.col("user_id").alias("pre")), "pre", "left_semi"
+    )
+    code = lambda c: F.concat(F.lit("J"), F.col(c).cast("string"))
+    extra = pairs.select(code("user_id").alias("JOB_CODE"), code("pre").alias("PRE_JOB_CODE"), F.lit("N").alias("DEL_YN"), F.lit(jobs.DAILY).alias("SCHEDULE"))
+    return fx.pre_job_info(spark, folder).unionByName(extra)
+
+
+def mart_run_plan(spark: SparkSession, folder: str) -> DataFrame:
+    """The run of a day on which all jobs that are no daily marts have succeeded."""
+    log = fx.job_log(spark, folder).join(
+        fx.job_info(spark, folder).where("AGG_LEVEL = '0' OR SCHEDULE = 'H' OR DEL_YN = 'Y' OR DEL_YN IS NULL").select(F.col("JOB_CODE").alias("job_code")), "job_code", "left_semi"
+    )
+    seconds = fx.users(spark, folder).select(F.concat(F.lit("J"), F.col("user_id").cast("string")).alias("job_code"), (F.col("user_id") % 7 + 1).alias("seconds"))
+    done = log.withColumns({"status": F.lit(jobs.OK), "start_date": F.lit(fx.LOG_DAY).cast("timestamp_ntz")})
+    return run_order.run_plan(fx.job_info(spark, folder), _run_edges(spark, folder), done, fx.LOG_DAY, seconds=seconds)
+
+
 def mart_quality_gate(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.quality_gate(fx.job_log(spark, folder), fx.LOG_DAY)
 
@@ -149,6 +171,7 @@ QUERIES = {
     "ready_jobs_hourly": ready_jobs_hourly,
     "ready_jobs_same_schedule": ready_jobs_same_schedule,
     "mart_log_rows": mart_log_rows,
+    "mart_run_plan": mart_run_plan,
     "mart_quality_gate": mart_quality_gate,
     "mart_quality_gate_latest": mart_quality_gate_latest,
 }
@@ -239,6 +262,34 @@ UNION ALL
 SELECT JOB_CODE, CASE WHEN STATUS = 'BLOCKED' THEN TIMESTAMP '{fx.EVENTS_RUN_TS}' END, NULL, 'X', 0, 'D',
        CASE WHEN STATUS = 'BLOCKED' THEN 'prerequisite not done' ELSE 'already done' END
 FROM states WHERE STATUS <> 'READY'""",
+    "mart_run_plan": f"""WITH RECURSIVE {fx.JOB_CTES},
+wanted AS (
+  SELECT CAST(substr(JOB_CODE, 2) AS BIGINT) AS u, JOB_CODE AS job, CAST(AGG_LEVEL AS INTEGER) AS AGG_LEVEL, CAST(substr(JOB_CODE, 2) AS BIGINT) % 7 + 1.0::DOUBLE AS seconds
+  FROM job_info WHERE AGG_LEVEL <> '0' AND DEL_YN <> 'Y' AND SCHEDULE = 'D'),
+edges AS (
+  SELECT job, 'J' || (u // d) AS pre FROM wanted, (SELECT unnest([2, 3]) AS d) WHERE u >= d AND 'J' || (u // d) IN (SELECT job FROM wanted)
+  UNION SELECT job, 'J' || CASE u % 30 WHEN 22 THEN u + 1 ELSE u - 1 END FROM wanted
+  WHERE u % 30 IN (22, 23) AND 'J' || CASE u % 30 WHEN 22 THEN u + 1 ELSE u - 1 END IN (SELECT job FROM wanted)),
+walk(job, depth) AS (
+  SELECT job, 0 FROM wanted UNION SELECT e.job, w.depth + 1 FROM walk w JOIN edges e ON e.pre = w.job WHERE w.depth < 40),
+waves AS (SELECT job, MAX(depth) AS wave FROM walk GROUP BY job),
+reach(job, pre) AS (SELECT job, pre FROM edges UNION SELECT r.job, e.pre FROM reach r JOIN edges e ON e.job = r.pre),
+circles AS (SELECT DISTINCT job FROM reach WHERE job = pre),
+planned AS (SELECT w.*, wave FROM wanted w JOIN waves USING (job) WHERE wave < 40),
+ends(job, finish) AS (
+  SELECT job, seconds FROM planned
+  UNION SELECT e.job, x.finish + p.seconds FROM ends x JOIN edges e ON e.pre = x.job JOIN planned p ON p.job = e.job),
+finishes AS (SELECT job, MAX(finish) AS finish FROM ends GROUP BY job),
+afters AS (
+  SELECT e.job, e.pre FROM edges e JOIN finishes f ON f.job = e.pre JOIN planned p ON p.job = e.job
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY e.job ORDER BY f.finish DESC, e.pre DESC) = 1),
+critical(job) AS (
+  SELECT job FROM (SELECT job FROM finishes ORDER BY finish DESC, job DESC LIMIT 1)
+  UNION SELECT a.pre FROM critical c JOIN afters a ON a.job = c.job)
+SELECT w.job AS JOB_CODE, w.AGG_LEVEL, CASE WHEN p.job IS NOT NULL THEN 'PLANNED' WHEN c.job IS NOT NULL THEN 'CYCLE' ELSE 'HELD' END AS STATUS,
+       CAST(p.wave AS INTEGER) AS WAVE, f.finish - w.seconds AS START, f.finish AS FINISH, a.pre AS AFTER, x.job IS NOT NULL AS ON_CRITICAL_PATH
+FROM wanted w LEFT JOIN planned p ON p.job = w.job LEFT JOIN circles c ON c.job = w.job LEFT JOIN finishes f ON f.job = p.job
+LEFT JOIN afters a ON a.job = p.job LEFT JOIN critical x ON x.job = w.job""",
     "mart_quality_gate": f"""WITH {fx.JOB_CTES}
 SELECT COUNT(*) FILTER (WHERE status IS NULL OR status = 'X') = 0 AS gate_open,
        COUNT(*) FILTER (WHERE status IS NULL OR status = 'X') AS bad_rows, COUNT(*) AS log_rows

@@ -231,7 +231,7 @@ def job_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _users(spark: SparkSession, folder: str) -> DataFrame:
+def users(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("user_id").distinct()
 
 
@@ -241,7 +241,7 @@ def _code(number: Column) -> Column:
 
 def job_info(spark: SparkSession, folder: str) -> DataFrame:
     user = F.col("user_id")
-    return _users(spark, folder).select(
+    return users(spark, folder).select(
         _code(user).alias("JOB_CODE"),
         (user % 4).cast("string").alias("AGG_LEVEL"),
         F.when(user % 13 == 0, F.lit("Y")).when(user % 17 == 0, null("string")).otherwise(F.lit("N")).alias("DEL_YN"),
@@ -253,7 +253,7 @@ def job_info(spark: SparkSession, folder: str) -> DataFrame:
 def pre_job_info(spark: SparkSession, folder: str) -> DataFrame:
     user = F.col("user_id")
     return (
-        _users(spark, folder)
+        users(spark, folder)
         .select(
             "user_id",
             F.explode(
@@ -280,7 +280,7 @@ def job_table_info(spark: SparkSession, folder: str) -> DataFrame:
     ).otherwise(F.array(F.lit(1)))
     text = F.concat(F.lit("RDATETIME >= DATE '2024-01-"), F.lpad((user % 28 + 1).cast("string"), 2, "0"), F.lit("'"))
     return (
-        _users(spark, folder)
+        users(spark, folder)
         .select("user_id", F.explode(copies).alias("copy"))
         .select(
             _code(user).alias("JOB_CODE"),

@@ -16,6 +16,7 @@ from quayside.plans.table_load import by_month, create_by_month, load_history, l
 from quayside.queries import fixtures as fx
 from quayside.sources import sinks
 from quayside.sources.scans import table
+from quayside.streaming.keyed_state import stateful_upsert as upsert_by_state
 from quayside.streaming.micro_batch import micro_batch_upsert as upsert_stream
 
 
@@ -192,6 +193,28 @@ def micro_batch_upsert(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stateful_stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """The hourly load from change files that hold older versions, repeated rows and newer ones before older ones, in two runs."""
+    waiting, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "stream")
+    source = fx.event_source(spark, folder)
+    before = source.where("UDATETIME IS NOT NULL").withColumns({"value": F.col("value") - 7, "UDATETIME": fx.null("timestamp_ntz")})
+    again = source.where("event_id % 3 = 0")
+
+    def run(target: DataFrame, target_pred: str | None) -> DataFrame:
+        changes = (
+            spark.readStream.schema(source.schema)
+            .option("maxFilesPerTrigger", FILES_PER_BATCH)
+            .option("recursiveFileLookup", "true")
+            .parquet(waiting)
+        )
+        return upsert_by_state(changes, target, fx.EVENT_KEYS, fx.EVENT_SOURCE_PRED, fx.EVENTS_RUN_TS, scratch_path(spark, "landing"), checkpoint, target_pred)
+
+    sinks.append(source.withColumn("arrival", F.col("event_id") % 4), waiting, ["arrival"])
+    first = run(fx.event_target(spark, folder), fx.EVENT_TARGET_PRED)
+    sinks.append(before.unionByName(again).withColumn("arrival", 4 + F.col("event_id") % 2), waiting, ["arrival"])
+    return run(first, None)
+
+
 QUERIES = {
     "incremental_upsert_daily": incremental_upsert_daily,
     "incremental_upsert_strict": incremental_upsert_strict,
@@ -210,6 +233,7 @@ QUERIES = {
     "full_refresh": full_refresh,
     "load_log_rows": load_log_rows,
     "micro_batch_upsert": micro_batch_upsert,
+    "stateful_stream_upsert": stateful_stream_upsert,
 }
 
 
@@ -288,4 +312,8 @@ FROM loaded
 UNION ALL
 SELECT 'EVENTS', DATE '{fx.EVENTS_RUN_TS.date()}', TIMESTAMP '{fx.EVENTS_RUN_TS}', ({_HOURLY_COUNT}), 'H', 'O'""",
     "micro_batch_upsert": _HOURLY + "SELECT * FROM loaded",
+    "stateful_stream_upsert": _upsert_sql(
+        fx.EVENT_CTES, "event_id", fx.EVENT_SOURCE_SQL, fx.EVENT_TARGET_SQL, fx.EVENTS_RUN_TS, strict=True
+    )
+    + "SELECT * FROM loaded",
 }

@@ -23,7 +23,7 @@ from quayside.sources.sinks import replace_partitions
 BATCH = "_batch_id"
 
 
-def _landing_schema(schema: T.StructType) -> T.StructType:
+def landing_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
 
 
@@ -37,7 +37,7 @@ def land_stream(
         replace_partitions(batch.withColumn(BATCH, F.lit(batch_id).cast("bigint")), landing, [BATCH])
 
     # A run without changes lands an empty table.
-    empty = changes.sparkSession.createDataFrame([], _landing_schema(changes.schema))
+    empty = changes.sparkSession.createDataFrame([], landing_schema(changes.schema))
     empty.write.mode("append").partitionBy(BATCH).parquet(landing)
     query = (
         wanted.writeStream.foreachBatch(land)
@@ -52,7 +52,7 @@ def landed_rows(
     spark: SparkSession, landing: str, schema: T.StructType, keys: Sequence[str], updated: str = UPDATED
 ) -> DataFrame:
     """The landed rows as one batch: a micro-batch that updates a key replaces the earlier rows of that key."""
-    rows = spark.read.schema(_landing_schema(schema)).parquet(landing)
+    rows = spark.read.schema(landing_schema(schema)).parquet(landing)
     if updated in rows.columns and keys:
         updates = rows.where(F.col(updated).isNotNull())
         last = settle(updates.groupBy(*keys).agg(F.max(BATCH).alias("_last")), "last-updates")
