@@ -190,8 +190,7 @@ class SuffixOrder:
 
     def sort(self, numbers: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
         """``numbers`` with each class (from ``first`` on, ``size`` long) in suffix order, by mergesort of all classes side by side."""
-        numbers = numbers.copy()
-        width = 1
+        numbers, width = numbers.copy(), 1
         while width < size.max(initial=0):
             big = np.flatnonzero(size > width)
             count = size[big]
@@ -212,10 +211,24 @@ class SuffixOrder:
                 high[open_] = np.where(before, high[open_], middle)
                 open_ = open_[low[open_] < high[open_]]
             merged = base + pair + (item - run * width) + (low - other)
-            numbers[merged] = numbers[own]
+            moved = numbers[own]
+            numbers[merged] = moved
+            # Hashes that met by chance may contradict each other; then two suffixes get one place, and one stays empty.
+            filled = np.zeros(len(numbers), bool)
+            filled[merged] = True
+            if not filled[own].all():
+                size = size.copy()
+                for c in np.unique(np.searchsorted(first, own[~filled[own]], "right") - 1):
+                    places = slice(first[c], first[c] + size[c])
+                    numbers[places] = sorted(moved[(own >= places.start) & (own < places.stop)], key=self.string)
+                    size[c] = 0
             width *= 2
         return numbers
 
+    def string(self, number: int) -> bytes:
+        place = self.at[number]
+        return self.raw[place : place + self.length].tobytes()
+
 
 def repeated_windows(raw: np.ndarray, at: np.ndarray, kind: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Of the windows that start ``at`` places of ``raw``: which equal another one of the same ``kind``, and for each the first of its equals."""
@@ -236,11 +249,9 @@ def repeated_windows(raw: np.ndarray, at: np.ndarray, kind: np.ndarray, length:
     same[near] = suffixes.identical(ranked[near], ranked[near - 1])
     for c in np.unique(np.searchsorted(first, near[~same[near]], "right") - 1):  # hashes met by chance: ordered by the bytes
         places = slice(first[c], first[c] + size[c])
-        members = ranked[places]
-        strings = [raw[at[m] : at[m] + length].tobytes() for m in members]
-        by = sorted(range(len(members)), key=strings.__getitem__)
-        ranked[places] = members[by]
-        same[first[c] + 1 : first[c] + size[c]] = [strings[by[i]] == strings[by[i - 1]] for i in range(1, len(by))]
+        ranked[places] = sorted(ranked[places], key=suffixes.string)
+        strings = [suffixes.string(m) for m in ranked[places]]
+        same[first[c] + 1 : first[c] + size[c]] = [a == b for a, b in zip(strings, strings[1:], strict=False)]
     repeated, like = np.empty(len(at), bool), np.empty(len(at), np.int64)
     repeated[ranked] = same[:-1] | same[1:]
     like[ranked] = ranked[np.maximum.accumulate(np.where(same[:-1], 0, np.arange(len(at))))]

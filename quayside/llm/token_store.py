@@ -15,6 +15,7 @@ counts the ids of the shard's earlier blocks. The rank table is a Parquet file b
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -48,17 +49,25 @@ def _narrow_pattern() -> str:
 class CachedTokenizer(dict):
     """Ids of whole texts by the tokenizers library; as a dict, the ids of the words met so far.
 
-    A byte-level tokenizer without normalizer merges inside its own pre-tokens only, so each distinct
-    word is encoded once per worker, by the model of the library. Other tokenizers encode whole texts.
+    Added tokens in a text are cut out first, as the library does: ``<|endoftext|>`` is one id. A byte-level
+    tokenizer without normalizer merges inside its own pre-tokens only, so each distinct word of the rest is
+    encoded once per worker, by the model of the library. Other tokenizers encode whole texts.
     """
 
-    def __init__(self, json: str, limit: int = CACHE):
+    def __init__(self, definition: str, limit: int = CACHE):
         super().__init__()
-        self.library, self.limit = Tokenizer.from_str(json), limit
-        self.library.encode_special_tokens = True
+        self.library, self.limit = Tokenizer.from_str(definition), limit
         self.model = self.library.model
-        told = repr(self.library.pre_tokenizer)
-        self.by_word = told.startswith("ByteLevel(") and "add_prefix_space=False" in told and "use_regex=True" in told and self.library.normalizer is None
+        told = json.loads(definition)
+        split, added = told.get("pre_tokenizer") or {}, told.get("added_tokens") or []
+        self.by_word = (
+            split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+            and not told.get("normalizer") and not told.get("truncation") and not told.get("padding")
+            and told["model"].get("type") == "BPE" and not told["model"].get("dropout")
+            and not any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added)
+        )
+        self.added = {t["content"]: t["id"] for t in added}
+        self.cut = re.compile("|".join(f"({re.escape(t)})" for t in sorted(self.added, key=len, reverse=True))) if added else None
         self.kind = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
         self.narrow = re.compile(_narrow_pattern()).findall
         self.wide = regex.compile(_WORDS.format(letter=r"\p{L}", number=r"\p{N}", letters=r"\p{L}", numbers=r"\p{N}", space=r"\s")).findall
@@ -77,6 +86,15 @@ class CachedTokenizer(dict):
         """Little-endian ids, of two bytes if the vocabulary allows, else of four."""
         if not self.by_word:
             return array(self.kind, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.cut is None or not self.cut.search(text):
+            return self._words(text)
+        out, at = [], 0
+        for token in self.cut.finditer(text):
+            out += [self._words(text[at : token.start()]), array(self.kind, [self.added[token[0]]]).tobytes()]
+            at = token.end()
+        return b"".join([*out, self._words(text[at:])])
+
+    def _words(self, text: str) -> bytes:
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
@@ -85,22 +103,22 @@ class CachedTokenizer(dict):
 
 
 @lru_cache(1)
-def _tokenizer(json: str) -> CachedTokenizer:
-    return CachedTokenizer(json)
+def _tokenizer(definition: str) -> CachedTokenizer:
+    return CachedTokenizer(definition)
 
 
-def _width(json: str) -> str:
-    return "<u2" if Tokenizer.from_str(json).get_vocab_size() <= 1 << 16 else "<u4"
+def _width(definition: str) -> str:
+    return "<u2" if Tokenizer.from_str(definition).get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def tokenize(docs: DataFrame, json: str, end_id: int | None = None) -> DataFrame:
+def tokenize(docs: DataFrame, definition: str, end_id: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text, ...) -> counted, doc_id, ids: two bytes an id if the vocabulary allows, else four.
 
     Null texts count as empty. Each task adds a row with counted true: how often each id came, eight
     bytes an id of the vocabulary.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(json)
-    kind = _width(json)
+    shared = docs.sparkSession.sparkContext.broadcast(definition)
+    kind = _width(definition)
     end = b"" if end_id is None else np.array([end_id], kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,7 +26,7 @@ def text_of(seed, n):
 BASE = text_of(1, 200)
 NEAR = BASE.replace(BASE.split()[100], "changed", 1)
 LONG = text_of(2, 60000)
-ODD = ["a  b", "\n\nx \n y", "don't 'stop'  ", "é²³ x", "日本 text <|endoftext|>", " ", "tab\tends\x85", "I'll we've"]
+ODD = ["a <|endoftext|><|endoftext|> b<|endoftext|", "<|endoftext|>", "a  b", "\n\nx \n y", "don't 'stop'  ", "é²³ x", "日本 text <|endoftext|>", " ", "tab\tends\x85", "I'll we've"]
 ROWS = [(1, BASE), (2, BASE), (3, NEAR), (4, BASE.upper()), (5, None), (6, ""), (7, " \t\n"), (8, "two words"), (9, "two  words"), (10, LONG), (10, LONG), (None, "no id"), (12, "?? 12 !!")]
 ROWS += [(20 + i, t) for i, t in enumerate(ODD)]
 
@@ -110,6 +110,18 @@ def test_exact_dedup_and_persistent_index(spark, docs):
     later = sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in digest_index.deduplicate(new, again).collect())
     assert later == [(100, 2, 3, False), (101, 102, 2, False), (102, 102, 2, True)]
     assert digest_index.deduplicate(docs.where("false"), again).collect() == []
+    more = [digest_index.deduplicate(spark.createDataFrame([(200 + i, BASE)], "doc_id bigint, text string"), again).first()["group_size"] for i in range(2)]
+    assert more == [4, 5]
+    with pytest.raises(ValueError, match="4 buckets, not 3"):
+        digest_index.DigestIndex(spark, path, 3)
+    before = sorted(map(tuple, again.read().collect()))
+    again.compact()
+    assert sorted(map(tuple, again.read().collect())) == sorted(map(tuple, digest_index.DigestIndex(spark, path).read().collect())) == before
+    assert digest_index.deduplicate(spark.createDataFrame([(300, BASE)], "doc_id bigint, text string"), again).first()["group_size"] == 6
+    names = set(t.name for t in spark.catalog.listTables())
+    once = digest_index.deduplicate_once(docs)
+    assert {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in once.collect()} == first
+    assert set(t.name for t in spark.catalog.listTables()) == names
 
 
 def test_packing(spark, docs):
@@ -137,8 +149,8 @@ def test_token_store(spark, docs):
     json = open(public.path("byte_bpe_50k.json"), encoding="utf-8").read()
     path = scratch_path(spark, "tokens")
     token_store.write_store(docs, path, json, 2, block_ids=300)
-    library = Tokenizer.from_str(json)
-    library.encode_special_tokens = True
+    library = Tokenizer.from_file(public.path("byte_bpe_50k.json"))  # untouched
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids[2] == 50256
     start, want = 0, []
     for i, t in sorted(ROWS, key=lambda r: (r[0] is not None, r[0])):
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
