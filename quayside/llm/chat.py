@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.running import cut_out, running
+
 
 @dataclass(frozen=True)
 class Turn:
@@ -100,24 +102,20 @@ def format_conversations(turns: DataFrame, template: Template = DEFAULT) -> Data
     start = F.struct(F.lit("start").alias("role"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("bad"))
     checked = grouped.withColumn("state", F.aggregate("turns", start, move)).withColumn("segments", F.flatten(F.transform("turns", lambda t: _segments(t, template))))
 
-    def measure(state: Column, segment: Column) -> Column:
-        n = F.length(segment["text"])
-        span = F.array(F.struct(state["at"].alias("start"), n.alias("length")))
-        return F.struct((state["at"] + n).alias("at"), F.when(segment["loss"], F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
+    spans = "array<struct<start:int,length:int>>"
+    learned = lambda at, s: F.when(s["loss"], F.array(F.struct(at.alias("start"), F.length(s["text"]).alias("length")))).otherwise(F.array().cast(spans))
     return checked.select(
         "conv_id",
         (F.col("state.bad").isNull() & F.col("state.role").isin(list(template.last))).alias("valid"),
         F.col("state.bad").alias("bad_turn"),
         "segments",
         F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-        F.aggregate("segments", zero, measure, lambda s: s["spans"]).alias("loss_spans"),
+        running(F.col("segments"), F.lit(0), lambda at, s: at + F.length(s["text"]), learned, spans).alias("loss_spans"),
     )
 
 
 def read_back(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
-    """conv_id, turns (role, text) and learned (the texts under the loss mask), from formatted and loss_spans alone."""
+    """conv_id, valid, bad_turn, turns (role, text) and learned (the texts under the loss mask), from formatted and loss_spans alone."""
     every = [*template.roles.values(), template.other]
     quote = lambda strings: "|".join("".join("\\" + c if not c.isalnum() else c for c in s) for s in strings)
     pattern = F.lit(rf"({quote(t.before for t in every)}) ([^<\[]*+)(?:{quote(t.after for t in every)})")
@@ -132,12 +130,13 @@ def read_back(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
         text = F.when(piece["sign"] == template.other.before, text).otherwise(body)
         return F.struct(role.alias("role"), unescape(text).alias("text"))
 
-    learned = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"])))
-    return formatted.select("conv_id", F.transform(pieces, turn).alias("turns"), learned.alias("learned"), F.length("formatted").cast("bigint").alias("formatted_chars"))
+    texts = cut_out(F.col("formatted"), F.col("loss_spans"), lambda s: s["start"], lambda s: s["start"] + s["length"])
+    learned = F.transform(texts, unescape)
+    return formatted.select("conv_id", "valid", "bad_turn", F.transform(pieces, turn).alias("turns"), learned.alias("learned"), F.length("formatted").cast("bigint").alias("formatted_chars"))
 
 
 def digests(read: DataFrame) -> DataFrame:
-    """Counts and digests of what was read back."""
+    """Counts and digests of what was read back, and the state machine's verdict."""
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("learned", "")
     return read.select(
@@ -147,4 +146,6 @@ def digests(read: DataFrame) -> DataFrame:
         F.length(loss).cast("bigint").alias("loss_chars"),
         F.sha2(loss.cast("binary"), 256).alias("loss_sha256"),
         "formatted_chars",
+        "valid",
+        "bad_turn",
     )

@@ -61,31 +61,31 @@ class DigestIndex:
         keep = F.max(F.when(F.col("first"), F.col("keep_id"))).alias("keep_id")
         return self.spark.table(self.table).groupBy("digest").agg(keep, F.sum("rows").alias("rows"))
 
-    def unseen(self, groups: DataFrame) -> DataFrame:
-        """Rows of ``groups`` (digest, ...) whose digest the index does not hold."""
+    def _meet(self, groups: DataFrame, how: str) -> DataFrame:
+        """Rows of ``groups`` (digest, ...) whose digest the index does not hold, or does: merged with its sorted buckets."""
         held = self.spark.table(self.table).where("first").select("digest")
-        return groups.hint("merge").join(held, "digest", "left_anti")
+        return groups.hint("merge").join(held, "digest", how)
 
     def load(self, groups: DataFrame) -> None:
         """Add (digest, keep_id, rows), one row per text. One write: a load that fails adds nothing."""
-        fresh = settle(self.unseen(groups).withColumn("first", F.lit(True)), "fresh")
-        again = groups.join(fresh.select("digest"), "digest", "left_anti").withColumn("first", F.lit(False))
-        added = fresh.unionByName(again)
-        self._write(added, self.table, "append")
+        fresh, again = self._meet(groups, "left_anti"), self._meet(groups, "left_semi")
+        self._write(fresh.withColumn("first", F.lit(True)).unionByName(again.withColumn("first", F.lit(False))), "append")
         self.spark.catalog.refreshTable(self.table)
         if len(self.spark.table(self.table).inputFiles()) > MANY * self.buckets:
             self.compact()
 
-    def _write(self, rows: DataFrame, table: str, mode: str) -> None:
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        # Whole buckets go to a task, so that each gets one file.
+        bucket = F.pmod(F.hash("digest"), F.lit(self.buckets))
         (
             rows.select("digest", "keep_id", "rows", "first")
-            .repartition(self.buckets, "digest")
+            .repartition(self.buckets, bucket)
             .write.mode(mode)
             .format("parquet")
             .bucketBy(self.buckets, "digest")
             .sortBy("digest")
             .option("path", f"{self.path}/generation={self.generation}")
-            .saveAsTable(table)
+            .saveAsTable(self.table)
         )
 
     def compact(self) -> None:
@@ -95,7 +95,7 @@ class DigestIndex:
         self.generation += 1
         release(self.spark, f"{self.path}/generation={self.generation}")  # of an attempt that failed
         self._open()
-        self._write(rows, self.table, "append")
+        self._write(rows, "append")
         self.journal.note("index", "settings", buckets=self.buckets, generation=self.generation)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         release(self.spark, old)

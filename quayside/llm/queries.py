@@ -84,13 +84,22 @@ escaped AS (
   SELECT *, len(text) + len(text) - len(translate(text, '~<[', '')) AS n,
     CASE role WHEN 'system' THEN 17 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
       ELSE 16 + len(role) + len(role) - len(translate(role, '~<[' || chr(10), '')) END AS around
-  FROM turns)
-SELECT conv_id, count(*) AS n_turns,
+  FROM turns),
+steps AS (
+  SELECT conv_id, role, lag(role) OVER w AS before_, row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id) AS n_all
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+moves AS (
+  SELECT conv_id, place, role, place = n_all AS ends, (coalesce(before_, 'start') || '>' || role) IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user') AS fits
+  FROM steps),
+verdicts AS (
+  SELECT conv_id, bool_and(fits) AND bool_or(ends AND role = 'assistant') AS valid, CAST(min(CASE WHEN NOT fits THEN place - 1 END) AS INTEGER) AS bad_turn
+  FROM moves GROUP BY conv_id)
+SELECT conv_id, any_value(valid) AS valid, any_value(bad_turn) AS bad_turn, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(n + around)::BIGINT AS formatted_chars
-FROM escaped GROUP BY conv_id"""
+FROM escaped JOIN verdicts USING (conv_id) GROUP BY conv_id"""
 
 
 def op9_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.llm.running import cut_out, running
 from quayside.plans.settle import settle
 
 
@@ -52,6 +53,7 @@ BASE = ("assign", "access", "hex")
 REACH = 120
 
 _SPANS = "array<struct<start:int,rank:int,end:int>>"
+_GAPS = "array<struct<from:int,to:int>>"
 
 
 def _found(text: Column, rank: int, part: Part) -> Column:
@@ -61,15 +63,17 @@ def _found(text: Column, rank: int, part: Part) -> Column:
         F.split(text, part.pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"), F.regexp_extract_all(text, pattern, F.lit(part.group)).alias("value")
     )
 
-    def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + F.length(piece["gap"])
-        end = start + F.coalesce(F.length(piece["match"]), F.lit(0))
+    none = F.array().cast(_SPANS)
+
+    def ends(at: Column, piece: Column) -> Column:
+        return at + F.length(piece["gap"]) + F.coalesce(F.length(piece["match"]), F.lit(0))
+
+    def span(at: Column, piece: Column) -> Column:
         fits = piece["match"].isNotNull() & F.length(piece["value"]).between(part.shortest, part.longest)
-        span = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(fits, F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"))
+        found = F.struct((at + F.length(piece["gap"])).alias("start"), F.lit(rank).alias("rank"), ends(at, piece).alias("end"))
+        return F.when(fits, F.array(found)).otherwise(none)
 
-    none = F.array().cast(_SPANS)
-    spans = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), none.alias("spans")), step, lambda state: state["spans"])
+    spans = running(pieces, F.lit(0), ends, span, _SPANS)
     seen = text.rlike(part.pattern)
     return F.when((text.rlike(part.hint) & seen) if part.hint else seen, spans).otherwise(none)
 
@@ -130,17 +134,15 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", parts: Sequence[Part] = PART
     Null texts stay null.
     """
 
-    def step(state: Column, span: Column) -> Column:
-        gap = F.substring(F.col("text"), state["at"] + 1, span["start"] - state["at"])
-        new = F.struct(span["end"].alias("at"), F.concat(state["out"], gap, F.lit(mark)).alias("out"))
-        longer = F.struct(F.greatest(state["at"], span["end"]).alias("at"), state["out"].alias("out"))
-        return F.when(span["start"] >= state["at"], new).otherwise(longer)
+    # What lies between findings, from the end of all before to the start of the next; none inside overlapping ones.
+    between = lambda at, s: F.when(s["start"] >= at, F.array(F.struct(at.alias("from"), s["start"].alias("to")))).otherwise(F.array().cast(_GAPS))
+    gaps = running(F.col("findings"), F.lit(0), lambda at, s: F.greatest(at, s["end"]), between, _GAPS)
 
     scanned = scan(docs, parts, reach, carry=docs.columns)
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda s: F.concat(s["out"], F.substring(F.col("text"), s["at"] + 1, F.length("text")))
-    clean = F.when(F.size("findings") == 0, F.col("text")).otherwise(F.aggregate("findings", begin, step, rest))
-    return scanned.select(*[clean.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    last = F.array_max(F.transform("findings", lambda s: s["end"]))
+    texts = F.concat(cut_out(F.col("text"), F.col("_gaps"), lambda g: g["from"], lambda g: g["to"]), F.array(F.substring(F.col("text"), last + 1, F.length("text"))))
+    clean = F.when(F.size("findings") == 0, F.col("text")).otherwise(F.array_join(texts, mark))
+    return scanned.withColumn("_gaps", gaps).select(*[clean.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def oracle(parts: Sequence[Part] = PARTS, reach: int = REACH) -> str:
