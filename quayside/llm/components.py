@@ -1,8 +1,9 @@
 """Connected components of a link table, by alternating large and small stars.
 
 Each round joins the links with the smallest neighbour of each node, so a round is two shuffles
-whatever the shape of the graph, and a component of n nodes takes about log(n) rounds. The links of
-a round are written to the shared folder, which cuts the lineage. Only two numbers a round, the
+whatever the shape of the graph, and a component of n nodes takes about log(n) rounds. The links and the
+smallest neighbours of a star are written to the shared folder, which cuts the lineage and leaves the join two
+plain scans: adaptive execution splits a node that a third of all links meet. Only two numbers a round, the
 count and a checksum of the links, reach the driver.
 """
 
@@ -23,14 +24,15 @@ def _oriented(links: DataFrame) -> DataFrame:
     )
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, label: str = "large") -> DataFrame:
     both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    lowest = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
+    lowest = settle(both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low")), label, compact=True)
     return both.where("dst > src").join(lowest, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
-    lowest = links.groupBy("src").agg(F.min("dst").alias("low"))
+def _small_star(links: DataFrame, label: str = "small") -> DataFrame:
+    links = settle(links, label)
+    lowest = settle(links.groupBy("src").agg(F.min("dst").alias("low")), label, compact=True)
     moved = links.join(lowest, "src").where("dst != low").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     return moved.unionByName(lowest.select("src", F.col("low").alias("dst"))).distinct()
 

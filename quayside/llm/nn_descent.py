@@ -314,7 +314,7 @@ def _merged(nodes: DataFrame, links: DataFrame, bits: int, seed: int, search: Se
 
 def _linked(nodes: DataFrame, found: DataFrame, search: Search) -> DataFrame:
     """node, component, n for the linked nodes ``found`` (node, component): all members of a component are compared."""
-    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    sizes = settle(found.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "sizes", compact=True)
     members = found.join(sizes, "component").join(nodes.select("node", "copies", "vector"), "node")
     width = F.least(F.greatest(F.lit(search.block), F.ceil(F.col("size") / 64)), F.lit(search.widest))
     counts = _block_counts(members, width, search).groupBy("node").agg(F.sum("n").alias("n"))
@@ -324,7 +324,7 @@ def _linked(nodes: DataFrame, found: DataFrame, search: Search) -> DataFrame:
 def _whole_labels(nodes: DataFrame, labels: DataFrame, search: Search) -> DataFrame:
     """node, component, n for the linked nodes of ``labels``, every vector compared with every other."""
     own = nodes.join(labels, "label", "left_semi").withColumn("length", F.length("vector"))
-    groups = own.groupBy("label", "length").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("size"))
+    groups = settle(own.groupBy("label", "length").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("size")), "groups", compact=True)
     members = own.join(groups, ["label", "length"]).select("component", "size", "node", "copies", "vector")
     met = settle(_block_counts(members, search.widest, search).where("n > 0 OR root != node"), "met")
     found = connected_components(met.select(F.col("node").alias("src"), F.col("root").alias("dst")), "whole")

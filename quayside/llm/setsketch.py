@@ -231,7 +231,7 @@ def _links_across(left: DataFrame, sets: DataFrame, sketch: Sketch) -> DataFrame
     A bucket is dealt into blocks of about ``block`` nodes, and each two blocks are one unit of work; only
     links leave it, no other pair.
     """
-    sizes = left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / sketch.block).cast("bigint").alias("blocks"))
+    sizes = settle(left.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / sketch.block).cast("bigint").alias("blocks")), "sizes", compact=True)
     dealt = left.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     met = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     units = met.select("key", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"), "block", "node", "part").join(sets, "node")
@@ -277,16 +277,18 @@ def near_duplicates(docs: DataFrame, sketch: Sketch = DEFAULT) -> DataFrame:
     )
 
     dealt = classes.select("node", "registers").mapInArrow(_band_keys(sketch), "key bigint, node bigint")
-    shared = dealt.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key")
+    shared = settle(dealt.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key"), "shared", compact=True)
     members = settle(dealt.join(shared, "key", "left_semi"), "members", compact=True)
 
-    leaders = members.groupBy("key").agg(F.min("node").alias("dst"))
+    # What is joined by a bucket's key is stored before, so that adaptive execution can split a bucket that holds a third of all.
+    leaders = settle(members.groupBy("key").agg(F.min("node").alias("dst")), "leaders", compact=True)
     to_leader = members.join(leaders, "key").where("node != dst").select(F.col("node").alias("src"), "dst").distinct()
     first = _confirmed(to_leader, classes, docs, sketch, "leader")
     found = settle(connected_components(first), "found")
 
     placed = settle(members.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part")), "placed")
     mixed = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("p"), F.max("part").alias("q")).where("n > 2 and p != q").select("key")
+    mixed = settle(mixed, "mixed", compact=True)
     left = settle(placed.join(mixed, "key", "left_semi"), "left", compact=True)
     sets = _shingle_sets(left.select("node").distinct(), classes, docs, sketch, "left")
     second = settle(_links_across(left, sets, sketch), "across", compact=True)
