@@ -103,6 +103,50 @@ def month_end_snapshots(
     )
 
 
+def sparse_balances(
+    movements: DataFrame, keys: Sequence[str], moment: str, amount: str, as_of: date, months: int = BALANCE_MONTHS
+) -> DataFrame:
+    """The balances of ``month_end_snapshots`` that differ from those a month before: keys, BALANCE, END_DATE.
+
+    A key has a row for each month end whose month has movements, and one at the first month end for all that was before.
+    Movements are summed per key and month in the tasks, so the running total goes over a few rows per key.
+    """
+    first, last = month_end(as_of, -(months - 1)), month_end(as_of)
+    end = F.greatest(F.last_day(F.to_date(moment)), day_literal(first))
+    moved = (
+        movements.where(F.col(moment) < ntz(last + timedelta(days=1)))
+        .groupBy(*keys, end.alias("END_DATE"))
+        .agg(F.sum(amount).alias("_moved"))
+    )
+    total = F.sum("_moved").over(Window.partitionBy(*keys).orderBy("END_DATE"))
+    return moved.select(*keys, total.alias("BALANCE"), "END_DATE")
+
+
+def add_month(sparse: DataFrame, movements: DataFrame, keys: Sequence[str], amount: str, end: date) -> DataFrame:
+    """Sparse balances after one more month, that of ``end``, of which ``movements`` are all. Former rows stay as they are."""
+    moved = movements.groupBy(*keys).agg(F.sum(amount).alias("_moved"))
+    last = balances_at(sparse, keys, end)
+    # Amounts that are all missing leave a balance as it is.
+    total = F.when(F.col("BALANCE").isNull(), F.col("_moved")).otherwise(F.col("BALANCE") + F.coalesce("_moved", F.lit(0)))
+    new = moved.join(last, list(keys), "left").select(*keys, total.alias("BALANCE"), day_literal(end).alias("END_DATE"))
+    return sparse.unionByName(new)
+
+
+def balances_at(sparse: DataFrame, keys: Sequence[str], end: date) -> DataFrame:
+    """The balance of each key at a month end: its last row up to it."""
+    return sparse.where(F.col("END_DATE") <= day_literal(end)).groupBy(*keys).agg(F.max_by(F.struct("BALANCE"), "END_DATE")["BALANCE"].alias("BALANCE"))
+
+
+def carried_forward(sparse: DataFrame, keys: Sequence[str], as_of: date, run_ts: datetime) -> DataFrame:
+    """``month_end_snapshots`` from sparse balances: each one carried to the month end before the key's next."""
+    following = F.lead("END_DATE").over(Window.partitionBy(*keys).orderBy("END_DATE"))
+    until = F.coalesce(F.add_months(F.trunc("_next", "month"), -1), day_literal(month_end(as_of).replace(day=1)))
+    months = F.sequence(F.trunc("END_DATE", "month"), until, F.expr("INTERVAL 1 MONTH"))
+    return sparse.withColumn("_next", following).withColumn("_month", F.explode(months)).select(
+        *keys, "BALANCE", ntz(run_ts).alias("ADATETIME"), month_label(F.col("_month")).alias("CHECK_MONTH")
+    )
+
+
 def snapshot_sizes(snapshots: DataFrame) -> DataFrame:
     """Rows per month end, and the rows of all month ends up to it."""
     sizes = snapshots.groupBy("CHECK_MONTH").agg(F.count(F.lit(1)).alias("row_count"))

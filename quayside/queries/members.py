@@ -7,10 +7,11 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators import history, members
+from quayside.operators import history, intervals, members
 from quayside.plans.settle import scratch_path, settle
 from quayside.queries import fixtures as fx
 from quayside.sources import sinks
+from quayside.sources.scans import table
 
 
 def user_changes(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,6 +39,45 @@ def snapshot_rotation(spark: SparkSession, folder: str) -> DataFrame:
     return members.user_changes(current, previous).groupBy("CHANGE").agg(F.count(F.lit(1)).alias("users"))
 
 
+DAYS = 10
+FIRST_DAY = fx.AS_OF - timedelta(days=DAYS - 1)
+LOOK_BACK = FIRST_DAY + timedelta(days=4)
+
+
+def _daily_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Users on ten days. Each is absent now and then, some change their department on one of the days, some have no mark."""
+    key, n = F.col("c_custkey"), F.col("n")
+    days = table(spark, folder, "customer").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(DAYS - 1))))
+    return days.where((key + n) % 11 != 0).select(
+        key.alias("USER_KEY"),
+        F.when((key % 20 < DAYS) & (n >= key % 20), (key + 3) % 40 + 1).otherwise(key % 40 + 1).alias("PART_CODE"),
+        F.when(key % 23 == 0, fx.null("string")).otherwise(F.lit("Y")).alias("BI_USE_YN"),
+        F.date_add(F.lit(FIRST_DAY), n).alias("SNAPSHOT_DATE"),
+    )
+
+
+def _user_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Intervals of all days but the last, merged with the last one."""
+    users, last = _daily_users(spark, folder), FIRST_DAY + timedelta(days=DAYS - 1)
+    known = settle(intervals.to_intervals(users.where(F.col("SNAPSHOT_DATE") < F.lit(last))), "intervals")
+    return intervals.merge_day(known, history.snapshot_at(users, last), last)
+
+
+def user_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    return _user_intervals(spark, folder)
+
+
+def user_snapshot_restored(spark: SparkSession, folder: str) -> DataFrame:
+    return intervals.valid_at(settle(_user_intervals(spark, folder), "intervals"), LOOK_BACK)
+
+
+def order_departments(spark: SparkSession, folder: str) -> DataFrame:
+    """The department each customer had on the day of the order, for the days that snapshots tell."""
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("USER_KEY"), "o_orderdate")
+    known = settle(_user_intervals(spark, folder), "intervals")
+    return intervals.look_up(orders, known, ["USER_KEY"], "o_orderdate", ["PART_CODE"])
+
+
 def permission_grants(spark: SparkSession, folder: str) -> DataFrame:
     """One row per group named and one per user for all data groups but the own."""
     return members.permission_grants(user_changes(spark, folder), fx.USERS_RUN_TS)
@@ -91,6 +131,9 @@ def user_audit_log(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "user_changes": user_changes,
     "snapshot_rotation": snapshot_rotation,
+    "user_intervals": user_intervals,
+    "user_snapshot_restored": user_snapshot_restored,
+    "order_departments": order_departments,
     "permission_grants": permission_grants,
     "permission_revokes": permission_revokes,
     "permission_state": permission_state,
@@ -136,7 +179,22 @@ held AS (
 _CHANGES = f"WITH {fx.USER_CTES}"
 _NOW = f"TIMESTAMP '{fx.USERS_RUN_TS}'"
 
+_DAILY = f"""WITH days AS (SELECT unnest(range({DAYS})) AS n),
+daily AS (
+  SELECT c_custkey AS USER_KEY, CASE WHEN c_custkey % 20 < {DAYS} AND n >= c_custkey % 20 THEN (c_custkey + 3) % 40 + 1 ELSE c_custkey % 40 + 1 END AS PART_CODE,
+         CASE WHEN c_custkey % 23 <> 0 THEN 'Y' END AS BI_USE_YN, n, CAST(DATE '{FIRST_DAY}' + to_days(CAST(n AS INTEGER)) AS DATE) AS day_
+  FROM customer, days WHERE (c_custkey + n) % 11 <> 0)"""
+
 ORACLES = {
+    "user_intervals": f"""{_DAILY},
+islands AS (SELECT *, n - ROW_NUMBER() OVER (PARTITION BY USER_KEY, PART_CODE, BI_USE_YN ORDER BY n) AS island FROM daily)
+SELECT USER_KEY, PART_CODE, BI_USE_YN, CAST(1 AS INTEGER) AS COPIES, MIN(day_) AS VALID_FROM,
+       CASE WHEN MAX(n) < {DAYS - 1} THEN CAST(MAX(day_) + INTERVAL 1 DAY AS DATE) END AS VALID_TO
+FROM islands GROUP BY USER_KEY, PART_CODE, BI_USE_YN, island""",
+    "user_snapshot_restored": f"{_DAILY} SELECT USER_KEY, PART_CODE, BI_USE_YN FROM daily WHERE day_ = DATE '{LOOK_BACK}'",
+    "order_departments": f"""{_DAILY}
+SELECT o_orderkey, o_custkey AS USER_KEY, o_orderdate, PART_CODE FROM orders
+LEFT JOIN daily ON USER_KEY = o_custkey AND day_ = CAST(o_orderdate AS DATE)""",
     "user_changes": f"{_CHANGES} SELECT * FROM changes",
     "snapshot_rotation": f"{_CHANGES} SELECT CHANGE, COUNT(*) AS users FROM changes GROUP BY CHANGE",
     "permission_grants": f"{_CHANGES}, {_GRANTS} SELECT *, 'SYSTEM' AS creator, {_NOW} AS created FROM granted",

@@ -171,6 +171,21 @@ def month_end_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return balances.withColumn("BALANCE", F.round("BALANCE", 2))
 
 
+def _sparse(spark: SparkSession, folder: str) -> DataFrame:
+    return calendars.sparse_balances(table(spark, folder, "orders"), ["o_custkey"], "o_orderdate", "o_totalprice", fx.AS_OF)
+
+
+def month_end_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Only the balances that changed in a month."""
+    return _sparse(spark, folder).withColumn("BALANCE", F.round("BALANCE", 2))
+
+
+def month_end_carried_forward(spark: SparkSession, folder: str) -> DataFrame:
+    """All balances again, from the stored changes."""
+    stored = settle(_sparse(spark, folder), "changes")
+    return calendars.carried_forward(stored, ["o_custkey"], fx.AS_OF, fx.RUN_TS).withColumn("BALANCE", F.round("BALANCE", 2))
+
+
 def month_end_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return calendars.snapshot_sizes(month_end_snapshots(spark, folder))
 
@@ -188,6 +203,8 @@ QUERIES = {
     "snapshot_append": snapshot_append,
     "month_end_snapshots": month_end_snapshots,
     "month_end_sizes": month_end_sizes,
+    "month_end_changes": month_end_changes,
+    "month_end_carried_forward": month_end_carried_forward,
 }
 
 _MART = f"""
@@ -263,6 +280,12 @@ loaded AS (SELECT * FROM batches WHERE day(MIG_DATETIME) = 1 OR MIG_DATETIME >=
 {fx.stale_stamps('loaded')}
 SELECT * FROM loaded WHERE MIG_DATETIME NOT IN (SELECT MIG_DATETIME FROM stale)""",
     "month_end_snapshots": f"WITH {_BALANCES} SELECT * FROM balances",
+    "month_end_carried_forward": f"WITH {_BALANCES} SELECT * FROM balances",
+    "month_end_changes": f"""WITH {_BALANCES}
+SELECT o_custkey, BALANCE, last_day(CAST(CHECK_MONTH || '-01' AS DATE)) AS END_DATE FROM balances
+WHERE (o_custkey, CHECK_MONTH) IN (
+  SELECT o_custkey, CASE WHEN o_orderdate < TIMESTAMP '1999-08-01' THEN '1999-08' ELSE strftime(o_orderdate, '%Y-%m') END FROM orders
+  WHERE o_orderdate < TIMESTAMP '2001-09-01')""",
     "month_end_sizes": f"""WITH {_BALANCES}
 SELECT CHECK_MONTH, COUNT(*) AS row_count, CAST(SUM(COUNT(*)) OVER (ORDER BY CHECK_MONTH) AS BIGINT) AS total_rows
 FROM balances GROUP BY CHECK_MONTH""",
