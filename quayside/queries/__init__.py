@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.queries import catalog, differences, loads, members, monthly, repair, sales, scalars, watch
+from quayside.queries import catalog, differences, kept, loads, members, monthly, repair, sales, scalars, watch
 
 Query = Callable[[SparkSession, str], DataFrame]
-_MODULES = (repair, differences, loads, catalog, monthly, sales, members, watch, scalars)
+_MODULES = (repair, differences, loads, kept, catalog, monthly, sales, members, watch, scalars)
 
 
 def all_queries() -> dict[str, Query]:

@@ -7,7 +7,7 @@ monthly counts and the column catalog are read as subqueries that the database r
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from typing import NamedTuple
 
@@ -72,6 +72,67 @@ def key_predicates(key: str, low: int, high: int, parts: int) -> list[str]:
     return range_predicates(key, [*range(low, high + 1, step), high + 1])
 
 
+Bins = Mapping[int, int]
+
+
+def histogram(df: DataFrame, column: str, low: int, width: int) -> DataFrame:
+    """Rows per range of ``width`` of a whole-number column, from ``low`` on: bin, n. Rows below and without value are left out."""
+    number = F.col(f"`{column}`").cast("bigint")
+    inside = df.where(number >= low)
+    return inside.groupBy(F.call_function("div", number - F.lit(low), F.lit(width)).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def histogram_query(table: str, column: str, low: int, width: int, end: int) -> str:
+    """``histogram`` up to, not including, ``end``, counted by the database: one row per range leaves it."""
+    name = _identifier(column)
+    return (
+        f"SELECT FLOOR(({name} - {low}) / {width}) AS bin, COUNT(*) AS n FROM {_identifier(table)} "
+        f"WHERE {name} >= {low} AND {name} < {end} GROUP BY FLOOR(({name} - {low}) / {width})"
+    )
+
+
+def balanced_edges(counts: Callable[[int, int, int], Bins], low: int, high: int, parts: int, bins: int = 1024) -> list[int]:
+    """Edges that cut a whole-number column from ``low`` to ``high`` into ``parts`` ranges with about equally many rows.
+
+    ``counts(low, end, width)`` asks for the rows per range of a width, at most ``bins`` of them at a time. A range that holds
+    more than half a part is asked for again in narrower ranges, so that a crowded stretch is cut where it is crowded; a single
+    value is never cut. For ``range_predicates``, as is, and for columns whose values are not spread evenly.
+    """
+    if parts < 1 or high < low:
+        raise ValueError("needs a part and a range")
+    width = -(-(high - low + 1) // bins)
+    cells = sorted((low + b * width, width, n) for b, n in counts(low, high + 1, width).items() if n)
+    total = sum(n for _, _, n in cells)
+    share = max(1.0, total / parts)
+    while crowded := [c for c in cells if c[2] > share / 2 and c[1] > 1]:
+        fine = [c for c in cells if c not in set(crowded)]
+        for start, size, _ in crowded:
+            narrow = -(-size // 64)
+            end = min(start + size, high + 1)
+            fine += [(start + b * narrow, narrow, n) for b, n in counts(start, end, narrow).items() if n]
+        cells = sorted(fine)
+    edges, held = [low], 0.0
+    for start, _, n in cells:
+        # A cell goes where it leaves the range nearer to its share.
+        if start > edges[-1] and held and held + n - share > share - held:
+            edges.append(start)
+            held = 0.0
+        held += n
+    return [*edges, high + 1]
+
+
+def balanced_predicates(
+    spark: SparkSession, url: str, table: str, column: str, low: int, high: int, parts: int, properties: Mapping[str, str]
+) -> list[str]:
+    """``key_predicates`` with ranges of about equally many rows; the database counts them."""
+
+    def counts(start: int, end: int, width: int) -> Bins:
+        rows = _read_query(spark, url, histogram_query(table, column, start, width, end), properties).collect()
+        return {int(r[0]): int(r[1]) for r in rows}
+
+    return range_predicates(column, balanced_edges(counts, low, high, parts))
+
+
 def month_counts_query(table: str, moment: str, as_of: date, months: int = COUNTED_MONTHS) -> str:
     """Rows per month since the first day of the month ``months`` ago, counted by the database."""
     column = _identifier(moment)
