@@ -96,10 +96,10 @@ def orphans(
 ) -> DataFrame:
     """Keys that the target holds in one of ``months`` and the source does not hold at all.
 
-    ``months`` are the mismatches of this table: labels ``yyyy-MM`` in the column ``date``. Suspects are the keys that the
-    source lacks in the 24 months up to the end of this month; they are few, and are then looked up among all source rows,
-    whatever their date. Only key columns are read, and the source is shuffled for neither step while the suspects can be
-    broadcast. ``compat`` takes the suspects for orphans, which deletes rows that the source holds under another date.
+    ``months`` are the mismatches of this table: labels ``yyyy-MM`` in the column ``date``. The target's keys of these months
+    are stored and looked up among all source rows, whatever their date, in one scan of the source's key columns;
+    the source is not shuffled while they can be broadcast. ``compat`` looks only at source rows of the 24 months up to the
+    end of this month, which deletes rows that the source holds under another date.
     """
     if not keys:
         raise ValueError("orphans cannot be told without a key")
@@ -110,12 +110,11 @@ def orphans(
     # Calendar months: a list that cannot grow with the data.
     wanted = F.broadcast(months.select(F.to_date(F.concat("date", F.lit("-01"))).alias("_month")).distinct())
     in_months = target.join(wanted, F.trunc(moment, "month") == F.col("_month"), "left_semi")
-    suspects = in_months.select(*keys).join(source_keys, list(keys), "left_anti")
     if compat:
-        return suspects
-    suspects = settle(suspects, "suspects", compact=True)
+        return in_months.select(*keys).join(source_keys, list(keys), "left_anti")
+    suspects = settle(in_months.select(*keys), "suspects", compact=True)
     held = source.select(*keys).join(suspects.distinct(), list(keys), "left_semi")
-    return suspects.join(held, list(keys), "left_anti")
+    return suspects.join(settle(held.distinct(), "held", compact=True), list(keys), "left_anti")
 
 
 def delete_orphans(

@@ -145,3 +145,13 @@ def evolve(target: DataFrame, batch: DataFrame, new_as_text: bool = False) -> tu
     grown = target.withColumns({c: F.lit(None).cast(new[c]) for c in added})
     filled = batch.withColumns({c: F.lit(None).cast(t) for c, t in old.items() if c not in new})
     return grown, filled.select(*[f"`{c}`" for c in grown.columns])
+
+
+def trimmed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Text columns without the spaces at the end that fixed-width ``char`` columns carry, so that keys meet.
+
+    Without ``columns`` these are all text columns. Names are taken as the table has them.
+    """
+    wanted = {f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.CharType, T.VarcharType))}
+    wanted = wanted if columns is None else set(columns)
+    return df.select(*[F.rtrim(f"`{c}`").alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.conditions import as_condition, is_true
 from quayside.functions.dates import ntz
-from quayside.operators.schema import STAMP, evolve, named_like
+from quayside.operators.schema import STAMP, evolve, named_like, trimmed
 from quayside.plans.settle import settle
 
 UPDATED = "UDATETIME"
@@ -113,14 +113,16 @@ def load_window(
     source_pred: str | Column,
     run_ts: datetime,
     target_pred: str | Column | None = None,
+    trim: bool = False,
     **options,
 ) -> DataFrame:
     """``incremental_upsert`` of the source rows in a window.
 
     The hourly form has a wider predicate at the source than at the target; the daily form
-    uses one for both.
+    uses one for both. ``trim`` takes the padding off the batch's text columns.
     """
     batch = source.where(as_condition(source_pred))
+    batch = trimmed(batch) if trim else batch
     return incremental_upsert(
         target, batch, keys, source_pred if target_pred is None else target_pred, run_ts, **options
     )

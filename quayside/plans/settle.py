@@ -10,22 +10,29 @@ not bring back the work behind the list.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+LOCAL_ALLOWED = "quayside.scratch.local"
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder, else the warehouse.
+    """The folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder, else one beside the warehouse's tables.
 
-    There is no machine-local way out: executors elsewhere could not read from it.
+    Executors of a cluster may not reach a folder of the driver's file system. There the warehouse is taken only if it lies in
+    another one, or if the setting ``quayside.scratch.local`` says that its folder is shared.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder and (warehouse := spark.conf.get("spark.sql.warehouse.dir", None)):
-        folder = f"{warehouse.rstrip('/')}/_scratch"
-    if not folder:
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    own = warehouse and warehouse.startswith(("file:", "/")) and not re.match(r"local(\[|$)", spark.sparkContext.master)
+    if not warehouse or own and spark.conf.get(LOCAL_ALLOWED, "false") != "true":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return folder.rstrip("/")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

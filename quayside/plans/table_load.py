@@ -8,11 +8,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.dates import month_label
+from quayside.functions.conditions import is_true
+from quayside.functions.dates import month_label, ntz
 from quayside.operators.history import YEAR, historical_load
-from quayside.operators.schema import named_like, struct_of
+from quayside.operators.schema import STAMP, named_like, struct_of, trimmed
 from quayside.operators.upsert import CREATED, UPDATED, apply_batch, stamped, touched_partitions
 from quayside.plans.settle import settle
+from quayside.sources.scans import table_exists
 from quayside.sources.sinks import add_columns, append_table, create_table, replace_table_partitions
 
 PARTITION = "LOAD_MONTH"
@@ -48,11 +50,30 @@ def load_history(
     run_ts: datetime,
     moment: str = CREATED,
     path: str | None = None,
+    trim: bool = False,
 ) -> DataFrame:
-    """Append the years ``first`` to ``last`` of a source to a table, which is created if absent."""
-    rows = historical_load(source, first, last, run_ts, moment).drop(YEAR)
-    append_table(by_month(rows, moment), name, PARTITION, path)
-    return source.sparkSession.table(name)
+    """Append the years ``first`` to ``last`` of a source to a table, which is created if absent.
+
+    A load that is repeated, as it failed or was not known to have ended, has the same load time: rows of its months
+    that carry it are replaced, so no row is there twice. ``trim`` takes the padding off text columns.
+    """
+    spark = source.sparkSession
+    rows = by_month(historical_load(trimmed(source) if trim else source, first, last, run_ts, moment).drop(YEAR), moment)
+    if not table_exists(spark, name) or STAMP not in spark.table(name).columns:
+        append_table(rows, name, PARTITION, path)
+        return spark.table(name)
+    target = spark.table(name)
+    rows = settle(stamped(named_like(rows, target.columns), run_ts, like=target), "history")
+    months = [row[0] for row in rows.select(PARTITION).distinct().collect()]  # table layout
+    inside = target.where(F.col(PARTITION).isin(months))
+    earlier = F.col(STAMP) == ntz(run_ts).cast(target.schema[STAMP].dataType)
+    if inside.where(earlier).isEmpty():
+        append_table(rows, name, PARTITION, path)
+    else:
+        add_columns(rows, name)
+        kept = spark.table(name).where(F.col(PARTITION).isin(months) & ~is_true(earlier))
+        replace_table_partitions(kept.unionByName(rows, allowMissingColumns=True), name, PARTITION, rows.select(PARTITION).limit(0))
+    return spark.table(name)
 
 
 def load_table(
@@ -64,6 +85,7 @@ def load_table(
     moment: str = CREATED,
     updated: str = UPDATED,
     strict: bool = False,
+    trim: bool = False,
 ) -> DataFrame:
     """``incremental_upsert`` into a table made by ``create_by_month``; returns the table.
 
@@ -73,6 +95,7 @@ def load_table(
     """
     spark = batch.sparkSession
     target = spark.table(name)
+    batch = trimmed(batch) if trim else batch
     batch = settle(stamped(by_month(named_like(batch, target.columns), moment), run_ts, like=target), "batch", compact=True)
     if batch.isEmpty():
         return target

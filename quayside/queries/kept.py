@@ -84,9 +84,8 @@ def balanced_ranges(spark: SparkSession, folder: str) -> DataFrame:
     predicates = databases.range_predicates("k", edges)
     placed = reduce(DataFrame.unionByName, [rows.where(p).agg(F.lit(i).alias("part"), F.count(F.lit(1)).alias("n")) for i, p in enumerate(predicates)])
     inside = settle(placed.where("n > 0"), "ranges")
-    balanced = inside.agg(F.sum("n").alias("placed"), (F.max("n") <= 2 * F.percentile("n", 0.5)).alias("balanced"))
-    total = rows.agg(F.count(F.lit(1)).alias("row_count"), F.lit(1).alias("one"))
-    return total.join(balanced.withColumn("one", F.lit(1)), "one").drop("one")
+    both = inside.select("n", F.lit(0).alias("rows")).unionByName(rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(None).cast("bigint").alias("n"), "rows"))
+    return both.agg(F.max("rows").alias("row_count"), F.sum("n").alias("placed"), (F.max("n") <= 2 * F.percentile("n", 0.5)).alias("balanced"))
 
 
 def registered_load(spark: SparkSession, folder: str) -> DataFrame:

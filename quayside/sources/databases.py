@@ -13,10 +13,10 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import CharType, StringType, VarcharType
 
 from quayside.functions.dates import shift_months
 from quayside.operators.reconcile import COUNTED_MONTHS
+from quayside.operators.schema import trimmed
 from quayside.plans.settle import settle
 
 # Every column of every table, with its place in the primary key. Foreign and unique keys do not count.
@@ -144,12 +144,16 @@ def month_counts_query(table: str, moment: str, as_of: date, months: int = COUNT
 
 
 def read_database(
-    spark: SparkSession, url: str, table: str, properties: Mapping[str, str], predicates: Sequence[str]
+    spark: SparkSession, url: str, table: str, properties: Mapping[str, str], predicates: Sequence[str], trim: bool = False
 ) -> DataFrame:
-    """A database table in one read per predicate; see ``range_predicates``. A table is never read by one task."""
+    """A database table in one read per predicate; see ``range_predicates``. A table is never read by one task.
+
+    ``trim`` takes the padding off text columns, so that keys of fixed width meet those of a target without it.
+    """
     if not predicates:
         raise ValueError("split the table by predicates")
-    return spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties))
+    rows = spark.read.jdbc(url, table, predicates=list(predicates), properties=dict(properties))
+    return trimmed(rows) if trim else rows
 
 
 def _read_query(spark: SparkSession, url: str, query: str, properties: Mapping[str, str]) -> DataFrame:
@@ -208,13 +212,3 @@ def copy_to_databases(df: DataFrame, targets: Sequence[Target], batch_rows: int
     for target in targets:
         copy_to_database(rows, *target, batch_rows)
     return rows
-
-
-def trimmed(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Text columns without the spaces at the end that fixed-width ``char`` columns carry, so that keys meet.
-
-    Without ``columns`` these are all text columns. Names are taken as the table has them.
-    """
-    wanted = {f.name for f in df.schema if isinstance(f.dataType, (StringType, CharType, VarcharType))}
-    wanted = wanted if columns is None else set(columns)
-    return df.select(*[F.rtrim(f"`{c}`").alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns])

@@ -40,8 +40,11 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], bala
 
 
 def create_table(df: DataFrame, name: str, partition: str, path: str | None = None) -> None:
-    """Create a partitioned catalog table from ``df``, in ``path`` if one is given."""
-    writer = _balanced(df, [partition]).write.partitionBy(partition).format("parquet")
+    """Create a partitioned catalog table from ``df``, in ``path`` if one is given.
+
+    The table itself says that an overwrite replaces only the partitions it writes.
+    """
+    writer = _balanced(df, [partition]).write.partitionBy(partition).format("parquet").option("partitionOverwriteMode", "dynamic")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -81,9 +84,17 @@ def append_table(df: DataFrame, name: str, partition: str, path: str | None = No
     _balanced(_in_table_order(df, name), [partition]).write.mode("append").insertInto(name)
 
 
+def _says_dynamic(spark: SparkSession, name: str) -> bool:
+    told = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == "Storage Properties")
+    return any("partitionOverwriteMode=dynamic" in row.data_type for row in told.collect())
+
+
 @contextmanager
-def _only_written_partitions(spark: SparkSession) -> Iterator[None]:
-    """An insert into a table takes this mode from the session, not from the writer."""
+def _only_written_partitions(spark: SparkSession, name: str) -> Iterator[None]:
+    """An insert takes this mode from the table or the session, not from the writer. The session is only set for tables made elsewhere."""
+    if _says_dynamic(spark, name):
+        yield
+        return
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "dynamic")
@@ -106,7 +117,7 @@ def replace_table_partitions(df: DataFrame, name: str, partition: str, suspects:
     asked = {row[0] for row in suspects.select(partition).distinct().collect()}
     still = df.where(F.col(partition).isin(list(asked))).select(partition).distinct().collect() if asked else []
     rows = _balanced(_in_table_order(df, name), [partition])
-    with _only_written_partitions(spark):
+    with _only_written_partitions(spark, name):
         rows.write.mode("overwrite").insertInto(name)
     for value in sorted(asked - {row[0] for row in still}):
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition} = :value)", {"value": value})

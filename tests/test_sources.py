@@ -1,3 +1,4 @@
+import uuid
 from datetime import date, datetime
 
 import pytest
@@ -267,3 +268,45 @@ def test_scratch_needs_a_shared_folder(spark):
 
     with pytest.raises(ValueError, match="checkpoint"):
         shared_folder(Bare)
+
+
+@pytest.mark.parametrize("master, warehouse, allowed, fine", [
+    ("spark://host:7077", "file:/tmp/w", "false", False), ("local-cluster[3,2,1000]", "/tmp/w", "false", False), ("yarn", "/tmp/w", "true", True),
+    ("local[8]", "/tmp/w", "false", True), ("yarn", "hdfs://host/w/", "false", True),
+])
+def test_a_local_warehouse_is_no_scratch_of_a_cluster(master, warehouse, allowed, fine):
+    from types import SimpleNamespace as Made
+
+    from quayside.plans.settle import LOCAL_ALLOWED, shared_folder
+
+    held = {"spark.sql.warehouse.dir": warehouse, LOCAL_ALLOWED: allowed}
+    session = Made(conf=Made(get=lambda name, default=None: held.get(name, default)), sparkContext=Made(getCheckpointDir=lambda: None, master=master))
+    if fine:
+        assert shared_folder(session) == f"{warehouse.rstrip('/')}/_scratch"
+    else:
+        with pytest.raises(ValueError, match="checkpoint"):
+            shared_folder(session)
+
+
+def test_a_historical_load_is_repeated(spark):
+
+
+    name, schema = f"history_{uuid.uuid4().hex}", "k string, RDATETIME timestamp_ntz"
+    old = datetime(2020, 5, 1)
+    create_by_month(frame(spark, f"{schema}, MIG_DATETIME timestamp_ntz", ("other load", old, old)), name)
+    rows = frame(spark, schema, ("a  ", old), ("b", datetime(2021, 1, 1)), ("outside", datetime(2019, 1, 1)))
+    for _ in range(3):
+        loaded = load_history(rows, name, 2020, 2021, TS, trim=True)
+        assert values(loaded, "k") == [("a",), ("b",), ("other load",)]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_padded_keys_meet(spark):
+    from quayside.operators.upsert import load_window
+
+    day = datetime(2024, 1, 9)
+    target = frame(spark, "k string, UDATETIME timestamp_ntz, MIG_DATETIME timestamp_ntz", ("a", day, day))
+    source = frame(spark, "k string, UDATETIME timestamp_ntz", ("a   ", day))
+    window = "UDATETIME > timestamp_ntz'2024-01-09'"
+    assert load_window(source, target, ["k"], "true", TS, target_pred=window, trim=True).count() == 1
+    assert load_window(source, target, ["k"], "true", TS, target_pred=window).count() == 2
