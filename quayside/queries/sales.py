@@ -74,10 +74,29 @@ def sales_metric_verify_compat(spark: SparkSession, folder: str) -> DataFrame:
     return verify.compare_metrics(_other_system(ours), ours, compat=True)
 
 
+def _with_losses(metrics: DataFrame) -> DataFrame:
+    """Every second department has made a loss."""
+    loss = F.when(F.col("PART_CODE") % 2 == 0, -F.abs("ORDER_MONEY")).otherwise(F.col("ORDER_MONEY"))
+    return metrics.withColumn("ORDER_MONEY", loss)
+
+
+def sales_metric_verify_losses(spark: SparkSession, folder: str) -> DataFrame:
+    ours = settle(_with_losses(_metrics(spark, folder)), "metrics")
+    return verify.compare_metrics(ours, ours)
+
+
+def sales_metric_verify_losses_compat(spark: SparkSession, folder: str) -> DataFrame:
+    """As the original took the tolerance of a figure with its sign: every loss is an error."""
+    ours = settle(_with_losses(_metrics(spark, folder)), "metrics")
+    return verify.compare_metrics(ours, ours, compat=True)
+
+
 QUERIES = {
     "sales_metrics": sales_metrics,
     "sales_metric_verify": sales_metric_verify,
     "sales_metric_verify_compat": sales_metric_verify_compat,
+    "sales_metric_verify_losses": sales_metric_verify_losses,
+    "sales_metric_verify_losses_compat": sales_metric_verify_losses_compat,
 }
 
 _DEPARTMENTS = ", ".join(str(d) for d in verify.DEPARTMENTS)
@@ -107,7 +126,11 @@ a AS (
 """
 
 
-def _verify_sql(absolute: str) -> str:
+_LOSSES = """,
+l AS (SELECT * REPLACE (CASE WHEN PART_CODE % 2 = 0 THEN -abs(ORDER_MONEY) ELSE ORDER_MONEY END AS ORDER_MONEY) FROM b)"""
+
+
+def _verify_sql(absolute: str, losses: bool = False) -> str:
     checks = []
     for metric, side in (("ORDER_AMOUNT", "a"), ("ORDER_MONEY", "b"), ("CUSTOMER_CNT", "b")):
         checks.append(
@@ -116,7 +139,7 @@ def _verify_sql(absolute: str) -> str:
             f"CASE WHEN abs(a.{metric} - b.{metric}) > {absolute}({side}.{metric}) * 0.001 THEN 'Error' ELSE '' END AS {metric}_CHECK"
         )
     return (
-        f"WITH {_METRICS} SELECT a.PART_CODE, a.PART_NM, {', '.join(checks)} FROM a JOIN b "
+        f"WITH {_METRICS}{_LOSSES * losses} SELECT a.PART_CODE, a.PART_NM, {', '.join(checks)} FROM {'l a JOIN l b' if losses else 'a JOIN b'} "
         "ON a.PART_CODE IS NOT DISTINCT FROM b.PART_CODE AND a.PART_NM IS NOT DISTINCT FROM b.PART_NM"
     )
 
@@ -126,4 +149,6 @@ ORACLES = {
 SELECT PART_CODE, PART_NM, ROUND(ORDER_AMOUNT, 2) AS ORDER_AMOUNT, ROUND(ORDER_MONEY, 2) AS ORDER_MONEY, CUSTOMER_CNT FROM b""",
     "sales_metric_verify": _verify_sql("abs"),
     "sales_metric_verify_compat": _verify_sql(""),
+    "sales_metric_verify_losses": _verify_sql("abs", losses=True),
+    "sales_metric_verify_losses_compat": _verify_sql("", losses=True),
 }

@@ -38,7 +38,7 @@ def test_query_equals_sql(spark, folder, duck, name):
     assert rows or name in EMPTY_AT_SMALL_SCALE
 
 
-@pytest.mark.parametrize("option, default", [("incremental_upsert_strict", "incremental_upsert_daily"), ("latest_hour_report_compat", "latest_hour_report")])
+@pytest.mark.parametrize("option, default", [("incremental_upsert_strict", "incremental_upsert_daily"), ("latest_hour_report_compat", "latest_hour_report"), ("sales_metric_verify_losses_compat", "sales_metric_verify_losses")])
 def test_options_differ_from_the_default(duck, option, default):
     """Else a green row of the option would show nothing."""
     rows = [sorted(map(repr, duck.execute(ORACLES[name]).fetchall())) for name in (option, default)]
