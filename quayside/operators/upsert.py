@@ -142,17 +142,14 @@ def touched_partitions(
 
     Joining the result to the post-image keeps a daily load from rewriting the whole table.
     """
-    parts = [
-        batch.select(partition.alias(name)),
-        target.where(as_condition(target_pred)).select(partition.alias(name)),
-    ]
     replaced = replaced_keys(batch, keys, updated, strict) if keys else None
+    hit = as_condition(target_pred)
     if replaced is not None:
-        parts.append(target.join(replaced, list(keys), "left_semi").select(partition.alias(name)))
-    first, *rest = parts
-    for part in rest:
-        first = first.unionByName(part)
-    return first.distinct()
+        # One scan of the target's key and date columns answers both questions.
+        target = target.join(replaced.distinct().withColumn("_hit", F.lit(True)), list(keys), "left")
+        hit = hit | F.col("_hit").isNotNull()
+    found = target.where(hit).select(partition.alias(name))
+    return batch.select(partition.alias(name)).unionByName(found).distinct()
 
 
 def full_refresh(source: DataFrame, run_ts: datetime, stamp: str = STAMP) -> DataFrame:

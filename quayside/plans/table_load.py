@@ -21,16 +21,27 @@ PARTITION = "LOAD_MONTH"
 UNDATED = "undated"
 
 
-def by_month(rows: DataFrame, moment: str = CREATED) -> DataFrame:
-    """Rows with the partition they belong to: their month of creation."""
+def by_month(rows: DataFrame, moment: str = CREATED, keys: Sequence[str] = (), undated_parts: int = 1) -> DataFrame:
+    """Rows with the partition they belong to: their month of creation.
+
+    Rows without a date are one partition, or with ``keys`` as many as ``undated_parts``, by the key's hash, so that a load
+    into a table without dates rewrites the parts of its keys and not the whole table. Which part a row is in says
+    nothing else: a table may be loaded with another number of parts than it was created with.
+    """
+    undated = F.lit(UNDATED)
+    if keys and undated_parts > 1:
+        part = F.pmod(F.xxhash64(*[F.col(f"`{k}`").cast("string") for k in keys]), F.lit(undated_parts))
+        undated = F.concat(F.lit(f"{UNDATED}-"), part.cast("string"))
     if moment not in rows.columns:
-        return rows.withColumn(PARTITION, F.lit(UNDATED))
-    return rows.withColumn(PARTITION, F.coalesce(month_label(F.trunc(moment, "month")), F.lit(UNDATED)))
+        return rows.withColumn(PARTITION, undated)
+    return rows.withColumn(PARTITION, F.coalesce(month_label(F.trunc(moment, "month")), undated))
 
 
-def create_by_month(rows: DataFrame, name: str, moment: str = CREATED, path: str | None = None) -> None:
+def create_by_month(
+    rows: DataFrame, name: str, moment: str = CREATED, path: str | None = None, keys: Sequence[str] = (), undated_parts: int = 1
+) -> None:
     """Store rows as a catalog table partitioned by month of creation."""
-    create_table(by_month(rows, moment), name, PARTITION, path)
+    create_table(by_month(rows, moment, keys, undated_parts), name, PARTITION, path)
 
 
 def create_from_catalog(
@@ -86,6 +97,7 @@ def load_table(
     updated: str = UPDATED,
     strict: bool = False,
     trim: bool = False,
+    undated_parts: int = 1,
 ) -> DataFrame:
     """``incremental_upsert`` into a table made by ``create_by_month``; returns the table.
 
@@ -96,7 +108,7 @@ def load_table(
     spark = batch.sparkSession
     target = spark.table(name)
     batch = trimmed(batch) if trim else batch
-    batch = settle(stamped(by_month(named_like(batch, target.columns), moment), run_ts, like=target), "batch", compact=True)
+    batch = settle(stamped(by_month(named_like(batch, target.columns), moment, keys, undated_parts), run_ts, like=target), "batch", compact=True)
     if batch.isEmpty():
         return target
     add_columns(batch, name)

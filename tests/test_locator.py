@@ -201,3 +201,20 @@ def test_only_touched_buckets_are_read(spark):
             os.remove(file)
     assert values(batch_index.merge_batch(name, frame(spark, STAMPED, (7, at(1, 2))), ["k"], "b")) == [(at(1, 1),)]
     batch_index.drop_index(spark, name)
+
+
+def test_undated_rows_are_parts_by_key(spark, name):
+    """A load into a table without dates rewrites the parts of its keys only."""
+    from quayside.plans.table_load import PARTITION
+
+    rows = frame(spark, "id bigint, v string, MIG_DATETIME timestamp_ntz", *[(k, "old", at(1, 1)) for k in range(200)])
+    create_by_month(rows, name, keys=["id"], undated_parts=16, path=publish.folder_of(spark, name))
+    assert spark.table(name).select(PARTITION).distinct().count() == 16
+    folder = publish.folder_of(spark, name).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/*/*.parquet"))
+    batch = frame(spark, "id bigint, v string", (7, "new"), (500, "new"))
+    loaded = load_table(name, batch, ["id"], "false", TS, strict=True, undated_parts=16)
+    assert values(loaded.where("v = 'new'"), "id") == [(7,), (500,)] and loaded.count() == 201
+    assert len(before - set(glob.glob(f"{folder}/*/*.parquet"))) <= 2
+    again = load_table(name, batch, ["id"], "false", TS + timedelta(days=1), strict=True)  # as one part
+    assert again.count() == 201 and values(again.where("v = 'new'"), "id") == [(7,), (500,)]
