@@ -4,8 +4,9 @@
    projection, and meets the vectors next to it. The orders are range-partitioned, so no bucket, also
    not one of a third of all vectors, is one task.
 2. Descent: around each vector its neighbours and the vectors it is a neighbour of meet each other; the
-   best of what they find replaces worse neighbours. A vector travels with its id to at most
-   2 x ``neighbours`` centres a round.
+   best of what they find replaces worse neighbours, and what is worse than a full list stays where it was
+   found. A list that is saturated, as all its neighbours are links, is enlarged in the next round to
+   twice its length, and so on, up to ``widest_list`` links.
 3. Pairs seen at or above the threshold are links. Seeds hand on all of them, neighbourhoods the best few of
    each member and all that these few do not connect. A few members of each component then search among
    themselves, other members in every round, until a round merges no components. Only then are the members
@@ -36,7 +37,7 @@ from quayside.plans.settle import settle
 
 @dataclass(frozen=True)
 class Search:
-    """threshold: least cosine of a link. neighbours: of a list. orders, window, per_bucket: of the seeds.
+    """threshold: least cosine of a link. neighbours: of a list; widest_list: links in an enlarged one. orders, window, per_bucket: of the seeds.
 
     members: of each component that search for others. rounds, change: a descent ends after so many rounds, or when less than this share of all list
     entries is new. block: vectors compared at once; widest: the same, where a whole label is compared.
@@ -46,6 +47,7 @@ class Search:
 
     threshold: float = 0.98
     neighbours: int = 8
+    widest_list: int = 32
     orders: int = 8
     window: int = 6
     per_bucket: int = 32
@@ -162,11 +164,16 @@ def _seeds(nodes: DataFrame, bits: int, seed: int | list[int], search: Search) -
     return dealt.repartitionByRange(tasks, *order).sortWithinPartitions(*order).mapInArrow(meet, _PAIRS)
 
 
-def _nearest(pairs: DataFrame, key: str, search: Search) -> DataFrame:
-    """The best pairs of each ``key``; most are dropped in the tasks before the shuffle."""
+def _nearest(pairs: DataFrame, key: str, search: Search, turn: int = 0) -> DataFrame:
+    """The best pairs of each ``key``; most are dropped in the tasks before the shuffle.
+
+    Lists that are full of links hold twice as many links in the next turn, and so on.
+    """
     other = "dst" if key == "src" else "src"
     rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("cosine"), other))
-    return pairs.withColumn("_rank", rank).where(F.col("_rank") <= search.neighbours).drop("_rank")
+    longest = max(search.neighbours, min(search.widest_list, search.neighbours << turn))
+    best = pairs.withColumn("_rank", rank).where(F.col("_rank") <= longest)
+    return best.where((F.col("_rank") <= search.neighbours) | (F.col("cosine") >= search.threshold)).drop("_rank")
 
 
 def _both_ways(pairs: DataFrame) -> DataFrame:
@@ -213,7 +220,9 @@ def _local_joins(graph: DataFrame, nodes: DataFrame, search: Search) -> DataFram
             found = np.take_along_axis(cosine, top, 2)
             src = np.broadcast_to(node[:, :, None], found.shape)
             dst = np.take_along_axis(np.broadcast_to(node[:, None, :], cosine.shape), top, 2)
-            some = found > -2
+            worst = np.full((len(sizes), width), -2.0)
+            worst[group, place] = table.column("worst").to_numpy()
+            some = (found > -2) & ((found >= worst[:, :, None]) | (found >= search.threshold))
             yield pa.RecordBatch.from_arrays([pa.array(src[some]), pa.array(dst[some]), pa.array(found[some])], names=["src", "dst", "cosine"])
             of, a, b = np.nonzero(_bridges(cosine, top, search.threshold))
             yield pa.RecordBatch.from_arrays([pa.array(node[of, a]), pa.array(node[of, b]), pa.array(cosine[of, a, b])], names=["src", "dst", "cosine"])
@@ -222,19 +231,23 @@ def _local_joins(graph: DataFrame, nodes: DataFrame, search: Search) -> DataFram
     back = _nearest(graph, "dst", search).select(F.col("dst").alias("centre"), F.col("src").alias("node"))
     self = graph.select(F.col("src").alias("centre"), F.col("src").alias("node"))
     around = forward.unionByName(back).unionByName(self).distinct()
-    return around.join(nodes.select("node", "vector"), "node").select("centre", "node", "vector").repartition("centre").sortWithinPartitions("centre").mapInArrow(run, _PAIRS)
+    # The last neighbour of a full list; anything may enter another one.
+    full = F.when(F.count(F.lit(1)) >= search.neighbours, F.min("cosine")).otherwise(-2.0)
+    lists = graph.groupBy(F.col("src").alias("node")).agg(full.alias("worst"))
+    known = nodes.select("node", "vector").join(lists, "node", "left").select("node", "vector", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
+    return around.join(known, "node").select("centre", "node", "vector", "worst").repartition("centre").sortWithinPartitions("centre").mapInArrow(run, _PAIRS)
 
 
 def _descend(nodes: DataFrame, graph: DataFrame, pairs: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
     """From ``graph`` (or None) and new ``pairs`` to the improved graph and the links seen on the way."""
-    links = []
+    links, grown = [], 0 if graph is None else 2  # lists that were enlarged before stay so
     for turn in range(search.rounds + 1):
         found = settle(pairs, "pairs")
         links.append(found.where(F.col("cosine") >= search.threshold).select("src", "dst"))
         both = _both_ways(found)
         if graph is not None:
             both = graph.select("src", "dst", "cosine").unionByName(both).groupBy("src", "dst").agg(F.max("cosine").alias("cosine"))
-        better = settle(_nearest(both, "src", search), "graph")
+        better = settle(_nearest(both, "src", search, turn + grown), "graph")
         if graph is not None and turn:
             new = better.join(graph, ["src", "dst"], "left_anti").count()
             graph = better
@@ -312,10 +325,19 @@ def _merged(nodes: DataFrame, links: DataFrame, bits: int, seed: int, search: Se
     return links, found
 
 
-def _linked(nodes: DataFrame, found: DataFrame, search: Search) -> DataFrame:
-    """node, component, n for the linked nodes ``found`` (node, component): all members of a component are compared."""
-    sizes = settle(found.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "sizes", compact=True)
-    members = found.join(sizes, "component").join(nodes.select("node", "copies", "vector"), "node")
+def _linked(nodes: DataFrame, found: DataFrame, search: Search, before: DataFrame | None = None) -> DataFrame:
+    """node, component, n for the linked nodes ``found`` (node, component): all members of a component are compared.
+
+    Components that have the members they had ``before`` (a result of this) keep their counts.
+    """
+    signed = lambda rows: rows.groupBy("component").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("members"))
+    sizes = settle(signed(found), "sizes", compact=True)
+    if before is not None:
+        same = settle(sizes.join(signed(before), ["component", "size", "members"], "left_semi").select("component"), "same", compact=True)
+        changed = found.join(same, "component", "left_anti")
+        kept = before.join(same, "component", "left_semi")
+        return settle(_linked(nodes, settle(changed, "changed"), search).unionByName(kept.select("node", "component", "n")), "linked")
+    members = found.join(sizes.select("component", "size"), "component").join(nodes.select("node", "copies", "vector"), "node")
     width = F.least(F.greatest(F.lit(search.block), F.ceil(F.col("size") / 64)), F.lit(search.widest))
     counts = _block_counts(members, width, search).groupBy("node").agg(F.sum("n").alias("n"))
     return settle(found.select("node", "component").join(counts, "node"), "linked")
@@ -422,7 +444,7 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
         graph, more = _descend(nodes, graph, _seeds(nodes, bits, trial, search), search)
         links = settle(links.unionByName(more).distinct(), "links")
         links, found = _merged(nodes, links, bits, trial, search)
-        before, linked = linked, _linked(nodes, found, search)
+        before, linked = linked, _linked(nodes, found, search, linked)
         failed = audit(nodes, linked, search, trial)[1]
         if before is not None:
             failed += _moved_labels(nodes, before, linked, search)

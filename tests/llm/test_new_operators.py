@@ -241,3 +241,15 @@ def test_products_beyond_doubles():
     assert hard_negatives._products(a, a).tolist() == [[1 << 61]]
     big = np.array([[1 << 30] * 8], np.int64)
     assert hard_negatives._products(big, big).tolist() == [[(1 << 63) - 1]] and hard_negatives._products(big, -big).tolist() == [[-(1 << 63)]]
+
+
+def test_saturated_lists_are_enlarged(spark):
+    """A list full of links doubles while it stays full; another one does not grow."""
+    from quayside.llm import nn_descent
+
+    search = nn_descent.Search(neighbours=2, widest_list=8)
+    links = [(1, 100 + i, 0.99 - i / 1000) for i in range(9)]
+    pairs = spark.createDataFrame([*links, (2, 200, 0.99), (2, 201, 0.5), (2, 202, 0.4), (3, 300, 0.5), (3, 301, 0.4), (3, 302, 0.3)], "src bigint, dst bigint, cosine double")
+    for turn, longest in ((0, 2), (1, 4), (2, 8), (5, 8)):
+        sizes = {r["src"]: r["count"] for r in nn_descent._nearest(pairs, "src", search, turn).groupBy("src").count().collect()}
+        assert sizes == {1: longest, 2: 2, 3: 2}
