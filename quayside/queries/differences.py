@@ -9,8 +9,8 @@ from quayside.operators import checksums
 from quayside.queries import fixtures as fx
 
 # Every eighth stretch of STRETCH order keys is damaged.
-STRETCH = 2048
-KEY_RANGES = checksums.Ranges("o_orderkey", 512)
+STRETCH = 128
+KEY_RANGES = checksums.Ranges("o_orderkey", 64)
 DAY_RANGES = checksums.Ranges("RDATETIME", 16)
 
 
