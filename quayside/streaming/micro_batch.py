@@ -2,7 +2,7 @@
 
 The stream only collects: each micro-batch overwrites its own partition of a landing table, so
 a batch that Spark repeats after a failure lands once. When all waiting files are landed, one
-``incremental_upsert`` brings the landed rows into the target. The target is thus rewritten
+load brings the landed rows into the target. The target is thus rewritten
 once per run and not once per micro-batch, and the window delete sees the whole window.
 """
 
@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions.conditions import as_condition
-from quayside.operators.upsert import UPDATED, incremental_upsert
+from quayside.operators.schema import STAMP, named_like
+from quayside.operators.upsert import UPDATED, apply_batch, stamped
 from quayside.plans.settle import settle
 from quayside.sources.sinks import replace_partitions
 
@@ -80,5 +81,6 @@ def micro_batch_upsert(
     A run that failed after landing is repeated with its own folder, whose rows are then loaded.
     """
     land_stream(changes, landing, checkpoint, source_pred)
-    batch = landed_rows(target.sparkSession, landing, changes.schema, keys)
-    return incremental_upsert(target, batch, keys, target_pred, run_ts, **options)
+    # The landed rows are stored already, so they are loaded as they are and the folder has to stay while the result is read.
+    batch = named_like(landed_rows(target.sparkSession, landing, changes.schema, keys), target.columns)
+    return apply_batch(target, stamped(batch, run_ts, options.pop("stamp", STAMP), target), keys, target_pred, **options)
