@@ -9,18 +9,18 @@
    each other and agree to the full depth repeat; these are verified byte by byte. Merges of all anchors go
    on side by side. Only suffixes at the same distance from their anchor can be equal, so only these are sorted together.
 3. An anchor in very many stretches is dealt into groups of at most ``GROUP`` by chance. Windows that are alone
-   in their group, and one of each set of equal ones, go on under a 128-bit hash, which is grouped once more.
+   in their group, and one of each set of equal ones, go on under their SHA-256, which is grouped once more.
 
 The spans found are brought together by row, and joined into maximal runs.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -280,7 +280,7 @@ def _spans(table: pa.Table, length: int) -> pa.RecordBatch:
     a, b = np.flatnonzero(begin), np.flatnonzero(end)
     row, low, high = rows[context[a]], starts[context[a]] + step[a], starts[context[b]] + step[b] + length
     open_ = np.flatnonzero((salt[context] >= 0) & (~repeated | (like == np.arange(len(at)))))
-    digests = [xxhash.xxh3_128_digest(raw[p : p + length].tobytes()) for p in at[open_]]
+    digests = [hashlib.sha256(raw[p : p + length]).digest() for p in at[open_]]
     n, alone = len(row), ~repeated[open_]
     where = starts[context[open_]] + step[open_]
     return pa.RecordBatch.from_arrays(
