@@ -4,9 +4,8 @@
    projection, and meets the vectors next to it. The orders are range-partitioned, so no bucket, also
    not one of a third of all vectors, is one task.
 2. Descent: around each vector its neighbours and the vectors it is a neighbour of meet each other; the
-   best of what they find replaces worse neighbours, and what is worse than a full list stays where it was
-   found. A list that is saturated, as all its neighbours are links, is enlarged in the next round to
-   twice its length, and so on, up to ``widest_list`` links.
+   best of what they find replaces worse neighbours. A list that is saturated, as all its neighbours are
+   links, is enlarged in the next round to twice its length, and so on, up to ``widest_list`` links.
 3. Pairs seen at or above the threshold are links. Seeds hand on all of them, neighbourhoods the best few of
    each member and all that these few do not connect. A few members of each component then search among
    themselves, other members in every round, until a round merges no components. Only then are the members
@@ -47,7 +46,7 @@ class Search:
 
     threshold: float = 0.98
     neighbours: int = 8
-    widest_list: int = 32
+    widest_list: int = 16
     orders: int = 8
     window: int = 6
     per_bucket: int = 32
@@ -220,9 +219,7 @@ def _local_joins(graph: DataFrame, nodes: DataFrame, search: Search) -> DataFram
             found = np.take_along_axis(cosine, top, 2)
             src = np.broadcast_to(node[:, :, None], found.shape)
             dst = np.take_along_axis(np.broadcast_to(node[:, None, :], cosine.shape), top, 2)
-            worst = np.full((len(sizes), width), -2.0)
-            worst[group, place] = table.column("worst").to_numpy()
-            some = (found > -2) & ((found >= worst[:, :, None]) | (found >= search.threshold))
+            some = found > -2
             yield pa.RecordBatch.from_arrays([pa.array(src[some]), pa.array(dst[some]), pa.array(found[some])], names=["src", "dst", "cosine"])
             of, a, b = np.nonzero(_bridges(cosine, top, search.threshold))
             yield pa.RecordBatch.from_arrays([pa.array(node[of, a]), pa.array(node[of, b]), pa.array(cosine[of, a, b])], names=["src", "dst", "cosine"])
@@ -231,11 +228,7 @@ def _local_joins(graph: DataFrame, nodes: DataFrame, search: Search) -> DataFram
     back = _nearest(graph, "dst", search).select(F.col("dst").alias("centre"), F.col("src").alias("node"))
     self = graph.select(F.col("src").alias("centre"), F.col("src").alias("node"))
     around = forward.unionByName(back).unionByName(self).distinct()
-    # The last neighbour of a full list; anything may enter another one.
-    full = F.when(F.count(F.lit(1)) >= search.neighbours, F.min("cosine")).otherwise(-2.0)
-    lists = graph.groupBy(F.col("src").alias("node")).agg(full.alias("worst"))
-    known = nodes.select("node", "vector").join(lists, "node", "left").select("node", "vector", F.coalesce("worst", F.lit(-2.0)).alias("worst"))
-    return around.join(known, "node").select("centre", "node", "vector", "worst").repartition("centre").sortWithinPartitions("centre").mapInArrow(run, _PAIRS)
+    return around.join(nodes.select("node", "vector"), "node").select("centre", "node", "vector").repartition("centre").sortWithinPartitions("centre").mapInArrow(run, _PAIRS)
 
 
 def _descend(nodes: DataFrame, graph: DataFrame, pairs: DataFrame, search: Search) -> tuple[DataFrame, DataFrame]:
