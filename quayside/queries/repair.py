@@ -102,7 +102,7 @@ def dedup_purge_indexed(spark: SparkSession, folder: str) -> DataFrame:
     loads = settle(fx.all_loads(spark, folder), "loads")
     again = F.dayofmonth("MIG_DATETIME") == 2
     try:
-        stale = [batch_index.merge_batch(name, loads.where(w), fx.BATCH_KEYS, run) for run, w in (("first", ~again), ("second", again))]
+        stale = [batch_index.merge_batch(name, loads.where(w), fx.BATCH_KEYS, run, buckets=8) for run, w in (("first", ~again), ("second", again))]
         return upsert.delete_keys(loads, settle(stale[0].unionByName(stale[1]).distinct(), "stale-stamps"))
     finally:
         batch_index.drop_index(spark, name)
