@@ -13,7 +13,8 @@
    is emitted.
 4. Bounded samples of vectors (without links, of small and of large components) are compared with all
    others. While too many of the vectors that have links have a wrong number of them, apart for small and
-   large components, or while new random projections still change too many, the search goes on. Labels
+   large components, or while new random projections still change too many, the search goes on; one trial
+   is enough where the samples hold. Labels
    that fail after the last trial are compared whole, block by block, until fresh samples hold.
 
 Vectors that are equal in all components are one node from the start.
@@ -441,7 +442,7 @@ def near_duplicates(vectors: DataFrame, id_column: str = "vec_id", vector_column
         failed = audit(nodes, linked, search, trial)[1]
         if before is not None:
             failed += _moved_labels(nodes, before, linked, search)
-        if not failed and (before is not None or search.trials == 1):
+        if not failed:
             break
     whole: set[str] = set()
     while new := set(failed) - whole:
