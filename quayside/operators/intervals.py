@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions.dates import day_literal
@@ -25,6 +25,15 @@ def _columns(names: Sequence[str]) -> list:
     return [F.col(f"`{c}`") for c in names]
 
 
+def _counted(rows: DataFrame, *by: Column) -> DataFrame:
+    """Equal rows once, with COPIES.
+
+    Each task counts before the shuffle, so a row with very many copies is no hot key. A task of a scan may give any number
+    of rows, as where few bytes are decoded or multiplied, and would hold them all while it counts: rows are dealt out first.
+    """
+    return rows.hint("rebalance").groupBy(*by).agg(F.count(F.lit(1)).cast("int").alias(COPIES))
+
+
 def to_intervals(snapshots: DataFrame, day: str = DAY, days: Sequence[date] | None = None) -> DataFrame:
     """Intervals of stored snapshots: their columns, COPIES (of equal rows in a snapshot), VALID_FROM and VALID_TO.
 
@@ -32,21 +41,22 @@ def to_intervals(snapshots: DataFrame, day: str = DAY, days: Sequence[date] | No
     the snapshots where some are empty; without it these are the days that have rows.
     """
     names = [c for c in snapshots.columns if c != day]
-    rows = snapshots.groupBy(*_columns(names), F.col(day).cast("date").alias("_day")).agg(F.count(F.lit(1)).cast("int").alias(COPIES))
+    dated = snapshots.select(*_columns(names), F.col(day).cast("date").alias("_day"))
+    rows = _counted(dated, *_columns(names), F.col("_day"))
     # One row per day of the calendar, so numbering and broadcasting it stay small.
-    told = rows.select("_day") if days is None else rows.sparkSession.createDataFrame([(d,) for d in days], "_day date")
+    told = dated.select("_day") if days is None else rows.sparkSession.createDataFrame([(d,) for d in days], "_day date")
     days = told.distinct().select(
         "_day", F.row_number().over(Window.orderBy("_day")).alias("_n"), F.lead("_day").over(Window.orderBy("_day")).alias("_next")
     )
     numbered = rows.join(F.broadcast(days), "_day")
+    # Of each run of days only the ends are kept, side by side: one sort, no map of runs beside it.
     same = [*_columns(names), F.col(COPIES)]
-    island = F.col("_n") - F.row_number().over(Window.partitionBy(*same).orderBy("_n"))
-    return (
-        numbered.withColumn("_island", island)
-        .groupBy(*same, "_island")
-        .agg(F.min("_day").alias(FROM), F.max_by(F.struct("_next"), "_day")["_next"].alias(TO))
-        .drop("_island")
-    )
+    in_order = Window.partitionBy(*same).orderBy("_n")
+    begins = F.coalesce(F.lag("_n").over(in_order) != F.col("_n") - 1, F.lit(True))
+    ends = F.coalesce(F.lead("_n").over(in_order) != F.col("_n") + 1, F.lit(True))
+    kept = numbered.withColumns({"_begins": begins, "_ends": ends}).where(F.col("_begins") | F.col("_ends"))
+    until = F.when(F.col("_ends"), F.col("_next")).otherwise(F.lead("_next").over(in_order))
+    return kept.withColumn("_until", until).where("_begins").select(*same, F.col("_day").alias(FROM), F.col("_until").alias(TO))
 
 
 def merge_day(intervals: DataFrame, snapshot: DataFrame, as_of: date) -> DataFrame:
@@ -55,7 +65,7 @@ def merge_day(intervals: DataFrame, snapshot: DataFrame, as_of: date) -> DataFra
     Rows the snapshot still has stay open, others are closed on this day, and new ones begin.
     """
     names = [c for c in intervals.columns if c not in (FROM, TO, COPIES)]
-    today = snapshot.select(*_columns(names)).groupBy(*_columns(names)).agg(F.count(F.lit(1)).cast("int").alias(COPIES))
+    today = _counted(snapshot.select(*_columns(names)), *_columns(names))
     never = F.lit(None).cast("date")
     open_ = intervals.where(F.col(TO).isNull()).select(*_columns(names), COPIES, FROM, F.lit(None).cast("boolean").alias("_now"))
     both = open_.unionByName(today.select(*_columns(names), COPIES, never.alias(FROM), F.lit(True).alias("_now")))

@@ -47,7 +47,9 @@ LOOK_BACK = FIRST_DAY + timedelta(days=4)
 def _daily_users(spark: SparkSession, folder: str) -> DataFrame:
     """Users on ten days. Each is absent now and then, some change their department on one of the days, some have no mark."""
     key, n = F.col("c_custkey"), F.col("n")
-    days = table(spark, folder, "customer").withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(DAYS - 1))))
+    # The file may be small enough for one task, ten days of its users are not.
+    users = table(spark, folder, "customer").select("c_custkey").hint("rebalance")
+    days = users.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(DAYS - 1))))
     return days.where((key + n) % 11 != 0).select(
         key.alias("USER_KEY"),
         F.when((key % 20 < DAYS) & (n >= key % 20), (key + 3) % 40 + 1).otherwise(key % 40 + 1).alias("PART_CODE"),

@@ -3,10 +3,11 @@
 from datetime import date, datetime, timedelta
 
 import pytest
-from helpers import TS, frame, plan_of, values
+from helpers import TS, frame, plan_of, settings, values
 from hypothesis import HealthCheck, given
 from hypothesis import settings as examples
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quayside.operators import calendars, intervals
 
@@ -36,6 +37,17 @@ def test_rows_follow_changes_and_not_days(spark):
     assert intervals.to_intervals(frame(spark, SCHEMA, *rows)).count() == 5
 
 
+def test_rows_of_one_scan_task_are_dealt_out_before_they_are_counted(spark):
+    """A task that writes few rows many times must not hold them all in its map of copies; nor is there a map of runs."""
+    days = F.explode(F.sequence(F.lit(0), F.lit(4)))
+    daily = spark.range(0, 1000, 1, 1).select(F.col("id").alias("k"), days.alias("n")).select("k", F.date_add(F.lit(D0), F.col("n")).alias("SNAPSHOT_DATE"))
+    known = intervals.to_intervals(daily)
+    merged = intervals.merge_day(frame(spark, known.schema), daily.select("k"), D0)
+    for plan in (plan_of(known), plan_of(merged)):
+        assert plan.count("REBALANCE_PARTITIONS_BY_NONE") == 1 and "SortAggregate" not in plan
+    assert (known.where("VALID_TO IS NULL").count(), known.count(), merged.where("COPIES = 5").count()) == (1000, 1000, 1000)
+
+
 def test_look_up(spark):
     known = intervals.to_intervals(frame(spark, SCHEMA, (1, "a", D0), (1, "b", D0 + timedelta(days=1)), (1, "b", D0 + timedelta(days=2))))
     moments = [datetime(2023, 12, 31, 23), datetime(2024, 1, 1, 5), datetime(2024, 1, 2), datetime(2024, 5, 1), None]
