@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.operators.dedup import copies_of, superseded_of_copies
+from quayside.operators.dedup import copies_of
 from quayside.operators.schema import STAMP, typed_like
 from quayside.plans.publish import Journal, folder_of, publish_parts
 from quayside.plans.publish import drop as drop_published
@@ -72,20 +72,17 @@ def merge_batch(
     number = journal.told(run, STARTED)["number"]
 
     if journal.told(run, DONE) is None:
-        copies, numbers = _merged(spark, name, batch, told, number)
-        stale = superseded_of_copies(copies, "_stamp").withColumn("merge", F.lit(number))
+        fresh, latest, numbers = _merged(spark, name, batch, told, number)
+        stale = _superseded(latest, fresh).withColumn("merge", F.lit(number))
         publish_parts(spark, lambda _: (stale.withColumn("run", F.lit(run)), [(run,)]), _stale_table(name), ["run"], run, place)
-        latest = F.max_by(F.struct("_stamp", "_copies"), F.struct(F.col("_stamp").isNull(), "_stamp"))  # none is the newest
-        newest = copies.groupBy("_key").agg(latest.alias("_newest")).select(
-            "_key", "_newest._stamp", "_newest._copies", F.lit(number).alias("merge"), _bucket(keys, told["buckets"]).alias(BUCKET)
-        )
+        newest = latest.select(*ENTRY, F.lit(number).alias("merge"), _bucket(keys, told["buckets"]).alias(BUCKET))
         publish_parts(spark, lambda _: (newest, [(n,) for n in numbers]), name, [BUCKET], run, place, order=["_key"])
         journal.note(run, DONE)
     return spark.table(_stale_table(name)).where(F.col("run") == run).select(F.col("_stamp").alias(stamp))
 
 
-def _merged(spark: SparkSession, name: str, batch: DataFrame, told: dict, number: int) -> tuple[DataFrame, list[int]]:
-    """Counted copies of the batch and of the entries that share its buckets, and these buckets."""
+def _merged(spark: SparkSession, name: str, batch: DataFrame, told: dict, number: int) -> tuple[DataFrame, DataFrame, list[int]]:
+    """Counted copies of the batch, the newest of its keys and of the entries that share its buckets, and these buckets."""
     keys, buckets = told["keys"], told["buckets"]
     fresh = copies_of(batch, keys, told["stamp"]).withColumnRenamed(told["stamp"], "_stamp").select(*ENTRY)
     known = spark.table(name) if table_exists(spark, name) else None
@@ -93,12 +90,60 @@ def _merged(spark: SparkSession, name: str, batch: DataFrame, told: dict, number
         fresh = typed_like(fresh, known.select(*ENTRY))
     fresh = settle(fresh.withColumn(BUCKET, _bucket(keys, buckets)), "copies")
     numbers = sorted(r[0] for r in fresh.select(BUCKET).distinct().collect())  # at most as many as there are buckets
+    fresh = fresh.select(*ENTRY)
     if known is None:
-        return fresh.select(*ENTRY), numbers
+        return fresh, settle(_latest(fresh), "latest"), numbers
     purged = spark.table(_stale_table(name)).where(F.col("merge") < number).groupBy("_stamp").agg(F.max("merge").alias("_purged"))
     known = known.where(F.col(BUCKET).isin(numbers)).alias("k")
     purged = settle(purged, "purged", compact=True).alias("p")
     void = (F.col("k._stamp") == F.col("p._stamp")) & (F.col("k.merge") <= F.col("p._purged"))
     valid = known.join(purged, void, "left_anti").select(*ENTRY)
-    together = valid.unionByName(fresh.select(*ENTRY)).groupBy("_key", "_stamp").agg(F.sum("_copies").alias("_copies"))
-    return settle(together, "copies"), numbers
+    return fresh, settle(_latest(fresh, valid), "latest"), numbers
+
+
+def _latest(fresh: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The newest load time of each key and its copies, by one grouping of the batch's copies and the known entries.
+
+    Beside them are the load times by which ``_superseded`` needs no join: the known one, of which a key has one at most, and
+    the first and last of the batch. Plain numbers and moments only, so that no sort is needed to group them.
+    """
+    both = fresh.withColumn("_fresh", F.lit(True))
+    if known is not None:
+        both = both.unionByName(known.withColumn("_fresh", F.lit(False)))
+    stamp, copies, new = F.col("_stamp"), F.col("_copies"), F.col("_fresh")
+    found = both.groupBy("_key").agg(
+        F.max(F.when(~new, stamp)).alias("_known"),
+        F.max(F.when(~new & stamp.isNotNull(), copies)).alias("_known_copies"),
+        F.min(F.when(new, stamp)).alias("_first"),
+        F.max(F.when(new, stamp)).alias("_last"),
+        F.max_by(copies, F.when(new, stamp)).alias("_last_copies"),
+        F.count(F.when(new, stamp)).alias("_stamps"),
+        F.sum(F.when(stamp.isNull(), copies)).alias("_unstamped"),
+    )
+    newest = F.greatest("_known", "_last")
+    there = [F.when(F.col(c) == newest, F.col(f"{c}_copies")) for c in ("_known", "_last")]
+    counted = F.coalesce(there[0], F.lit(0)) + F.coalesce(there[1], F.lit(0))
+    return found.select(
+        "_key",
+        F.when(F.col("_unstamped").isNull(), newest).alias("_stamp"),  # none is the newest
+        F.coalesce("_unstamped", counted).alias("_copies"),
+        "_known", "_first", "_last", "_stamps", F.col("_unstamped").isNotNull().alias("_has_unstamped"),
+    )
+
+
+def _superseded(latest: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The load times of rows that are not the single newest of their key.
+
+    Keys with at most two load times in the batch tell theirs by themselves; only others meet the batch's copies again.
+    """
+    none = F.col("_has_unstamped")
+    old = lambda c: none | (F.col(c) < F.col("_stamp")) | (F.col("_copies") > 1)
+    told = [F.when(F.col(c).isNotNull() & old(c), F.struct(F.col(c).alias("_stamp"))) for c in ("_known", "_first", "_last")]
+    kind = latest.schema["_stamp"].dataType
+    told.append(F.when(none, F.struct(F.lit(None).cast(kind).alias("_stamp"))))
+    stale = latest.select(F.inline(F.array_compact(F.array(*told))))
+    many = settle(latest.where(F.col("_stamps") > 2).select("_key", F.col("_stamp").alias("_newest"), "_has_unstamped"), "many-stamps", compact=True)
+    if not many.isEmpty():
+        between = fresh.join(many, "_key").where(none | (F.col("_stamp") < F.col("_newest")))
+        stale = stale.unionByName(between.select("_stamp"))
+    return stale.distinct()

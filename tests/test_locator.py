@@ -191,6 +191,27 @@ def test_a_merge_is_repeated(spark, monkeypatch):
     batch_index.drop_index(spark, name)
 
 
+def test_a_load_tells_what_is_stale_without_a_join(spark, monkeypatch):
+    """Entries are grouped by key once, without a sort for it; only keys with more load times in one batch are joined."""
+    name, plans, publish_parts = f"i_{uuid.uuid4().hex}", [], batch_index.publish_parts
+
+    def noted(spark, changed, *args, **options):
+        plans.append(plan_of(changed(None)[0]))
+        return publish_parts(spark, changed, *args, **options)
+
+    monkeypatch.setattr(batch_index, "publish_parts", noted)
+    first = [(1, at(1, 1)), (1, at(1, 2)), (2, at(1, 2)), (2, at(1, 2)), (None, at(1, 3)), (4, None), (4, at(1, 5))]
+    second = [(1, at(1, 6)), (None, at(1, 3)), (5, at(1, 7)), (5, at(1, 8)), (5, at(1, 9)), (5, at(1, 10))]
+    found = values(batch_index.merge_batch(name, frame(spark, STAMPED, *first), ["k"], "a"))
+    assert found == [(None,), (at(1, 1),), (at(1, 2),), (at(1, 5),)]
+    assert not [p for p in plans if "Join" in p] and "Aggregate" not in plans[1] and len(plans) == 2
+    # The unstamped entry stays the newest of its key and is told again; those of the purged second day are void.
+    found = values(batch_index.merge_batch(name, frame(spark, STAMPED, *second), ["k"], "b"))
+    assert found == [(None,), (at(1, 3),), (at(1, 7),), (at(1, 8),), (at(1, 9),)]
+    assert "Join" in plans[2] and "Join" not in plans[3]
+    batch_index.drop_index(spark, name)
+
+
 def test_only_touched_buckets_are_read(spark):
     name = f"i_{uuid.uuid4().hex}"
     batch_index.merge_batch(name, spark.range(64).select(F.col("id").cast("int").alias("k"), F.lit(at(1, 1)).cast("timestamp_ntz").alias("MIG_DATETIME")), ["k"], "a", buckets=16)
